@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .functions import round6
 from .operators import features as fe
 from .operators.split import FIXTURE_TEST_SEASONS, mark_split
-from .schema import FEATURES, GAME_MEAN_COLUMNS_VARIANT, KEPT_PLAY_TYPES, PLAY_KEYS
+from .schema import FEATURES, GAME_MEAN_COLUMNS_VARIANT, KEPT_PLAY_TYPES, MODEL_CUTOFFS, PLAY_KEYS, THRESHOLDS
 from .sources import PLAYS_VIEW_SQL_DUCKDB, plays_from_lineitem
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -284,4 +284,283 @@ def q_train_test_split(spark, sf_dir):
     )
 
 
+
+
+# ---------------------------------------------------------------------------
+# 2. Evaluation over SQL-expressible scorers (Gaussian NB, exact 1-NN)
+# ---------------------------------------------------------------------------
+
+KEYS = ["year", "posteam"]
+_TEST_IN = _in_list(FIXTURE_TEST_SEASONS)
+
+
+def labelled_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season table with ``label``, materialised once in the shared folder:
+    every learner job below reads it instead of re-aggregating the plays."""
+    st = season_table(spark, sf_dir).withColumn("label", F.col("playoffs"))
+    return st.checkpoint(eager=True)
+
+
+def split_seasons(spark: SparkSession, sf_dir: str):
+    st = labelled_seasons(spark, sf_dir)
+    return st.filter(~F.col("is_test")), st.filter(F.col("is_test"))
+
+
+def nb_knn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score table of the two SQL-expressible models on the test seasons,
+    plus ``score`` = p1 rounded to 6 places (the ranking score of the curves)."""
+    from .plans.learners import fit_score
+
+    train, test = split_seasons(spark, sf_dir)
+    n = train.count()
+    nb = fit_score("naive_bayes", train, test, FEATURES, KEYS, "naive bayes", 2, n_train=n)
+    knn = fit_score("knn", train, test, FEATURES, KEYS, "KNN", 6, n_train=n)
+    return nb.unionByName(knn).withColumn("score", round6("p1"))
+
+
+_F = FEATURES
+SQL_SPLIT = (
+    f"tr AS (SELECT * FROM se WHERE year NOT IN ({_TEST_IN})), te AS (SELECT * FROM se WHERE year IN ({_TEST_IN}))"
+)
+SQL_NB = (
+    "cls AS (SELECT playoffs AS c, count(*) AS nc, "
+    + ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in _F)
+    + " FROM tr GROUP BY playoffs),"
+    " tot AS (SELECT count(*) AS n, 1e-9 * greatest("
+    + ", ".join(f"var_pop({c})" for c in _F)
+    + ") AS eps FROM tr),"
+    " jl AS (SELECT te.year, te.posteam, te.playoffs AS label, cls.c, ln(cls.nc / tot.n) - 0.5 * ("
+    + " + ".join(f"ln(2 * pi() * (v_{c} + eps))" for c in _F)
+    + ") - 0.5 * ("
+    + " + ".join(f"(te.{c} - m_{c}) * (te.{c} - m_{c}) / (v_{c} + eps)" for c in _F)
+    + ") AS j FROM te CROSS JOIN cls CROSS JOIN tot),"
+    " nb AS (SELECT year, posteam, label, 1.0 / (1.0 + exp(max(CASE WHEN c = 0 THEN j END)"
+    " - max(CASE WHEN c = 1 THEN j END))) AS p1 FROM jl GROUP BY year, posteam, label)"
+)
+SQL_KNN = (
+    "dd AS (SELECT te.year, te.posteam, te.playoffs AS label, tr.playoffs AS nl, tr.year AS ty, tr.posteam AS tp, "
+    + " + ".join(f"(te.{c} - tr.{c}) * (te.{c} - tr.{c})" for c in _F)
+    + " AS d2 FROM te CROSS JOIN tr),"
+    " kn AS (SELECT year, posteam, label, nl AS p1, sqrt(d2) AS nn_dist FROM (SELECT *, row_number() OVER"
+    " (PARTITION BY year, posteam ORDER BY d2, ty, tp) AS rn FROM dd) WHERE rn = 1)"
+)
+SQL_SCORES = (
+    "sc AS (SELECT 'naive bayes' AS model, 2 AS model_ord, year, posteam, label, p1,"
+    " CASE WHEN p1 > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM nb"
+    " UNION ALL SELECT 'KNN', 6, year, posteam, label, p1, p1 FROM kn),"
+    " scr AS (SELECT *, " + sql_round6("p1") + " AS score FROM sc)"
+)
+SQL_EVAL_CTES = ",\n".join([SQL_SEASON_CTES, SQL_SPLIT, SQL_NB, SQL_KNN, SQL_SCORES])
+SQL_THRESHOLDS = (
+    "th AS (SELECT CAST(t AS DOUBLE) AS threshold FROM (VALUES "
+    + ", ".join(f"({t})" for t in THRESHOLDS)
+    + ") v(t)),"
+    " cc AS (SELECT model, model_ord, threshold,"
+    " CAST(sum(CASE WHEN p1 > threshold AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,"
+    " CAST(sum(CASE WHEN p1 > threshold AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,"
+    " CAST(sum(CASE WHEN NOT p1 > threshold AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn,"
+    " CAST(sum(CASE WHEN NOT p1 > threshold AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,"
+    " CAST(count(*) AS BIGINT) AS n FROM sc CROSS JOIN th GROUP BY model, model_ord, threshold)"
+)
+
+
+@register(
+    "gaussian_nb_scores",
+    f"WITH {SQL_EVAL_CTES} SELECT year, CAST(posteam AS BIGINT) AS posteam, label, {sql_round6('p1')} AS p1,"
+    " prediction FROM sc WHERE model = 'naive bayes'",
+)
+def q_gaussian_nb_scores(spark, sf_dir):
+    from .plans.learners import fit_score
+
+    train, test = split_seasons(spark, sf_dir)
+    nb = fit_score("naive_bayes", train, test, FEATURES, KEYS, "naive bayes", 2)
+    return nb.select("year", F.col("posteam").cast("bigint"), "label", round6("p1").alias("p1"), "prediction")
+
+
+@register(
+    "nearest_neighbour",
+    f"WITH {SQL_EVAL_CTES} SELECT year, CAST(posteam AS BIGINT) AS posteam, label, p1 AS nn_label,"
+    f" {sql_round6('nn_dist')} AS nn_dist FROM kn",
+)
+def q_nearest_neighbour(spark, sf_dir):
+    from .operators.nearest import nearest_neighbour
+
+    train, test = split_seasons(spark, sf_dir)
+    nn = nearest_neighbour(train, test, FEATURES, "label", KEYS, KEYS)
+    out = test.select(*KEYS, "label").join(nn, KEYS)
+    return out.select("year", F.col("posteam").cast("bigint"), "label", "nn_label", round6("nn_dist").alias("nn_dist"))
+
+
+_SQL_ACC = sql_round6("(tp + tn) / n")
+
+
+@register(
+    "threshold_sweep",
+    f"WITH {SQL_EVAL_CTES}, {SQL_THRESHOLDS} SELECT model, CAST(model_ord AS BIGINT) AS model_ord, threshold,"
+    f" {_SQL_ACC} AS accuracy FROM cc",
+)
+def q_threshold_sweep(spark, sf_dir):
+    from .operators.evaluate import threshold_sweep
+
+    lb = threshold_sweep(nb_knn_scores(spark, sf_dir))
+    return lb.select("model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"))
+
+
+@register(
+    "confusion_matrix",
+    f"WITH {SQL_EVAL_CTES}, {SQL_THRESHOLDS} SELECT model, CAST(model_ord AS BIGINT) AS model_ord, threshold,"
+    " CAST(a AS BIGINT) AS actual, CAST(p AS BIGINT) AS predicted, CAST(CASE WHEN a = 0 AND p = 0 THEN tn"
+    " WHEN a = 0 THEN fp WHEN p = 0 THEN fn ELSE tp END AS BIGINT) AS n FROM cc CROSS JOIN (VALUES (0, 0), (0, 1),"
+    " (1, 0), (1, 1)) cell(a, p)",
+)
+def q_confusion_matrix(spark, sf_dir):
+    from .operators.evaluate import confusion_matrix
+
+    cm = confusion_matrix(nb_knn_scores(spark, sf_dir))
+    return cm.select(
+        "model",
+        F.col("model_ord").cast("bigint"),
+        "threshold",
+        F.col("actual").cast("bigint"),
+        F.col("predicted").cast("bigint"),
+        F.col("n").cast("bigint"),
+    )
+
+
+def _sql_report(cc: str) -> str:
+    """Classification report rows from a confusion-count CTE name."""
+    return (
+        f"rp AS (SELECT *, (tp + tn) / n AS acc,"
+        " CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,"
+        " CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0, tn + fp AS s0, (2 * tn + fp + fn) > 0 AS in0,"
+        " CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,"
+        " CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1, tp + fn AS s1, (2 * tp + fp + fn) > 0 AS in1"
+        f" FROM {cc}),"
+        " rf AS (SELECT *, CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,"
+        " CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,"
+        " CAST(in0 AS INTEGER) + CAST(in1 AS INTEGER) AS k FROM rp),"
+        " rr AS ("
+        "SELECT model, model_ord, threshold, '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM rf WHERE in0"
+        " UNION ALL SELECT model, model_ord, threshold, '1', p1, r1, f1, s1 FROM rf WHERE in1"
+        " UNION ALL SELECT model, model_ord, threshold, 'accuracy', NULL, NULL, acc, n FROM rf"
+        " UNION ALL SELECT model, model_ord, threshold, 'macro avg',"
+        " ((CASE WHEN in0 THEN p0 ELSE 0.0 END) + (CASE WHEN in1 THEN p1 ELSE 0.0 END)) / k,"
+        " ((CASE WHEN in0 THEN r0 ELSE 0.0 END) + (CASE WHEN in1 THEN r1 ELSE 0.0 END)) / k,"
+        " ((CASE WHEN in0 THEN f0 ELSE 0.0 END) + (CASE WHEN in1 THEN f1 ELSE 0.0 END)) / k, n FROM rf"
+        " UNION ALL SELECT model, model_ord, threshold, 'weighted avg', (p0 * s0 + p1 * s1) / n,"
+        " (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n FROM rf)"
+        " SELECT model, CAST(model_ord AS BIGINT) AS model_ord, threshold, class, "
+        + ", ".join(sql_round6(c) + f" AS {c}" for c in ("precision", "recall", "f1"))
+        + ", CAST(support AS BIGINT) AS support FROM rr"
+    )
+
+
+def _report_out(df: DataFrame) -> DataFrame:
+    return df.select(
+        "model",
+        F.col("model_ord").cast("bigint"),
+        "threshold",
+        "class",
+        *_r(("precision", "recall", "f1")),
+        F.col("support").cast("bigint"),
+    )
+
+
+@register("classification_report", f"WITH {SQL_EVAL_CTES}, {SQL_THRESHOLDS}, " + _sql_report("cc"))
+def q_classification_report(spark, sf_dir):
+    from .operators.evaluate import classification_report
+
+    return _report_out(classification_report(nb_knn_scores(spark, sf_dir)))
+
+
+_SQL_CUT = (
+    "cut AS (SELECT * FROM (VALUES "
+    + ", ".join(f"('{m}', CAST({t} AS DOUBLE))" for m, t in MODEL_CUTOFFS)
+    + ") v(model, cutoff)),"
+    " ccut AS (SELECT sc.model, sc.model_ord, cut.cutoff AS threshold,"
+    " CAST(sum(CASE WHEN p1 > cutoff AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,"
+    " CAST(sum(CASE WHEN p1 > cutoff AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,"
+    " CAST(sum(CASE WHEN NOT p1 > cutoff AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn,"
+    " CAST(sum(CASE WHEN NOT p1 > cutoff AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,"
+    " CAST(count(*) AS BIGINT) AS n FROM sc JOIN cut ON sc.model = cut.model GROUP BY sc.model, sc.model_ord, cut.cutoff)"
+)
+
+
+@register("report_at_cutoffs", f"WITH {SQL_EVAL_CTES}, {_SQL_CUT}, " + _sql_report("ccut"))
+def q_report_at_cutoffs(spark, sf_dir):
+    from .operators.evaluate import cutoff_table, report_at_cutoffs
+
+    return _report_out(report_at_cutoffs(nb_knn_scores(spark, sf_dir), cutoff_table(spark)))
+
+
+_SQL_LB = "lb AS (SELECT model, model_ord, threshold, (tp + tn) / n AS accuracy FROM cc)"
+
+
+@register(
+    "best_overall",
+    f"WITH {SQL_EVAL_CTES}, {SQL_THRESHOLDS}, {_SQL_LB} SELECT model, CAST(model_ord AS BIGINT) AS model_ord,"
+    f" threshold, {sql_round6('accuracy')} AS accuracy FROM lb ORDER BY accuracy DESC, model_ord, threshold LIMIT 1",
+)
+def q_best_overall(spark, sf_dir):
+    from .operators.evaluate import best_overall, threshold_sweep
+
+    b = best_overall(threshold_sweep(nb_knn_scores(spark, sf_dir)))
+    return b.select("model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"))
+
+
+@register(
+    "best_per_model",
+    f"WITH {SQL_EVAL_CTES}, {SQL_THRESHOLDS}, {_SQL_LB} SELECT model, CAST(model_ord AS BIGINT) AS model_ord,"
+    f" threshold, {sql_round6('accuracy')} AS accuracy FROM (SELECT *, row_number() OVER (PARTITION BY model"
+    " ORDER BY accuracy DESC, threshold) AS rn FROM lb) WHERE rn = 1",
+)
+def q_best_per_model(spark, sf_dir):
+    from .operators.evaluate import best_per_model, threshold_sweep
+
+    b = best_per_model(threshold_sweep(nb_knn_scores(spark, sf_dir)))
+    return b.select("model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"))
+
+
+# ROC over distinct scores: running counts, collinear interior points dropped.
+_SQL_ROC = (
+    "sg AS (SELECT model, model_ord, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,"
+    " sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM scr GROUP BY model, model_ord, score),"
+    " rc AS (SELECT *, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn, lead(pos) OVER w2 AS np_, lead(neg) OVER w2 AS nn_,"
+    " row_number() OVER w2 AS k, sum(pos) OVER (PARTITION BY model) AS tp_all, sum(neg) OVER (PARTITION BY model) AS tn_all"
+    " FROM sg WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),"
+    " w2 AS (PARTITION BY model ORDER BY score DESC))"
+)
+
+
+@register(
+    "roc_points",
+    f"WITH {SQL_EVAL_CTES}, {_SQL_ROC} SELECT model, CAST(model_ord AS BIGINT) AS model_ord, score AS threshold,"
+    f" {sql_round6('CASE WHEN tn_all > 0 THEN cn / tn_all END')} AS fpr,"
+    f" {sql_round6('CASE WHEN tp_all > 0 THEN cp / tp_all END')} AS tpr FROM rc"
+    " WHERE k = 1 OR np_ IS NULL OR np_ <> pos OR nn_ <> neg"
+    " UNION ALL SELECT model, CAST(model_ord AS BIGINT), NULL, CASE WHEN tn_all > 0 THEN 0.0 END,"
+    " CASE WHEN tp_all > 0 THEN 0.0 END FROM rc WHERE k = 1",
+)
+def q_roc_points(spark, sf_dir):
+    from .operators.curves import roc_points
+
+    r = roc_points(nb_knn_scores(spark, sf_dir))
+    return r.select("model", F.col("model_ord").cast("bigint"), "threshold", *_r(("fpr", "tpr")))
+
+
+@register(
+    "auc",
+    f"WITH {SQL_EVAL_CTES}, {_SQL_ROC}, pts AS (SELECT model, model_ord, cn / tn_all AS x, cp / tp_all AS y, k"
+    " FROM rc WHERE tn_all > 0 AND tp_all > 0 UNION ALL SELECT DISTINCT model, model_ord, 0.0, 0.0, 0 FROM rc"
+    " WHERE tn_all > 0 AND tp_all > 0), tz AS (SELECT model, model_ord, (x - lag(x) OVER o) * (y + lag(y) OVER o) / 2"
+    " AS a FROM pts WINDOW o AS (PARTITION BY model ORDER BY k))"
+    f" SELECT model, CAST(model_ord AS BIGINT) AS model_ord, {sql_round6('sum(a)')} AS auc FROM tz GROUP BY model, model_ord",
+)
+def q_auc(spark, sf_dir):
+    from .operators.curves import auc
+
+    a = auc(nb_knn_scores(spark, sf_dir))
+    return a.select("model", F.col("model_ord").cast("bigint"), round6("auc").alias("auc"))
+
+
 __all__ = ["QUERIES", "ORACLE", "register", "season_table", "prepared_plays", "PLAY_KEYS"]
