@@ -2,8 +2,9 @@
 
 Every query reads the driver's tables (``lineitem`` through the stand-in play
 view, ``embeddings`` for the learner fixture) so its work grows with them.
-Floating outputs are rounded to 6 decimals on both sides with the same
-arithmetic (``round(x * 1e6) / 1e6``); integer outputs are BIGINT on both sides.
+Floating outputs are rounded to a 2**-20 grid (about 6 decimals) on both
+sides with the same arithmetic (see ``functions.round6``); integer outputs are
+BIGINT on both sides.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import round6
+from .session import materialize
 from .operators import features as fe
 from .operators.split import FIXTURE_TEST_SEASONS, mark_split
 from .schema import FEATURES, GAME_MEAN_COLUMNS_VARIANT, KEPT_PLAY_TYPES, MODEL_CUTOFFS, PLAY_KEYS, THRESHOLDS
@@ -42,7 +44,7 @@ def _sql_r(cols, prefix=""):
 
 
 def sql_round6(expr: str) -> str:
-    return f"(round(({expr}) * 1e6) / 1e6 + 0.0)"
+    return f"(round(({expr}) * CAST(1048576 AS DOUBLE)) / CAST(1048576 AS DOUBLE) + 0.0)"
 
 
 def _in_list(values):
@@ -298,7 +300,7 @@ def labelled_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Season table with ``label``, materialised once in the shared folder:
     every learner job below reads it instead of re-aggregating the plays."""
     st = season_table(spark, sf_dir).withColumn("label", F.col("playoffs"))
-    return st.checkpoint(eager=True)
+    return materialize(st, "seasons")
 
 
 def split_seasons(spark: SparkSession, sf_dir: str):
@@ -563,4 +565,188 @@ def q_auc(spark, sf_dir):
     return a.select("model", F.col("model_ord").cast("bigint"), round6("auc").alias("auc"))
 
 
+
+
+@register(
+    "confusion_observed",
+    f"WITH {SQL_EVAL_CTES} SELECT model, label AS actual, prediction AS predicted, CAST(count(*) AS BIGINT) AS n"
+    " FROM sc GROUP BY model, label, prediction",
+)
+def q_confusion_observed(spark, sf_dir):
+    from .operators.evaluate import confusion_observed
+
+    return confusion_observed(nb_knn_scores(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# 3. Feature ranking, decision grid, CSV round trip
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "top_importances_corr",
+    f"WITH {SQL_SEASON_CTES}, {SQL_SPLIT}, ci AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, abs(corr({c}, playoffs)) AS importance FROM tr" for c in FEATURES)
+    + f") SELECT feature, {sql_round6('importance')} AS importance FROM ci"
+    " ORDER BY ci.importance DESC, feature DESC LIMIT 18",
+)
+def q_top_importances_corr(spark, sf_dir):
+    from .operators.explain import label_correlations, top_importances
+
+    train, _ = split_seasons(spark, sf_dir)
+    top = top_importances(label_correlations(train, FEATURES, "label"))
+    return top.select("feature", round6("importance").alias("importance"))
+
+
+GRID_X, GRID_Y = "yardline_100", "cpoe"
+_G2 = (GRID_X, GRID_Y)
+
+
+@register(
+    "decision_grid",
+    f"WITH {SQL_SEASON_CTES}, {SQL_SPLIT},"
+    f" gb AS (SELECT min({GRID_X}) AS x0, max({GRID_X}) AS x1, min({GRID_Y}) AS y0, max({GRID_Y}) AS y1 FROM tr),"
+    " gn AS (SELECT x0, y0, CAST(ceil((x1 - x0) / 0.5) AS BIGINT) AS nx, CAST(ceil((y1 - y0) / 0.5) AS BIGINT) AS ny FROM gb),"
+    f" gx AS (SELECT x0 + CAST(unnest(range(nx)) AS DOUBLE) * 0.5 AS {GRID_X} FROM gn),"
+    f" gy AS (SELECT y0 + CAST(unnest(range(ny)) AS DOUBLE) * 0.5 AS {GRID_Y} FROM gn),"
+    " gp AS (SELECT * FROM gx CROSS JOIN gy),"
+    " gc AS (SELECT playoffs AS c, count(*) AS nc, "
+    + ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in _G2)
+    + " FROM tr GROUP BY playoffs),"
+    " gt AS (SELECT count(*) AS n, 1e-9 * greatest("
+    + ", ".join(f"var_pop({c})" for c in _G2)
+    + ") AS eps FROM tr),"
+    " gj AS (SELECT gp.*, c, ln(nc / n) - 0.5 * ("
+    + " + ".join(f"ln(2 * pi() * (v_{c} + eps))" for c in _G2)
+    + ") - 0.5 * ("
+    + " + ".join(f"(gp.{c} - m_{c}) * (gp.{c} - m_{c}) / (v_{c} + eps)" for c in _G2)
+    + f") AS j FROM gp CROSS JOIN gc CROSS JOIN gt)"
+    f" SELECT {sql_round6(GRID_X)} AS {GRID_X}, {sql_round6(GRID_Y)} AS {GRID_Y}, CASE WHEN"
+    " max(CASE WHEN c = 1 THEN j END) > max(CASE WHEN c = 0 THEN j END) THEN 1.0 ELSE 0.0 END AS predicted"
+    f" FROM gj GROUP BY {GRID_X}, {GRID_Y}",
+)
+def q_decision_grid(spark, sf_dir):
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import VectorAssembler
+
+    from .operators.explain import decision_grid
+
+    train, _ = split_seasons(spark, sf_dir)
+    va = VectorAssembler(inputCols=list(_G2), outputCol="features")
+    nb = NaiveBayes(modelType="gaussian").fit(va.transform(train))
+    grid = decision_grid(train, GRID_X, GRID_Y, lambda pts: nb.transform(va.transform(pts)))
+    return grid.select(*_r(_G2), "predicted")
+
+
+@register(
+    "csv_scan",
+    f"WITH {SQL_SEASON_CTES} SELECT year, CAST(posteam AS BIGINT) AS posteam, {_sql_r(_SEASON_DBL)} FROM se",
+)
+def q_csv_scan(spark, sf_dir):
+    """Plays written as gzip CSV season folders (``NA`` for missing) in the
+    shared folder, scanned back by column name, then the full season chain."""
+    from .session import scratch_path
+    from .sources import read_play_files, write_seasons
+
+    plays = plays_from_lineitem(spark, sf_dir)
+    path = write_seasons(plays, scratch_path(spark, "plays-csv"), fmt="csv", mode="error")
+    back = read_play_files(spark, path, fmt="csv")
+    return _season_out(fe.season_table(back))
+
+
+# ---------------------------------------------------------------------------
+# 4. Learners (rows-only checks: iterative fits are not SQL-expressible)
+# ---------------------------------------------------------------------------
+
+
+def _learner_query(kind: str, name: str, pca: bool = False):
+    def q(spark, sf_dir):
+        from .plans.leaderboard import FULL_NAMES, ORDER, PCA_NAMES
+        from .plans.learners import Settings, fit_score
+        from .schema import RBF_GAMMA_PCA
+
+        train, test = split_seasons(spark, sf_dir)
+        feats, s = FEATURES, Settings()
+        if pca:
+            from .plans.pca import fit_pca
+
+            m = fit_pca(train, FEATURES, 2)
+            train = materialize(m.transform(train, [*KEYS, "label"]), "pca-train")
+            test = materialize(m.transform(test, [*KEYS, "label"]), "pca-test")
+            feats, s = ("pc1", "pc2"), Settings(rbf_gamma=RBF_GAMMA_PCA)
+        label = (PCA_NAMES if pca else FULL_NAMES)[kind]
+        sc = fit_score(kind, train, test, feats, KEYS, label, ORDER[label], s)
+        return sc.select(
+            "model", "model_ord", "year", F.col("posteam").cast("bigint"), "label", *_r(("p1", "margin")), "prediction"
+        )
+
+    q.__name__ = f"q_{name}"
+    return q
+
+
+for _kind, _name in (
+    ("logit", "logistic"),
+    ("svm", "linear_svm"),
+    ("kernel_svm", "kernel_svm_rff"),
+    ("mlp", "mlp"),
+    ("cart", "cart"),
+    ("random_forest", "random_forest"),
+    ("adaboost", "adaboost"),
+    ("gbt", "gradient_boost"),
+):
+    register(_name)(_learner_query(_kind, _name))
+register("logistic_pca")(_learner_query("logit", "logistic_pca", pca=True))
+register("knn_pca")(_learner_query("knn", "knn_pca", pca=True))
+
+
+@register("pca_2d")
+def q_pca_2d(spark, sf_dir):
+    """Two centred principal components of the training seasons, applied to all seasons."""
+    from .plans.pca import fit_pca
+
+    st = labelled_seasons(spark, sf_dir)
+    m = fit_pca(st.filter(~F.col("is_test")), FEATURES, 2)
+    return m.transform(st, ["year", F.col("posteam").cast("bigint").alias("posteam"), "is_test"]).select(
+        "year", "posteam", "is_test", *_r(("pc1", "pc2"))
+    )
+
+
+@register("top_importances")
+def q_top_importances(spark, sf_dir):
+    """|weight| of the linear SVM and the logistic model, top 18 of 20 each."""
+    from .operators.explain import coefficient_importances, top_importances
+    from .plans.learners import fit_model
+
+    train, _ = split_seasons(spark, sf_dir)
+    out = None
+    for kind, name in (("svm", "SVM"), ("logit", "logit")):
+        m = fit_model(kind, train, FEATURES)
+        imp = top_importances(coefficient_importances(spark, m.coefficients, FEATURES))
+        imp = imp.select(F.lit(name).alias("model"), "feature", round6("importance").alias("importance"))
+        out = imp if out is None else out.unionByName(imp)
+    return out
+
+
+@register("margins")
+def q_margins(spark, sf_dir):
+    """Ranking margins of SVM, perceptron, boosting and logistic models, and their ROC areas."""
+    from .operators.curves import auc
+    from .plans.leaderboard import run_models
+
+    train, test = split_seasons(spark, sf_dir)
+    sc = run_models(train, test, FEATURES, KEYS, kinds=["svm", "mlp", "gbt", "logit"], with_pca=False)
+    return auc(sc, score="margin").select("model", "model_ord", round6("auc").alias("auc"))
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    """All twenty models × nine cut-offs: 180 rows of accuracy."""
+    from .operators.evaluate import threshold_sweep
+    from .plans.leaderboard import run_models
+
+    train, test = split_seasons(spark, sf_dir)
+    sc = run_models(train, test, FEATURES, KEYS)
+    return threshold_sweep(sc).select("model", "model_ord", "threshold", round6("accuracy").alias("accuracy"))
+
+
 __all__ = ["QUERIES", "ORACLE", "register", "season_table", "prepared_plays", "PLAY_KEYS"]

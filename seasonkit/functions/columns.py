@@ -37,10 +37,19 @@ def sum0(c) -> Column:
     return F.coalesce(F.sum(col_(c)), F.lit(0.0))
 
 
+# Output grid of compared floating columns: multiples of 2**-20 (about 1e-6).
+# Binary, not decimal: values computed from decimal inputs (averages of
+# cents, say) often sit exactly on a decimal rounding tie, where two engines
+# summing in different orders land on different sides; they practically never
+# sit on a binary tie.
+QUANTUM = 1048576.0
+
+
 def round6(c) -> Column:
-    """Round to 6 decimals as ``round(x * 1e6) / 1e6 + 0.0`` (same arithmetic in
-    the oracle SQL; ``+ 0.0`` turns a negative zero into zero)."""
-    return F.round(col_(c) * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)
+    """Round to the nearest multiple of 2**-20 (about 6 decimals) as
+    ``round(x * 2^20) / 2^20 + 0.0`` -- the same arithmetic as the oracle SQL;
+    ``+ 0.0`` turns a negative zero into zero."""
+    return F.round(col_(c) * F.lit(QUANTUM)) / F.lit(QUANTUM) + F.lit(0.0)
 
 
 def threshold_pred(p, t) -> Column:

@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 _MAX_DEPTH = 60
 
 
@@ -49,9 +51,10 @@ def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
     (L, 1 + 2 * dim): leaf id, lower corner, upper corner.
     """
     spark = points.sparkSession
+    points = materialize(points, "kd-points")
     n = points.count()
     size = max(int(leaf_size), math.ceil(n / max(1, int(max_leaves))))
-    pts = points.withColumn("node", F.lit(1).cast("long")).checkpoint(eager=True)
+    pts = materialize(points.withColumn("node", F.lit(1).cast("long")), "kd-level")
     x = F.col("x")
     stat_aggs = [F.count(F.lit(1)).alias("cnt")]
     stat_aggs += [F.min(x[i]).alias(f"lo{i}") for i in range(dim)]
@@ -87,8 +90,8 @@ def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
         pts = (
             pts.join(F.broadcast(split), "node", "left")
             .select(F.when(F.col("dim").isNotNull(), child).otherwise(F.col("node")).alias("node"), "x", "tk", "y")
-            .checkpoint(eager=True)
         )
+        pts = materialize(pts, "kd-level")
     stats = pts.groupBy("node").agg(*stat_aggs).orderBy("node").collect()
     leaves = np.array(
         [[r["node"]] + [r[f"lo{i}"] for i in range(dim)] + [r[f"hi{i}"] for i in range(dim)] for r in stats],

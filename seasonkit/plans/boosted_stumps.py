@@ -1,114 +1,202 @@
-"""AdaBoost over depth-1 trees, real-valued variant (SAMME.R; Zhu, Zou, Rosset
-& Hastie 2009), the reference library's default of that era; ``algorithm=
-"SAMME"`` gives the discrete variant.
-
-Each round fits Spark's ``DecisionTreeClassifier(maxDepth=1)`` on the
-current row weights (``weightCol``), then one aggregate returns the weighted
-error and the new weight total; the weight update is a column expression.
-The weighted training table is checkpointed to the shared folder every few
-rounds, so lineage stays short and a lost executor recomputes at most a few
-rounds.
-
-Scoring: SAMME.R adds ``log p1 - log p0`` of every stump (probabilities
-clipped at machine epsilon) and ``p1 = sigmoid(mean)``; SAMME adds
-``alpha_m * (+1 / -1)`` and ``p1 = sigmoid(2 * sum / sum(alpha))``.
+"""AdaBoost over decision stumps, real-valued variant (SAMME.R; Zhu, Zou,
+Rosset & Hastie 2009) -- the reference library's default of that era -- or
+the discrete variant (``algorithm="SAMME"``).
+
+One boosting round is **one grouped aggregate**:
+
+* once, up front: candidate split points per feature are approximate
+  quantiles (one aggregate for all features; at most ``max_bins - 1`` values
+  per feature reach the driver) and every training row gets its bin index per
+  feature (``x <= t_k`` ⟺ ``bin <= k``); the binned table is written once to
+  the shared folder;
+* per round: the (feature, bin) array is exploded inside the scan stage and
+  the weighted class totals are aggregated per (feature, bin) -- partial
+  aggregation, so at most d × bins rows per task cross the shuffle and the
+  driver receives at most d × bins rows. The driver picks the split with the
+  lowest weighted gini impurity (ties: lower feature, then lower split) and
+  the weighted error of the stump from those totals;
+* the row-weight update is a column expression over the bin array; the
+  weights are rescaled by the last known total, and the table is rewritten to
+  the shared folder every ``checkpoint_every`` rounds, which bounds lineage
+  and the recomputation after an executor loss.
+
+Scoring uses the raw features: SAMME.R sums ``log p1 - log p0`` of the leaf
+each row falls in (probabilities clipped at machine epsilon) and
+``p1 = sigmoid(mean)``; SAMME sums ``alpha_m * (±1)`` and
+``p1 = sigmoid(2 * sum / sum(alpha))``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 EPS = float(np.finfo(np.float64).eps)
 
 
+@dataclass
+class Stump:
+    feature: int
+    threshold: float
+    left: tuple[float, float]  # (weight of class 0, weight of class 1) in x <= threshold
+    right: tuple[float, float]
+
+    def leaf_prob(self, side) -> float:
+        w0, w1 = side
+        return w1 / (w0 + w1) if (w0 + w1) > 0 else 0.5
+
+
 @dataclass
 class BoostedStumps:
-    stumps: list[DecisionTreeClassificationModel] = field(default_factory=list)
+    features: tuple[str, ...]
+    stumps: list[Stump] = field(default_factory=list)
     alphas: list[float] = field(default_factory=list)
-    algorithm: str = "SAMME.R"
     errors: list[float] = field(default_factory=list)
+    algorithm: str = "SAMME.R"
 
-    def _log_ratio(self, prob_col: str) -> Column:
-        p = vector_to_array(F.col(prob_col))
-        p1 = F.greatest(p[1], F.lit(EPS))
-        p0 = F.greatest(p[0], F.lit(EPS))
-        return F.log(p1) - F.log(p0)
+    @staticmethod
+    def _log_ratio(p1: float) -> float:
+        return float(np.log(max(p1, EPS)) - np.log(max(1.0 - p1, EPS)))
 
-    def decision(self, df: DataFrame, features: str = "features") -> DataFrame:
-        """Add ``margin`` (the ensemble's decision value) and ``p1``."""
-        out = df
-        terms = []
-        for i, (m, a) in enumerate(zip(self.stumps, self.alphas)):
-            m = m.copy()
-            m.setFeaturesCol(features)
-            m.setPredictionCol(f"_sp{i}").setProbabilityCol(f"_pp{i}").setRawPredictionCol(f"_rp{i}")
-            out = m.transform(out)
-            if self.algorithm == "SAMME.R":
-                terms.append(self._log_ratio(f"_pp{i}"))
-            else:
-                terms.append(F.lit(a) * (2.0 * F.col(f"_sp{i}") - 1.0))
-            out = out.withColumn(f"_t{i}", terms[-1]).drop(f"_sp{i}", f"_pp{i}", f"_rp{i}")
-        total = None
-        for i in range(len(self.stumps)):
-            total = F.col(f"_t{i}") if total is None else total + F.col(f"_t{i}")
+    def term(self, i: int, goes_left: Column) -> Column:
+        st, a = self.stumps[i], self.alphas[i]
+        pl, pr = st.leaf_prob(st.left), st.leaf_prob(st.right)
         if self.algorithm == "SAMME.R":
-            margin = total / F.lit(float(len(self.stumps)))
-            p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+            lv, rv = self._log_ratio(pl), self._log_ratio(pr)
         else:
-            margin = total / F.lit(float(sum(self.alphas)))
-            p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * margin))
-        out = out.withColumn("margin", margin).withColumn("p1", p1)
-        return out.drop(*[f"_t{i}" for i in range(len(self.stumps))])
+            lv = a * (1.0 if pl > 0.5 else -1.0)
+            rv = a * (1.0 if pr > 0.5 else -1.0)
+        return F.when(goes_left, F.lit(lv)).otherwise(F.lit(rv))
+
+    def margin(self) -> Column:
+        total = None
+        for i, st in enumerate(self.stumps):
+            t = self.term(i, F.col(self.features[st.feature]) <= F.lit(st.threshold))
+            total = t if total is None else total + t
+        if self.algorithm == "SAMME.R":
+            return total / F.lit(float(len(self.stumps)))
+        return total / F.lit(float(sum(self.alphas)))
+
+    def p1(self, margin: Column) -> Column:
+        k = 1.0 if self.algorithm == "SAMME.R" else 2.0
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.lit(k) * margin))
+
+    def decision(self, df: DataFrame) -> DataFrame:
+        """Add ``margin`` (the ensemble's decision value) and ``p1``."""
+        out = df.withColumn("margin", self.margin())
+        return out.withColumn("p1", self.p1(F.col("margin")))
+
+
+def split_points(train: DataFrame, features: Sequence[str], max_bins: int) -> list[np.ndarray]:
+    probs = [i / max_bins for i in range(1, max_bins)]
+    row = train.agg(*[F.percentile_approx(F.col(c), probs, 10000).alias(c) for c in features]).first()
+    return [np.unique(np.asarray(row[c], dtype=np.float64)) for c in features]
+
+
+def _below(x: Column):
+    return lambda t: t < x
+
+
+def _bin_column(features: Sequence[str], cuts: list[np.ndarray]) -> Column:
+    bins = []
+    for c, ts in zip(features, cuts):
+        arr = F.array(*[F.lit(float(t)) for t in ts]) if len(ts) else F.array().cast("array<double>")
+        bins.append(F.size(F.filter(arr, _below(F.col(c)))))
+    return F.array(*bins)
+
+
+def _best_split(tot: np.ndarray, cuts: list[np.ndarray]):
+    """tot[j, b, y] = weight of class y in bin b of feature j. Lowest weighted
+    gini over all (feature, split); returns (j, k, left, right)."""
+    best = None
+    for j, ts in enumerate(cuts):
+        if len(ts) == 0:
+            continue
+        nb = len(ts) + 1
+        cum = np.cumsum(tot[j, :nb, :], axis=0)  # (nb, 2) left totals for split k = bin index
+        all_ = cum[-1]
+        left = cum[:-1]  # split k: bins 0..k go left
+        right = all_[None, :] - left
+        nl, nr = left.sum(1), right.sum(1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            gl = 1.0 - ((left / nl[:, None]) ** 2).sum(1)
+            gr = 1.0 - ((right / nr[:, None]) ** 2).sum(1)
+        imp = np.where(nl > 0, nl * gl, 0.0) + np.where(nr > 0, nr * gr, 0.0)
+        valid = (nl > 0) & (nr > 0)
+        if not valid.any():
+            continue
+        imp = np.where(valid, imp, np.inf)
+        k = int(np.argmin(imp))
+        if best is None or imp[k] < best[0] - 1e-15 * max(1.0, abs(best[0])):
+            best = (imp[k], j, k, tuple(left[k]), tuple(right[k]))
+    if best is None:
+        return None
+    return best[1:]
 
 
 def fit_boosted_stumps(
     train: DataFrame,
+    features: Sequence[str],
     n_rounds: int = 50,
     algorithm: str = "SAMME.R",
     learning_rate: float = 1.0,
-    seed: int = 1,
     max_bins: int = 64,
-    checkpoint_every: int = 5,
-    features: str = "features",
+    checkpoint_every: int = 10,
 ) -> BoostedStumps:
-    """``train`` has a vector ``features`` column and a 0/1 ``label``."""
+    """``train`` has the feature columns (double) and a 0/1 ``label``."""
+    features = tuple(features)
+    d = len(features)
+    cuts = split_points(train, features, max_bins)
+    nbmax = max(len(t) for t in cuts) + 1
     n = train.count()
-    cur = train.select(features, "label", F.lit(1.0 / n).alias("w")).checkpoint(eager=True)
-    model = BoostedStumps(algorithm=algorithm)
+    cur = materialize(
+        train.select(_bin_column(features, cuts).alias("bins"), F.col("label").cast("double").alias("label")).withColumn(
+            "w", F.lit(1.0 / n)
+        ),
+        "boost-weights",
+    )
+    model = BoostedStumps(features=features, algorithm=algorithm)
     ysign = 2.0 * F.col("label") - 1.0
     for r in range(n_rounds):
-        dt = DecisionTreeClassifier(
-            featuresCol=features, labelCol="label", weightCol="w", maxDepth=1, maxBins=max_bins, seed=seed
-        ).fit(cur)
-        sc = dt.transform(cur)
-        wrong = (F.col("prediction") != F.col("label")).cast("double")
-        if algorithm == "SAMME.R":
-            p = vector_to_array(F.col("probability"))
-            lr = F.log(F.greatest(p[1], F.lit(EPS))) - F.log(F.greatest(p[0], F.lit(EPS)))
-            new_w = F.col("w") * F.exp(-0.5 * learning_rate * ysign * lr)
-        else:
-            new_w = None  # needs alpha first
-        aggs = [F.sum(F.col("w") * wrong).alias("ew"), F.sum("w").alias("sw")]
-        if new_w is not None:
-            aggs.append(F.sum(new_w).alias("snw"))
-        st = sc.agg(*aggs).first()
-        err = float(st["ew"]) / float(st["sw"])
+        agg = (
+            cur.select(F.posexplode("bins").alias("j", "b"), "label", "w")
+            .groupBy("j", "b")
+            .agg(
+                F.sum(F.when(F.col("label") == 1, 0.0).otherwise(F.col("w"))).alias("w0"),
+                F.sum(F.when(F.col("label") == 1, F.col("w")).otherwise(0.0)).alias("w1"),
+            )
+            .collect()
+        )
+        tot = np.zeros((d, nbmax, 2))
+        for row in agg:
+            tot[row["j"], row["b"], 0] = row["w0"]
+            tot[row["j"], row["b"], 1] = row["w1"]
+        total_w = float(tot[0].sum())
+        found = _best_split(tot, cuts)
+        if found is None:
+            break
+        j, k, left, right = found
+        stump = Stump(j, float(cuts[j][k]), left, right)
+        # weighted error of the stump's class decision in each leaf
+        err = (min(left) + min(right)) / total_w
         model.errors.append(err)
+        goes_left = F.col("bins")[j] <= F.lit(k)
         if algorithm == "SAMME.R":
-            model.stumps.append(dt)
+            model.stumps.append(stump)
             model.alphas.append(1.0)
             if err <= 0 or r == n_rounds - 1:
                 break
-            cur = sc.select(features, "label", (new_w / F.lit(float(st["snw"]))).alias("w"))
+            lr_term = model.term(len(model.stumps) - 1, goes_left)
+            new_w = F.col("w") * F.exp(-0.5 * learning_rate * ysign * lr_term) / F.lit(total_w)
         else:
             if err <= 0:
-                model.stumps.append(dt)
+                model.stumps.append(stump)
                 model.alphas.append(1.0)
                 break
             if err >= 0.5:
@@ -116,14 +204,16 @@ def fit_boosted_stumps(
                     raise ValueError("first weak learner is no better than chance")
                 break
             alpha = learning_rate * float(np.log((1.0 - err) / err))
-            model.stumps.append(dt)
+            model.stumps.append(stump)
             model.alphas.append(alpha)
             if r == n_rounds - 1:
                 break
-            w2 = F.col("w") * F.exp(F.lit(alpha) * wrong)
-            cur = sc.select(features, "label", w2.alias("w"))
-            total = cur.agg(F.sum("w")).first()[0]
-            cur = cur.select(features, "label", (F.col("w") / F.lit(float(total))).alias("w"))
+            pred_left = 1.0 if stump.leaf_prob(left) > 0.5 else 0.0
+            pred_right = 1.0 if stump.leaf_prob(right) > 0.5 else 0.0
+            pred = F.when(goes_left, F.lit(pred_left)).otherwise(F.lit(pred_right))
+            wrong = (pred != F.col("label")).cast("double")
+            new_w = F.col("w") * F.exp(F.lit(alpha) * wrong) / F.lit(total_w)
+        cur = cur.select("bins", "label", new_w.alias("w"))
         if (r + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+            cur = materialize(cur, "boost-weights")
     return model

@@ -11,6 +11,7 @@ per margin, so the fit is an ordinary weighted ``LogisticRegression``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import Executor
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -25,17 +26,23 @@ def fold_of(keys: Sequence[str], k: int) -> Column:
 
 
 def oof_margins(
-    train: DataFrame, keys: Sequence[str], fit_margin: Callable[[DataFrame, DataFrame], DataFrame], k: int = 5
+    train: DataFrame,
+    keys: Sequence[str],
+    fit_margin: Callable[[DataFrame, DataFrame], DataFrame],
+    k: int = 5,
+    pool: Executor | None = None,
 ) -> DataFrame:
     """(margin, label) for every training row, each scored by a model that did
     not see it. ``fit_margin(fit_rows, score_rows)`` returns score_rows with a
-    ``margin`` column."""
+    ``margin`` column. With a ``pool`` the k fits run as concurrent jobs."""
     marked = train.withColumn("_fold", fold_of(keys, k))
-    parts = []
-    for f in range(k):
+
+    def one(f):
         fit_rows = marked.filter(F.col("_fold") != f).drop("_fold")
         held = marked.filter(F.col("_fold") == f).drop("_fold")
-        parts.append(fit_margin(fit_rows, held).select("margin", "label"))
+        return fit_margin(fit_rows, held).select("margin", "label")
+
+    parts = list(pool.map(one, range(k))) if pool is not None else [one(f) for f in range(k)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

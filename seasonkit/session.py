@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -61,3 +61,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but computes the plan only once (a
+    reliable checkpoint of an unpersisted plan computes it twice), survives
+    executor loss, and the re-read table gets column pruning and size
+    statistics for the planner.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

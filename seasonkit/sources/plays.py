@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import PLAY_CSV_SCHEMA
+from ..schema import DROPPED_PLAYER_COLUMNS, PLAY_CSV_SCHEMA
 
 SEASON_FILE_PATTERN = r"play_by_play_(\d{4})"
 
@@ -27,21 +27,28 @@ def read_play_files(
 ) -> DataFrame:
     """Read every season in one scan; no per-season loop on the driver.
 
-    The season comes from ``year=`` partition folders when present (partition
-    pruning then applies to filters on ``year``), else from the file name
-    (``play_by_play_2019.csv.gz``) through the scan's file metadata.
-    CSV missing values are ``NA``, as in the published files.
+    CSV files are read with their header and columns are taken **by name**
+    and cast to the declared types (a season file has hundreds of columns in
+    an order that is not fixed); ``NA`` is missing, as in the published files.
+    The CSV parser only parses the selected columns. The season comes from
+    ``year=`` partition folders when present (filters on ``year`` then prune
+    folders), else from the file name (``play_by_play_2019.csv.gz``) through
+    the scan's file metadata.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        df = reader.option("header", True).option("nullValue", "NA").option("mode", "FAILFAST").csv(paths)
+        raw = spark.read.option("header", True).option("nullValue", "NA").csv(paths)
     else:
-        df = reader.format(fmt).load(paths)
-    if "year" in df.columns:
-        return df.withColumn("year", F.col("year").cast("string"))
+        raw = spark.read.format(fmt).load(paths)
+    optional = set(DROPPED_PLAYER_COLUMNS)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"season files lack required columns: {missing}")
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns]
+    if "year" in raw.columns:
+        return raw.select(*cols, F.col("year").cast("string").alias("year"))
     season = F.regexp_extract(F.col("_metadata.file_path"), SEASON_FILE_PATTERN, 1)
-    return df.withColumn("year", F.when(season != "", season))
+    return raw.select(*cols, F.when(season != "", season).alias("year"))
 
 
 def write_seasons(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
