@@ -40,6 +40,13 @@ def read_play_files(
         raw = spark.read.option("header", True).option("nullValue", "NA").csv(paths)
     else:
         raw = spark.read.format(fmt).load(paths)
+    return typed_plays(raw, schema)
+
+
+def typed_plays(raw: DataFrame, schema=PLAY_CSV_SCHEMA, file_col: str | None = None) -> DataFrame:
+    """Columns of ``schema`` taken by name and cast; ``year`` from ``year=``
+    folders, else from the season in the file name (``file_col`` or the scan's
+    file metadata)."""
     optional = set(DROPPED_PLAYER_COLUMNS)
     missing = [f.name for f in schema.fields if f.name not in raw.columns and f.name not in optional]
     if missing:
@@ -47,7 +54,8 @@ def read_play_files(
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns]
     if "year" in raw.columns:
         return raw.select(*cols, F.col("year").cast("string").alias("year"))
-    season = F.regexp_extract(F.col("_metadata.file_path"), SEASON_FILE_PATTERN, 1)
+    path = F.col(file_col) if file_col else F.col("_metadata.file_path")
+    season = F.regexp_extract(path, SEASON_FILE_PATTERN, 1)
     return raw.select(*cols, F.when(season != "", season).alias("year"))
 
 
