@@ -501,13 +501,16 @@ _SQL_LB = "lb AS (SELECT model, model_ord, threshold, (tp + tn) / n AS accuracy
 @register(
     "best_overall",
     f"WITH {SQL_EVAL_CTES}, {SQL_THRESHOLDS}, {_SQL_LB} SELECT model, CAST(model_ord AS BIGINT) AS model_ord,"
-    f" threshold, {sql_round6('accuracy')} AS accuracy FROM lb ORDER BY accuracy DESC, model_ord, threshold LIMIT 1",
+    f" threshold, {sql_round6('accuracy')} AS accuracy, round_even(accuracy * 100.0, 2) AS accuracy_pct FROM lb"
+    " ORDER BY lb.accuracy DESC, model_ord, threshold LIMIT 1",
 )
 def q_best_overall(spark, sf_dir):
     from .operators.evaluate import best_overall, threshold_sweep
 
     b = best_overall(threshold_sweep(nb_knn_scores(spark, sf_dir)))
-    return b.select("model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"))
+    return b.select(
+        "model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"), "accuracy_pct"
+    )
 
 
 @register(
@@ -699,6 +702,36 @@ register("logistic_pca")(_learner_query("logit", "logistic_pca", pca=True))
 register("knn_pca")(_learner_query("knn", "knn_pca", pca=True))
 
 
+@register("decision_grid_pca")
+def q_decision_grid_pca(spark, sf_dir):
+    """Decision regions of the two-component models over the mesh (step 0.5)
+    spanning the projected training seasons: naive Bayes, logistic, tree."""
+    from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
+    from pyspark.ml.feature import VectorAssembler
+
+    from .operators.explain import decision_grid
+    from .plans.pca import fit_pca
+
+    train, _ = split_seasons(spark, sf_dir)
+    m = fit_pca(train, FEATURES, 2)
+    tr = materialize(m.transform(train, ["label"]), "pca-train")
+    va = VectorAssembler(inputCols=["pc1", "pc2"], outputCol="features")
+    trv = va.transform(tr)
+    n = trv.count()
+    models = {
+        "NB-PCA": NaiveBayes(modelType="gaussian"),
+        "Logit-PCA": LogisticRegression(regParam=1.0 / n, standardization=False, maxIter=1000, tol=1e-6),
+        "CART-PCA": DecisionTreeClassifier(maxDepth=30, maxBins=64, seed=1),
+    }
+    out = None
+    for name, est in models.items():
+        fitted = est.fit(trv)
+        g = decision_grid(tr, "pc1", "pc2", lambda pts, f=fitted: f.transform(va.transform(pts)))
+        g = g.select(F.lit(name).alias("model"), *_r(("pc1", "pc2")), "predicted")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
 @register("pca_2d")
 def q_pca_2d(spark, sf_dir):
     """Two centred principal components of the training seasons, applied to all seasons."""

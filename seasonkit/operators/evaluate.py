@@ -181,7 +181,9 @@ def report_at_cutoffs(scores: DataFrame, cutoffs: DataFrame, prob: str = "p1", l
 def best_overall(leaderboard: DataFrame) -> DataFrame:
     """The single best (model, threshold): highest accuracy, then lowest
     ``model_ord``, then lowest threshold (the reference's first-row rule)."""
-    return leaderboard.orderBy(F.desc("accuracy"), F.asc("model_ord"), F.asc("threshold")).limit(1)
+    best = leaderboard.orderBy(F.desc("accuracy"), F.asc("model_ord"), F.asc("threshold")).limit(1)
+    # percentage to two places, half-even as the reference's NumPy rounding
+    return best.withColumn("accuracy_pct", F.bround(F.col("accuracy") * 100.0, 2))
 
 
 def best_per_model(leaderboard: DataFrame) -> DataFrame:

@@ -48,51 +48,45 @@ def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
     """Assign ``node`` (leaf id) to every point; return (points, leaves array).
 
     ``points`` has ``x`` array<double>. ``leaves`` is a NumPy array of shape
-    (L, 1 + 2 * dim): leaf id, lower corner, upper corner.
+    (L, 1 + 2 * dim): leaf id, lower corner, upper corner. Each level is one
+    aggregate (count, box and the approximate median of every dimension per
+    node) plus one write of the re-labelled points; the last level's
+    aggregate doubles as the leaf table.
     """
     spark = points.sparkSession
-    points = materialize(points, "kd-points")
-    n = points.count()
-    size = max(int(leaf_size), math.ceil(n / max(1, int(max_leaves))))
     pts = materialize(points.withColumn("node", F.lit(1).cast("long")), "kd-level")
     x = F.col("x")
     stat_aggs = [F.count(F.lit(1)).alias("cnt")]
     stat_aggs += [F.min(x[i]).alias(f"lo{i}") for i in range(dim)]
     stat_aggs += [F.max(x[i]).alias(f"hi{i}") for i in range(dim)]
+    stat_aggs += [F.percentile_approx(x[i], 0.5, 10000).alias(f"md{i}") for i in range(dim)]
+    size = None
     for _depth in range(_MAX_DEPTH):
         stats = pts.groupBy("node").agg(*stat_aggs).collect()
-        todo = []
+        if size is None:  # root level: n is the root count
+            n = sum(int(r["cnt"]) for r in stats)
+            size = max(int(leaf_size), math.ceil(n / max(1, int(max_leaves))))
+        rows = []
         for r in stats:
             if r["cnt"] <= size or r["node"] >= (1 << 61):
                 continue
             spread = [r[f"hi{i}"] - r[f"lo{i}"] for i in range(dim)]
             k = int(np.argmax(spread))
-            if spread[k] > 0:
-                todo.append((int(r["node"]), k, float(r[f"lo{k}"]), float(r[f"hi{k}"])))
-        if not todo:
-            break
-        # split table: one row per node to split (<= n / size rows)
-        sd = spark.createDataFrame([(a, b) for a, b, _, _ in todo], "node long, dim int")
-        med = (
-            pts.join(F.broadcast(sd), "node")
-            .groupBy("node")
-            .agg(F.percentile_approx(x[F.col("dim")], 0.5, 10000).alias("m"))
-            .collect()
-        )
-        medians = {int(r["node"]): float(r["m"]) for r in med}
-        rows = []
-        for node, k, lo, hi in todo:
-            m = medians[node]
+            if spread[k] <= 0:
+                continue
+            lo, hi, m = float(r[f"lo{k}"]), float(r[f"hi{k}"]), float(r[f"md{k}"])
             s = m if m < hi else (lo + hi) / 2.0  # both sides non-empty
-            rows.append((node, k, s))
+            rows.append((int(r["node"]), k, s))
+        if not rows:
+            break
+        # split table: one row per node to split (<= n / size rows), broadcast
         split = spark.createDataFrame(rows, "node long, dim int, s double")
         child = F.col("node") * 2 + (x[F.col("dim")] > F.col("s")).cast("long")
-        pts = (
-            pts.join(F.broadcast(split), "node", "left")
-            .select(F.when(F.col("dim").isNotNull(), child).otherwise(F.col("node")).alias("node"), "x", "tk", "y")
+        pts = pts.join(F.broadcast(split), "node", "left").select(
+            F.when(F.col("dim").isNotNull(), child).otherwise(F.col("node")).alias("node"), "x", "tk", "y"
         )
         pts = materialize(pts, "kd-level")
-    stats = pts.groupBy("node").agg(*stat_aggs).orderBy("node").collect()
+    stats = sorted(stats, key=lambda r: r["node"])
     leaves = np.array(
         [[r["node"]] + [r[f"lo{i}"] for i in range(dim)] + [r[f"hi{i}"] for i in range(dim)] for r in stats],
         dtype=np.float64,
@@ -167,7 +161,7 @@ def nearest_neighbour(
     label: str = "label",
     train_keys: Sequence[str] = ("year", "posteam"),
     test_keys: Sequence[str] = ("year", "posteam"),
-    leaf_size: int = 256,
+    leaf_size: int = 1024,
     max_leaves: int = 4096,
     query_chunk: int = 4096,
 ) -> DataFrame:
