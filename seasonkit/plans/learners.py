@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..operators.nearest import nearest_neighbour
 from ..schema import RBF_GAMMA_FULL
+from ..session import materialize
 from .boosted_stumps import fit_boosted_stumps
 from .fourier import draw, fourier_column
 from .platt import fit_platt, oof_margins, platt_prob
@@ -60,7 +61,7 @@ class Settings:
     logit_max_iter: int = 1_000
     logit_tol: float = 1e-6
     svm_max_iter: int = 100
-    svm_tol: float = 1e-6
+    svm_tol: float = 1e-4
     platt_folds: int = 5
     rff_features: int = 1024
     rbf_gamma: float = RBF_GAMMA_FULL
@@ -137,8 +138,10 @@ def fit_score(
     if kind == "kernel_svm":
         w, b = draw(len(features), s.rff_features, s.rbf_gamma, s.seed)
         spark = train.sparkSession
-        trv = tr.withColumn("features", fourier_column(features, w, b, spark))
-        tev = te.withColumn("features", fourier_column(features, w, b, spark))
+        # the Python feature map runs once per row here, not once per
+        # optimiser iteration of each of the k + 1 fits
+        trv = materialize(tr.select(*keys, "label", fourier_column(features, w, b, spark).alias("features")), "rff")
+        tev = materialize(te.select(*keys, "label", fourier_column(features, w, b, spark).alias("features")), "rff")
         return _svm_scores(trv, tev, keys, n, s, model, model_ord)
 
     if kind == "adaboost":
@@ -171,7 +174,9 @@ def fit_score(
     elif kind == "naive_bayes":
         est = NaiveBayes(modelType="gaussian")
     elif kind == "cart":
-        est = DecisionTreeClassifier(impurity="gini", maxDepth=s.tree_max_depth, maxBins=s.tree_max_bins, seed=s.seed)
+        est = DecisionTreeClassifier(
+            impurity="gini", maxDepth=s.tree_max_depth, maxBins=s.tree_max_bins, seed=s.seed, cacheNodeIds=True
+        )
     elif kind == "random_forest":
         est = RandomForestClassifier(
             numTrees=s.rf_trees,
@@ -179,11 +184,19 @@ def fit_score(
             maxDepth=s.tree_max_depth,
             maxBins=s.tree_max_bins,
             seed=s.seed,
+            cacheNodeIds=True,  # deep trees: keep each row's node id instead of re-walking trees
+            maxMemoryInMB=1024,  # more nodes per pass over the data
         )
     elif kind == "gbt":
         est = GBTClassifier(maxIter=s.gbt_iters, maxDepth=s.gbt_depth, stepSize=s.gbt_step, seed=s.seed)
     else:
         raise ValueError(f"unknown learner {kind!r}")
+    if kind == "random_forest":
+        # per-level histogram work of the whole forest is CPU-heavy: give it at
+        # least one task per core even when the training table is tiny
+        par = train.sparkSession.sparkContext.defaultParallelism
+        if trv.rdd.getNumPartitions() < par:
+            trv = trv.repartition(par)
     fitted = est.fit(trv)
     out = fitted.transform(tev)
     margin = _raw1() if kind in ("logit", "gbt") else None
