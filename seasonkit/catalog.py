@@ -657,6 +657,28 @@ def q_csv_scan(spark, sf_dir):
     return _season_out(fe.season_table(back))
 
 
+def test_seasons_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season table written partitioned by season, read back for the test
+    seasons only: the season predicate prunes ``year=`` folders."""
+    from .session import scratch_path
+    from .sources import write_seasons
+
+    path = write_seasons(season_table(spark, sf_dir).drop("is_test"), scratch_path(spark, "seasons"), mode="error")
+    back = spark.read.parquet(path)
+    return back.filter(F.col("year").cast("string").isin(*FIXTURE_TEST_SEASONS)).withColumn(
+        "year", F.col("year").cast("string")
+    )
+
+
+@register(
+    "test_seasons_pruned",
+    f"WITH {SQL_SEASON_CTES} SELECT year, CAST(posteam AS BIGINT) AS posteam, {_sql_r(_SEASON_DBL)} FROM se"
+    f" WHERE year IN ({_TEST_IN})",
+)
+def q_test_seasons_pruned(spark, sf_dir):
+    return _season_out(test_seasons_written(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # 4. Learners (rows-only checks: iterative fits are not SQL-expressible)
 # ---------------------------------------------------------------------------

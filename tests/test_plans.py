@@ -35,3 +35,10 @@ def test_season_scan_is_pruned_and_filtered(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate)" in plan
     # the team-game aggregate is partial before its exchange
     assert plan.count("HashAggregate") >= 4
+
+
+def test_test_season_read_prunes_partitions(spark):
+    from seasonkit.catalog import test_seasons_written
+
+    plan = plan_of(test_seasons_written(spark, SF_SMALL))
+    assert re.search(r"PartitionFilters: \[.*year", plan), plan
