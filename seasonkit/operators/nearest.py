@@ -167,7 +167,7 @@ def nearest_neighbour(
     label: str = "label",
     train_keys: Sequence[str] = ("year", "posteam"),
     test_keys: Sequence[str] = ("year", "posteam"),
-    leaf_size: int = 1024,
+    leaf_size: int = 4096,
     max_leaves: int = 4096,
     query_chunk: int = 4096,
 ) -> DataFrame:
