@@ -475,6 +475,23 @@ def q_classification_report(spark, sf_dir):
     return _report_out(classification_report(nb_knn_scores(spark, sf_dir)))
 
 
+_SQL_PRED = (
+    "pc AS (SELECT model, model_ord, CAST(NULL AS DOUBLE) AS threshold,"
+    " CAST(sum(CASE WHEN prediction = 1 AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,"
+    " CAST(sum(CASE WHEN prediction = 1 AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,"
+    " CAST(sum(CASE WHEN prediction <> 1 AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn,"
+    " CAST(sum(CASE WHEN prediction <> 1 AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,"
+    " CAST(count(*) AS BIGINT) AS n FROM sc GROUP BY model, model_ord)"
+)
+
+
+@register("prediction_report", f"WITH {SQL_EVAL_CTES}, {_SQL_PRED}, " + _sql_report("pc"))
+def q_prediction_report(spark, sf_dir):
+    from .operators.evaluate import prediction_report
+
+    return _report_out(prediction_report(nb_knn_scores(spark, sf_dir)))
+
+
 _SQL_CUT = (
     "cut AS (SELECT * FROM (VALUES "
     + ", ".join(f"('{m}', CAST({t} AS DOUBLE))" for m, t in MODEL_CUTOFFS)

@@ -154,6 +154,31 @@ def classification_report(scores: DataFrame, thresholds: Sequence[float] = THRES
     return report_from_counts(confusion_counts(scores, thresholds, **kw))
 
 
+def prediction_counts(
+    scores: DataFrame, pred: str = "prediction", label: str = "label", group: Sequence[str] = MODEL_COLS
+) -> DataFrame:
+    """Confusion counts of each model's own decision (``prediction``), one
+    aggregate; ``threshold`` is null."""
+    p, y = F.col(pred), F.col(label)
+    cc = scores.groupBy(*group).agg(
+        _count_if((p == 1) & (y == 1)).alias("tp"),
+        _count_if((p == 1) & (y != 1)).alias("fp"),
+        _count_if((p != 1) & (y != 1)).alias("tn"),
+        _count_if((p != 1) & (y == 1)).alias("fn"),
+    )
+    return cc.withColumns(
+        {
+            "n": F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"),
+            "threshold": F.lit(None).cast("double"),
+        }
+    )
+
+
+def prediction_report(scores: DataFrame, **kw) -> DataFrame:
+    """Classification report of each model's own decision (no cut-off)."""
+    return report_from_counts(prediction_counts(scores, **kw))
+
+
 def cutoff_table(spark, cutoffs=MODEL_CUTOFFS) -> DataFrame:
     """The per-model cut-offs as a small literal table (20 rows)."""
     return spark.createDataFrame([(m, float(t)) for m, t in cutoffs], "model string, cutoff double")
