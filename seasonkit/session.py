@@ -19,6 +19,9 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
+    # independent model fits run as concurrent jobs: share executors fairly so
+    # short iterative jobs do not queue behind long stages of other fits
+    "spark.scheduler.mode": "FAIR",
 }
 
 
