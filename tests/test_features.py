@@ -107,3 +107,19 @@ def test_fill_missing_is_off_by_default(spark):
     df = spark.createDataFrame([play(cpoe=None)], COLS)
     assert fe.fill_missing(df).first()["cpoe"] is None
     assert fe.fill_missing(df, enabled=True).first()["cpoe"] == 0.0
+
+
+def test_hot_team_with_a_third_of_all_plays(spark):
+    """One team-season holding a third of the plays: same result as the others."""
+    rows = []
+    for g in range(30):  # hot team: 30 games × 20 plays
+        rows += [play(game=f"h{g}", week=g % 17 + 1, pos="H", home="H", yl=float(g)) for _ in range(20)]
+    for t in range(40):  # 40 teams × 3 games × 10 plays
+        for g in range(3):
+            rows += [play(game=f"t{t}g{g}", week=g + 1, pos=f"T{t}", home="X", yl=10.0) for _ in range(10)]
+    df = spark.createDataFrame(rows, COLS)
+    se = {r["posteam"]: r for r in fe.season_table(df).collect()}
+    assert len(se) == 41
+    assert se["H"]["yardline_100"] == pytest.approx(14.5)
+    assert se["H"]["is_home_team"] == pytest.approx(1.0)
+    assert se["T0"]["yards_gained"] == pytest.approx(50.0)
