@@ -348,7 +348,7 @@ SQL_KNN = (
 )
 SQL_SCORES = (
     "sc AS (SELECT 'naive bayes' AS model, 2 AS model_ord, year, posteam, label, p1,"
-    " CASE WHEN p1 > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM nb"
+    " CAST(CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM nb"
     " UNION ALL SELECT 'KNN', 6, year, posteam, label, p1, p1 FROM kn),"
     " scr AS (SELECT *, " + sql_round6("p1") + " AS score FROM sc)"
 )
@@ -641,8 +641,8 @@ _G2 = (GRID_X, GRID_Y)
     + ") - 0.5 * ("
     + " + ".join(f"(gp.{c} - m_{c}) * (gp.{c} - m_{c}) / (v_{c} + eps)" for c in _G2)
     + f") AS j FROM gp CROSS JOIN gc CROSS JOIN gt)"
-    f" SELECT {sql_round6(GRID_X)} AS {GRID_X}, {sql_round6(GRID_Y)} AS {GRID_Y}, CASE WHEN"
-    " max(CASE WHEN c = 1 THEN j END) > max(CASE WHEN c = 0 THEN j END) THEN 1.0 ELSE 0.0 END AS predicted"
+    f" SELECT {sql_round6(GRID_X)} AS {GRID_X}, {sql_round6(GRID_Y)} AS {GRID_Y}, CAST(CASE WHEN"
+    " max(CASE WHEN c = 1 THEN j END) > max(CASE WHEN c = 0 THEN j END) THEN 1 ELSE 0 END AS DOUBLE) AS predicted"
     f" FROM gj GROUP BY {GRID_X}, {GRID_Y}",
 )
 def q_decision_grid(spark, sf_dir):
