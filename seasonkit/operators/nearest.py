@@ -197,7 +197,9 @@ def nearest_neighbour(
     # Python pass over all queries should not run twice
     cand = materialize(q.mapInPandas(_candidate_fn(leaves_bc, dim, key_names), cand_schema), "kd-candidates")
 
-    # salt hot leaves: chunks of <= query_chunk queries per (leaf, salt)
+    # salt hot leaves: chunks of <= query_chunk queries per (leaf, salt); the
+    # salt table has one row per leaf (<= the leaf count fixed above), so it is
+    # broadcast under that bound
     per_leaf = cand.groupBy("leaf").agg(F.count(F.lit(1)).alias("nq"))
     salts = per_leaf.select("leaf", F.ceil(F.col("nq") / F.lit(float(query_chunk))).cast("int").alias("ns"))
     qkey_hash = F.xxhash64(*[F.col(k) for k in key_names])
