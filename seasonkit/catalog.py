@@ -89,9 +89,9 @@ SQL_PO = (
 )
 
 
-def _sql_game(mean_cols, name="g"):
+def _sql_game(mean_cols, name="g", features=FEATURES):
     aggs = []
-    for c in FEATURES:
+    for c in features:
         if c in mean_cols:
             aggs.append(f"avg(CAST({c} AS DOUBLE)) AS {c}")
         else:
@@ -271,6 +271,27 @@ def q_season_features_direct(spark, sf_dir):
     )
 
 
+_F19 = FEATURES[:19]
+_SEASON19_DBL = ("week",) + _F19 + ("playoffs",)
+
+
+@register(
+    "season_features_draft",
+    f"WITH {SQL_PLAYS}, {SQL_F}, {SQL_PO}, {_sql_game(GAME_MEAN_COLUMNS_VARIANT, 'g19', _F19)},"
+    " gl19 AS (SELECT g19.*, CASE WHEN po.team IS NULL THEN 0 ELSE 1 END AS playoffs FROM g19 LEFT JOIN po"
+    " ON g19.year = po.year AND g19.posteam = po.team),"
+    " se19 AS (SELECT year, posteam, avg(week) AS week, "
+    + ", ".join(f"avg({c}) AS {c}" for c in _F19)
+    + ", avg(CAST(playoffs AS DOUBLE)) AS playoffs FROM gl19 GROUP BY year, posteam)"
+    f" SELECT year, CAST(posteam AS BIGINT) AS posteam, {_sql_r(_SEASON19_DBL)} FROM se19",
+)
+def q_season_features_draft(spark, sf_dir):
+    """The earliest game-level draft: 19 features, yardage columns averaged per game."""
+    games = fe.game_table(prepared_plays(spark, sf_dir), _F19, GAME_MEAN_COLUMNS_VARIANT, prepared=True)
+    seasons = fe.season_features(games, _F19)
+    return seasons.select("year", F.col("posteam").cast("bigint").alias("posteam"), *_r(_SEASON19_DBL))
+
+
 @register(
     "train_test_split",
     f"WITH {SQL_SEASON_CTES} SELECT CASE WHEN year IN ({_in_list(FIXTURE_TEST_SEASONS)}) THEN 'test' ELSE 'train' END"
