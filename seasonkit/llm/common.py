@@ -23,3 +23,21 @@ def small_side(df: DataFrame, rows: int, most: int) -> DataFrame:
     Beyond it the join shuffles, and adaptive execution splits skewed keys.
     """
     return F.broadcast(df) if rows <= most else df
+
+
+def replace_spans(text: Column, spans: Column) -> Column:
+    """``text`` with each span (start, end, mark; code points, end exclusive) replaced by its mark.
+
+    ``spans`` must be sorted by start; of overlapping spans the first one's mark stands for all.
+    """
+
+    def step(acc: Column, s: Column) -> Column:
+        kept = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], kept, s["mark"])).otherwise(acc["out"]).alias("out"),
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import decontamination, minhash, packing, secret_scan, sharding, toxicity
+from . import decontamination, embedding_dedup, kneser_ney, minhash, packing, pii, secret_scan, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,38 @@ def op9(spark, sf_dir):
 @register("op10_rendezvous_sharding")
 def op10(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding AS e,
+    sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(CAST(a.e AS DOUBLE[]), CAST(b.e AS DOUBLE[])) / (a.norm * b.norm) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT e.vec_id, CAST((SELECT count(*) FROM links WHERE links.a = e.vec_id) AS BIGINT) AS n_links,
+  min(reach.b) AS component_id, e.vec_id = min(reach.b) AS kept
+FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
+"""
+
+
+@register("op2_itq_embedding_dedup", EMBEDDING_SQL)
+def op2(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op7_pii_sanitisation")
+def op7(spark, sf_dir):
+    return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
+@register("op6_kneser_ney_quality")
+def op6(spark, sf_dir):
+    return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -35,6 +35,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import replace_spans
+
 # Fixed values of the contract: the patterns, their least lengths, the order of the kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 or more characters: runs are maximal
@@ -291,19 +293,8 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", fdr: float = FDR) ->
     ``n_chars``, where the table has it, follows the new text. Other columns stay.
     """
     scanned = scan_secrets(docs, fdr)
-    text = F.col("text")
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        kept = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], kept, F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text)))
-    cleaned = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(text)
+    marked = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mark).alias("mark")))
+    cleaned = replace_spans(F.col("text"), marked)
     out = scanned.withColumn("text", cleaned)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 N_FEATURES = 1 << 16
 FACTORS = 4
 MAX_TRAIN_ROWS = 40_000
+#: The sample is bounded, so are its parts; each part sends one gradient per iteration.
+TRAIN_PARTITIONS = 6
 MAX_ITER = 60
 STEP = 0.05
 REG = 1e-4
@@ -75,7 +77,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
     share = {rare: keep_rare / max(1, n.get(rare, 0)), 1 - rare: (max_rows - keep_rare) / max(1, n.get(1 - rare, 0))}
     u = F.pmod(F.xxhash64("doc_id", F.lit(SEED).cast("long")), F.lit(1_000_000)) / 1_000_000.0
     chosen = known.filter(u < F.when(F.col("_toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", F.col("_toxic").cast("double").alias("label"))
+    # broadcast: at most about ``max_rows`` rows
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("_toxic").cast("double").alias("label"))
 
 
 def fit_toxicity(
@@ -87,7 +90,8 @@ def fit_toxicity(
     max_iter: int = MAX_ITER,
 ) -> FMClassificationModel | float:
     """The fitted machine, or the share of the class when there are not two classes."""
-    train = _hashed(training_rows(docs, labels, max_train_rows), n_features).select("_features", "label").persist()
+    chosen = training_rows(docs, labels, max_train_rows).repartition(TRAIN_PARTITIONS, F.xxhash64("text"))
+    train = _hashed(chosen, n_features).select("_features", "label").persist()
     try:
         seen = train.groupBy("label").count().collect()
         if len(seen) < 2:
