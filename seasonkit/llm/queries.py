@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import decontamination, embedding_dedup, kneser_ney, minhash, packing, pii, secret_scan, sharding, toxicity
+from . import bucket_pointer, decontamination, embedding_dedup, kneser_ney, minhash, packing, pii, secret_scan, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op7(spark, sf_dir):
 @register("op6_kneser_ney_quality")
 def op6(spark, sf_dir):
     return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op5_bucket_pointer_dedup")
+def op5(spark, sf_dir):
+    found = bucket_pointer.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
