@@ -43,7 +43,7 @@ from .shingles import batches, distinct_shingles, mix, shingle_hashes
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
-IDF_BUCKETS = 1 << 20
+IDF_BUCKETS = 1 << 18
 IDF_SHARE = 0.1
 #: Agreeing samples of 48 that let a pair of two classes go on to the exact comparison.
 NEAR_SAMPLES = 28
