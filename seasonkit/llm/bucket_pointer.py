@@ -50,8 +50,8 @@ LENGTH, Q = 50, 16
 SIDE = LENGTH - Q  # bytes on each side of an anchor that a string through it can reach
 OFFSETS = SIDE + 1
 WIDTH = 2 * SIDE + Q
-BLOCK_BYTES = 4_000_000
-SHARD_BYTES = 32_000_000
+BLOCK_BYTES = 2_000_000
+SHARD_BYTES = 8_000_000
 #: A byte that UTF-8 text never holds: it ends every document.
 END = 0xFF
 NO_ID = np.iinfo(np.int64).max
@@ -104,7 +104,7 @@ def _written_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     path = scratch_path(spark, "text-blocks")
     name = f"text_blocks_{path.rsplit('-', 1)[-1]}"
-    buckets = max(4, min(10_000, math.ceil(total / (4 * BLOCK_BYTES))))
+    buckets = max(4, min(10_000, math.ceil(total / (8 * BLOCK_BYTES))))
     blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
     return spark.table(name), total
 
@@ -149,9 +149,11 @@ def _anchors(joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def _split(h: np.ndarray, shards: int) -> np.ndarray:
-    """Where each shard begins among sorted identifiers: shards are ranges of their top bits."""
-    return np.searchsorted(h >> np.uint64(64 - shards.bit_length() + 1) if shards > 1 else h * np.uint64(0), np.arange(shards + 1))
+def _ranges(h: np.ndarray, shards: int) -> dict[int, tuple[int, int]]:
+    """Begin and end of each shard's part of sorted identifiers: shards are ranges of their top bits."""
+    number = h >> np.uint64(64 - shards.bit_length() + 1) if shards > 1 else np.zeros(len(h), dtype=np.uint64)
+    own, first = np.unique(number, return_index=True)
+    return {int(s): (int(a), int(b)) for s, a, b in zip(own, first, np.append(first[1:], len(h)), strict=True)}
 
 
 def _low(h: np.ndarray, shards: int) -> np.ndarray:
@@ -177,11 +179,11 @@ def _shared_bits(blocks: DataFrame, shards: int) -> DataFrame:
         for pdf in parts:
             for row in pdf.itertuples():
                 _, _, _, buckets, several = _block_buckets(row, *_read(row))
-                cut, low = _split(buckets, shards), _low(buckets, shards)
+                low = _low(buckets, shards)
                 five = low.view(np.uint8).reshape(-1, 8)[:, :5] if len(low) else np.zeros((0, 5), dtype=np.uint8)
                 yield pd.DataFrame([
                     (row.block, s, b - a, five[a:b].tobytes(), np.packbits(several[a:b]).tobytes())
-                    for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a
+                    for s, (a, b) in _ranges(buckets, shards).items()
                 ], columns=["block", "shard", "n", "low", "several"])
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -221,9 +223,9 @@ def _block_contexts(row, shards: int):
     joined, ids, ends = _read(row)
     at, number, doc, buckets, _ = _block_buckets(row, joined, ids, ends)
     shared = np.zeros(len(buckets), dtype=bool)
-    cut = _split(buckets, shards)
+    ranges = _ranges(buckets, shards)
     for s, n, bits in _sent(row.bits, "bits"):
-        shared[cut[s] : cut[s + 1]] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=n)
+        shared[slice(*ranges[s])] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=n)
     keep = shared[number]
     at, doc, h = at[keep], doc[keep], buckets[number[keep]]
     key = np.empty(len(at), dtype=np.uint64)
@@ -294,9 +296,9 @@ def _marked(row, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     """(joined bytes, ends, ids, byte is removed) of one block."""
     joined, ends, ids, at, doc, context, h, least, _ = _block_contexts(row, shards)
     masks = np.zeros(len(h), dtype=np.uint64)
-    cut = _split(h, shards)
+    ranges = _ranges(h, shards)
     for s, n, data in _sent(row.masks, "masks"):
-        masks[cut[s] : cut[s + 1]] = _unpack(data, n, np.uint64)
+        masks[slice(*ranges[s])] = _unpack(data, n, np.uint64)
     own = masks[context] if len(at) else np.zeros(0, dtype=np.uint64)
     later = doc > least[context] if len(at) else np.zeros(0, dtype=bool)
     own = np.where(later, np.uint64((1 << OFFSETS) - 1), own)  # the whole context stands in a smaller document of the block
@@ -328,10 +330,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for pdf in parts:
             for row in pdf.itertuples():
                 joined, _, _, _, _, _, h, least, at = _block_contexts(row, shards)
-                cut = _split(h, shards)
                 yield pd.DataFrame([
                     (row.block, s, b - a, _pack(h[a:b]), _pack(least[a:b]), _pack(_contexts(joined, at[a:b])))
-                    for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a
+                    for s, (a, b) in _ranges(h, shards).items()
                 ], columns=["block", "shard", "n", "h", "docs", "contexts"])
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
