@@ -15,9 +15,10 @@
    it by exact weighted Jaccard similarity: pairs grow with the members, not their square. A
    second round does the same, under new leaders, for members not yet in their leader's class.
 6. In buckets that still hold several classes, members outside the leader's class are held
-   against all members of other classes, in blocks of ``BLOCK`` by ``BLOCK``: a pair goes on to the
-   exact comparison only if ``NEAR_SAMPLES`` of its 48 samples agree (a pair at 0.8 fails this
-   once in 20,000, above it more rarely), so a bucket's pairs are never written out.
+   against all members of other classes, in blocks of ``BLOCK`` by ``BLOCK`` inside tasks: a pair is
+   compared exactly only if ``NEAR_SAMPLES`` of its 48 samples agree (a pair at 0.8 fails this once
+   in 20,000, above it more rarely) and its classes are not joined yet. A block sends the links
+   that join classes, never its pairs.
 7. Classes are the connected components of the verified links.
 
 Texts are compared in tasks that Spark deals out by join; a hot leader's rows are split by
@@ -183,42 +184,81 @@ def _compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInPandas(work, "a long, b long, similarity double")
 
 
-def _across_classes(members: DataFrame, signed: DataFrame, near: int) -> DataFrame:
-    """(a, b) of members of one bucket but of two classes whose samples agree ``near`` times.
+def _merged(x: pd.DataFrame, y: pd.DataFrame, bucket: int, idf: np.ndarray, near: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between members of ``x`` and of ``y`` that join two classes, by exact similarity.
+
+    A pair that shares several buckets is looked at in the bucket of its first common band.
+    """
+    samples_of = lambda p: np.frombuffer(b"".join(p["samples"]), dtype=np.uint16).reshape(len(p), -1)
+    sx, sy, bx, by = samples_of(x), samples_of(y), np.stack(x["buckets"].to_numpy()), np.stack(y["buckets"].to_numpy())
+    agree = np.zeros((len(x), len(y)), dtype=np.int16)
+    for k in range(sx.shape[1]):
+        agree += sx[:, k, None] == sy[None, :, k]
+    cx, cy = x["class_b"].to_numpy(), y["class_b"].to_numpy()
+    i, j = np.nonzero((agree >= near) & (cx[:, None] != cy[None, :]))
+    same = bx[i] == by[j]
+    here = bx[i, same.argmax(axis=1)] == bucket
+    i, j = i[here], j[here]
+    order = np.argsort(-agree[i, j], kind="stable")
+    of: dict[int, int] = {}  # union of classes
+
+    def find(c: int) -> int:
+        while of.setdefault(c, c) != c:
+            of[c] = c = of[of[c]]
+        return c
+
+    parts: dict[tuple[bool, int], tuple[np.ndarray, np.ndarray, float]] = {}
+
+    def shingled(left: bool, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+        if (left, k) not in parts:
+            _, hashes, weights = weighted_shingles([(x if left else y)["text"].iat[k].encode("utf-8", "replace")], idf)
+            parts[left, k] = hashes, weights.astype(np.float64), float(weights.sum(dtype=np.float64))
+        return parts[left, k]
+
+    links = []
+    for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        if (ca := find(int(cx[a]))) == (cb := find(int(cy[b]))):
+            continue
+        (ha, wa, ta), (hb, wb, tb) = shingled(True, a), shingled(False, b)
+        at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
+        low = np.minimum(wa, wb[at])[hb[at] == ha].sum()
+        if low >= similarity * (ta + tb - low):
+            of[ca] = cb
+            links.append((int(x["b"].iat[a]), int(y["b"].iat[b])))
+    return links
+
+
+def _across_classes(members: DataFrame, signed: DataFrame, texts: DataFrame, idf, near: int, similarity: float) -> DataFrame:
+    """(a, b): links between members of one bucket that are of two classes, enough to connect them.
 
     ``members``: (bucket, a, b, class_a, class_b), b a member and a its leader.
     """
     sizes = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("m"), F.count_if(F.col("class_a") != F.col("class_b")).alias("f")
     )
-    mixed = members.join(sizes.filter("f > 1 OR (f > 0 AND m > 2)"), "bucket").join(
-        signed.select(F.col("rep").alias("b"), "samples"), "b"
-    )
+    mixed = members.join(sizes.filter("f > 1 OR (f > 0 AND m > 2)"), "bucket").join(signed.withColumnRenamed("rep", "b"), "b")
+    mixed = mixed.join(texts.select(F.col("rep").alias("b"), "text"), "b").withColumn("f_own", F.col("class_a") != F.col("class_b"))
     blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("int")
     deal = lambda n, salt: F.pmod(F.xxhash64("b", F.lit(salt)), F.col(n)).cast("int")
     mixed = mixed.withColumns({"bf": blocks("f"), "bm": blocks("m")})
-    columns = ["bucket", "b", "class_b", "samples"]
-    left = mixed.filter("class_a <> class_b").select(
-        *columns, F.lit(True).alias("left"), deal("bf", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("j")
-    )
-    right = mixed.select(
-        *columns, F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), F.col("bf") - 1)).alias("i"), deal("bm", 2).alias("j")
-    )
+    columns = ["bucket", "b", "class_b", "samples", "buckets", "text"]
+    one = mixed.filter("bm = 1").select(*columns, F.col("f_own").alias("x"), F.lit(True).alias("y"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+    many = mixed.filter("bm > 1")
+    left = many.filter("f_own").select(
+        *columns, F.lit(True).alias("x"), F.lit(False).alias("y"),
+        deal("bf", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("j"),
+    )
+    right = many.select(
+        *columns, F.lit(False).alias("x"), F.lit(True).alias("y"),
+        F.explode(F.sequence(F.lit(0), F.col("bf") - 1)).alias("i"), deal("bm", 2).alias("j"),
+    )
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["left"]], pdf[~pdf["left"]]
-        if not len(x) or not len(y):
-            return pd.DataFrame({"a": np.zeros(0, dtype=np.int64), "b": np.zeros(0, dtype=np.int64)})
-        sx, sy = (np.frombuffer(b"".join(p["samples"]), dtype=np.uint16).reshape(len(p), -1) for p in (x, y))
-        agree = np.zeros((len(x), len(y)), dtype=np.int16)
-        for k in range(sx.shape[1]):
-            agree += sx[:, k, None] == sy[None, :, k]
-        cx, cy = x["class_b"].to_numpy(), y["class_b"].to_numpy()
-        i, j = np.nonzero((agree >= near) & (cx[:, None] != cy[None, :]))
-        a, b = x["b"].to_numpy()[i], y["b"].to_numpy()[j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        x, y = pdf[pdf["x"]], pdf[pdf["y"]]
+        links = _merged(x, y, int(pdf["bucket"].iat[0]), idf.value, near, similarity) if len(x) and len(y) else []
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return left.unionByName(right).groupBy("bucket", "i", "j").applyInPandas(work, "a long, b long").distinct()
+    return one.unionByName(left).unionByName(right).groupBy("bucket", "i", "j").applyInPandas(work, "a long, b long")
 
 
 def verified_links(texts: DataFrame, idf, similarity: float, bands: int, rows: int) -> DataFrame:
@@ -252,8 +292,8 @@ def verified_links(texts: DataFrame, idf, similarity: float, bands: int, rows: i
     second = classed.filter("class_a <> class_b").groupBy("bucket").agg(F.min("b").alias("second"), F.count(F.lit(1)).alias("n"))
     again = classed.filter("class_a <> class_b").join(second.filter("n > 1"), "bucket").filter("b <> second")
     verify(again.select(F.col("second").alias("a"), "b").distinct())
-    verify(_across_classes(with_classes(), signed, NEAR_SAMPLES * bands * rows // (BANDS * ROWS)))
-    return links
+    near = NEAR_SAMPLES * bands * rows // (BANDS * ROWS)
+    return links.union(materialize(_across_classes(with_classes(), signed, texts, idf, near, similarity), "across"))
 
 
 def near_duplicates(
