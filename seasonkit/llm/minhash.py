@@ -107,10 +107,10 @@ def samples(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int)
     out = np.empty((len(starts), n), dtype=np.uint64)
     low = np.uint64(DRAWS - 1)
     for i in range(n):
-        h = mix(hashes ^ _SEEDS[i])
-        r = _R[(h & low).astype(np.int32)]
-        beta = _BETA[((h >> np.uint64(16)) & low).astype(np.int32)]
-        ln_c = _LN_C[((h >> np.uint64(32)) & low).astype(np.int32)]
+        h = hashes * (_SEEDS[i] | np.uint64(1))  # hashes are mixed already; the upper bits are used
+        r = _R[h >> np.uint64(50)]
+        beta = _BETA[(h >> np.uint64(36)) & low]
+        ln_c = _LN_C[(h >> np.uint64(22)) & low]
         t = np.floor(ln_w / r + beta)
         a = ln_c - r * (t - beta + 1)
         least = np.minimum.reduceat(a, starts)
