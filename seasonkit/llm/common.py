@@ -13,8 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def text_or_empty(col: str = "text") -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
+def boxed(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``df``, and every row as it came in the struct ``_row``.
+
+    Names that an operator adds cannot clash with other columns of the input.
+    """
+    return df.select(*columns, F.struct("*").alias("_row"))
+
+
+def unboxed(df: DataFrame, **changed: Column) -> DataFrame:
+    """The rows of ``boxed`` again, some columns changed."""
+    names = df.schema["_row"].dataType.names
+    return df.select(*[changed[c].alias(c) if c in changed else F.col("_row").getField(c).alias(c) for c in names])
 
 
 def small_side(df: DataFrame, rows: int, most: int) -> DataFrame:

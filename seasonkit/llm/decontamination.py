@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import small_side
+from .common import boxed, small_side, unboxed
 
 WINDOW = 13
 #: Equal words that make a proximity match in a full window; shorter items need three quarters.
@@ -196,4 +196,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they came."""
     bad = contamination(docs, benchmark).filter("contaminated").select("doc_id").distinct()
     known = bad.withColumnRenamed("doc_id", "_bad")
-    return docs.join(known, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return unboxed(boxed(docs, "doc_id").join(known, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti"))

@@ -26,7 +26,8 @@ adaptive execution.
 
 Defined cases: a null text is in a class of its own; texts without words are in one class
 only when equal; repeated ids with one text are in one class and each row is returned; an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; rows with a null id are returned and kept; unlike texts under one
+id count as one document; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import boxed, unboxed
 from .components import connected_components
 from .shingles import batches, distinct_shingles, mix, shingle_hashes
 
@@ -333,4 +335,4 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The first document of every class, with its columns as they came."""
     kept = near_duplicates(docs, similarity).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return unboxed(boxed(docs, "doc_id").join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi"))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import replace_spans, small_side
+from .common import boxed, replace_spans, small_side, unboxed
 
 # Fixed values of the contract: the patterns and the order of the kinds.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -215,6 +215,6 @@ def sanitise_documents(docs: DataFrame) -> DataFrame:
         F.array_sort(F.concat(F.transform("base", mark), F.transform("extra", gone))).alias("_spans"),
     ).filter(F.size("_spans") > 0)
     key = F.xxhash64("doc_id", "text")
-    joined = docs.join(spans, (key == F.col("_found")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    joined = boxed(docs, "doc_id", "text").join(spans, (key == F.col("_found")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
     cleaned = F.when(F.col("_spans").isNotNull(), replace_spans(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    return joined.withColumn("text", cleaned).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unboxed(joined, text=cleaned)

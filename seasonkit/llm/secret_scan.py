@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import replace_spans
+from .common import boxed, replace_spans, unboxed
 
 # Fixed values of the contract: the patterns, their least lengths, the order of the kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -292,10 +292,11 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", fdr: float = FDR) ->
 
     ``n_chars``, where the table has it, follows the new text. Other columns stay.
     """
-    scanned = scan_secrets(docs, fdr)
+    scanned = scan_secrets(boxed(docs, "text"), fdr)
     marked = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mark).alias("mark")))
-    cleaned = replace_spans(F.col("text"), marked)
-    out = scanned.withColumn("text", cleaned)
+    text = replace_spans(F.col("text"), marked)
+    n_chars = F.when(F.size("_spans") > 0, F.char_length(text).cast("long"))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.coalesce(n_chars, F.col("_row").getField("n_chars"))
+    return unboxed(scanned, **changed)

@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import boxed, unboxed
+
 N_FEATURES = 1 << 16
 FACTORS = 4
 MAX_TRAIN_ROWS = 40_000
@@ -130,4 +132,4 @@ def classify_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with their columns as they came."""
     model = fit_toxicity(docs, labels)
-    return score_toxicity(docs, model).filter("_score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unboxed(score_toxicity(boxed(docs, "text"), model).filter("_score < 0.5"))

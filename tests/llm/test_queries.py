@@ -1,0 +1,204 @@
+"""Registered queries against DuckDB SQL or plain Python over whole small tables."""
+
+import hashlib
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+from seasonkit.llm import kneser_ney, minhash, packing, toxicity
+from seasonkit.llm.common import table
+from seasonkit.llm.queries import ORACLE, QUERIES
+from tests.conftest import SF_MID, SF_SMALL
+from tests.oracle_compare import compare_frames, duck
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_oracle(spark, name):
+    ok, why = compare_frames(QUERIES[name](spark, SF_MID).toPandas(), duck(SF_MID).execute(ORACLE[name]).df())
+    assert ok, why
+
+
+def texts(spark, sf=SF_MID):
+    return {r.doc_id: r.text or "" for r in table(spark, sf, "documents").collect()}
+
+
+def digest(spans):
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans)).encode()).hexdigest()
+
+
+def test_secrets(spark):
+    got = QUERIES["op4_secret_scan"](spark, SF_MID).toPandas().set_index("doc_id")
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
+    for i, t in texts(spark).items():
+        spans = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(t) if len(m[2]) >= 6]
+        spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        assert got.base_sha256[i] == digest(spans)
+        assert {f"{k}:{s}:{e}" for s, _, e, k in spans} <= set(got.spans[i].split(",")) | {""}
+
+
+def test_personal_data(spark):
+    got = QUERIES["op7_pii_sanitisation"](spark, SF_MID).toPandas().set_index("doc_id")
+
+    def luhn(m):
+        d = [int(c) for c in re.sub("[ -]", "", m)]
+        return 12 <= len(d) <= 19 and sum(sum(divmod(c * (1 + i % 2), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
+
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", luhn),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    ]
+    for i, t in texts(spark).items():
+        spans = [(m.start(), o, m.end(), k) for o, (k, p, ok) in enumerate(kinds) for m in re.finditer(p, t) if ok(m[0])]
+        assert got.base_sha256[i] == digest(spans)
+
+
+def test_repeats(spark):
+    got = QUERIES["op5_bucket_pointer_dedup"](spark, SF_SMALL).toPandas().set_index("doc_id")
+    first: dict[bytes, int] = {}
+    for i, t in sorted(texts(spark, SF_SMALL).items()):
+        b = t.encode()
+        gone = np.zeros(len(b) + 2, dtype=bool)
+        for p in range(len(b) - 49):
+            if first.get(b[p : p + 50], i) < i:
+                gone[p + 1 : p + 51] = True
+        for p in range(len(b) - 49):
+            first.setdefault(b[p : p + 50], i)
+        kept = bytes(c for c, g in zip(b, gone[1:], strict=False) if not g)
+        spans = int((np.diff(gone.astype(int)) == 1).sum())
+        assert tuple(got.loc[i]) == (len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+    assert got.n_removed.sum() > 0
+
+
+def test_shards(spark):
+    got = QUERIES["op10_rendezvous_sharding"](spark, SF_MID).toPandas().set_index("doc_id")
+    t = texts(spark)
+
+    def shard(i, n):
+        u = [(xxhash.xxh64(struct.pack("<q", s), seed=xxhash.xxh64(struct.pack("<q", i), seed=42).intdigest()).intdigest() >> 11) for s in range(n)]
+        return max(range(n), key=lambda s: u[s])  # equal weights: the largest draw wins
+
+    for i, row in got.iterrows():
+        b = t[i].encode()
+        assert (row["size"], row.text_crc32, row.law) == (len(b) + 1, zlib.crc32(b), "key")
+        assert (row["shard"], row.grown_shard) == (shard(i, 8), shard(i, 9))
+        assert row.grown_shard in (row["shard"], 8)
+    for _, rows in got.groupby("shard"):
+        assert sorted(rows["slot"]) == list(range(len(rows)))
+
+
+def test_packing(spark):
+    got = QUERIES["op3_best_fit_packing"](spark, SF_MID).toPandas()
+    words = {i: len(t.split()) for i, t in texts(spark).items()}
+    assert got.groupby("doc_id")["length"].sum().to_dict() == words
+    placed = got[got.bin_id.notna()].sort_values(["bin_id", "bin_offset"])
+    for _, b in placed.groupby("bin_id"):
+        assert (b.bin_offset.to_numpy() == np.append(0, b["length"].cumsum()[:-1])).all()
+        used = b["length"].sum()
+        assert b.capacity.iloc[0] == min(c for c in packing.CAPACITIES if c >= used)
+    bins = placed.drop_duplicates("bin_id")
+    assert bins.bin_used.sum() / bins.capacity.sum() > 0.97
+
+
+def test_minhash_against_all_pairs(spark):
+    got = QUERIES["op1_minhash_dedup"](spark, SF_MID).toPandas().set_index("doc_id")
+    t = texts(spark)
+    docs = sorted(t)
+    encoded = [t[i].encode() for i in docs]
+    df = np.zeros(minhash.IDF_BUCKETS, dtype=np.int64)
+    for b in encoded:
+        _, h, _ = minhash.distinct_shingles(*minhash.shingle_hashes([b]))
+        df += np.bincount(minhash._bucket(h, minhash.IDF_BUCKETS), minlength=minhash.IDF_BUCKETS)
+    idf = minhash.idf_weights(df, len(docs))
+    holders: dict[int, list[int]] = {}
+    for k, h in zip(*minhash.shingle_hashes(encoded)):
+        holders.setdefault(int(h), []).append(int(k))
+    pairs = sorted({(a, b) for v in holders.values() for a in set(v) for b in set(v) if a < b})
+    sims = minhash.weighted_jaccard([encoded[a] for a, _ in pairs], [encoded[b] for _, b in pairs], idf)
+    parent = {i: i for i in docs}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for (a, b), s in zip(pairs, sims, strict=True):
+        if s >= minhash.SIMILARITY or t[docs[a]] == t[docs[b]]:
+            x, y = sorted((find(docs[a]), find(docs[b])))
+            parent[y] = x
+    assert got.class_id.to_dict() == {i: find(i) for i in docs}
+    assert (got.kept == (got.index == got.class_id)).all()
+
+
+def test_kneser_ney_against_plain_counts(spark):
+    """Probabilities of one small text, by the textbook recursion over dictionaries."""
+    text = "the cat sat on the mat. the cat sat! a bat sat, the rat ran at the cat. 12 of 30"
+    df = spark.createDataFrame([("en", text)], "lang string, text string")
+    model = kneser_ney.build_model(kneser_ney.count_ngrams(df))["en"]
+    assert np.allclose(np.exp(model.astype(float)).reshape(-1, kneser_ney.SIZE).sum(axis=1), 1, atol=1e-5)
+    top = [tuple((int(g) >> (5 * (3 - k))) & 31 for k in range(4)) for g in kneser_ney.ngrams(text)]
+    counts = [{} for _ in range(5)]
+    for g in top:
+        counts[4][g] = counts[4].get(g, 0) + 1
+    for n in (3, 2, 1):
+        for g in counts[n + 1]:
+            counts[n][g[1:]] = counts[n].get(g[1:], 0) + 1
+
+    def p(g):
+        if not g:
+            return 1 / kneser_ney.SIZE
+        c = counts[len(g)]
+        n = [sum(v == k for v in c.values()) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
+        d = []
+        for k in (1, 2, 3):
+            x = k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0
+            d.append(min(x, k) if x > 0 else 0.5 * k)
+        own = [v for x, v in c.items() if x[:-1] == g[:-1]]
+        if not own:
+            return p(g[1:])
+        v = c.get(g, 0)
+        return (max(v - d[min(v, 3) - 1], 0) if v else 0) / sum(own) + sum(d[min(v, 3) - 1] for v in own) / sum(own) * p(g[1:])
+
+    for g in [*top[::7], (1, 2, 3, 4), (20, 8, 5, 27)]:
+        at = sum(x << (5 * (3 - k)) for k, x in enumerate(g))
+        assert np.isclose(np.exp(float(model[at])), p(g), rtol=1e-4)
+
+
+def test_quality_and_toxicity_on_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = table(spark, sf, "labels").toPandas().set_index("doc_id")
+    held = [i for i in labels.index if zlib.crc32(str(i).encode()) % 5 == 0]
+    kept = QUERIES["op6_kneser_ney_quality"](spark, sf).toPandas().set_index("doc_id").kept.loc[held]
+    good = labels.quality.loc[held] == 1
+    assert kept[good].mean() > 0.96 and kept[~good].mean() < 0.35
+    got = QUERIES["op9_toxicity"](spark, sf).toPandas().set_index("doc_id")
+    assert got.score.between(0, 1).all() and got.held_out.sum() == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in got.index)
+    toxic, said = labels.toxic.loc[held] == 1, got.predicted.loc[held] == 1
+    assert said[toxic].mean() > 0.6 and said[~toxic].mean() < 0.03
+
+
+def test_pipeline_stages(spark):
+    docs = table(spark, SF_MID, "documents")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, SF_MID)
+        assert after.columns == docs.columns, name
+        after = spark.createDataFrame(after.toPandas(), docs.schema)
+        assert 0 < after.count() <= before.count()
+        if name == "secrets":
+            assert after.filter("text rlike 'AKIA[A-Z0-9]{16}'").count() == 0 < before.filter("text rlike 'AKIA[A-Z0-9]{16}'").count()
+        if name == "decontamination":
+            hit = QUERIES["op8_benchmark_decontamination"](spark, SF_MID).filter("contaminated").select("doc_id")
+            assert after.join(hit, "doc_id").count() == 0
+        before = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, before, SF_MID).toPandas()
+    assert packed.groupby("doc_id")["length"].sum().sum() == sum(len((r.text or "").split()) for r in before.collect())
+    assert toxicity.STEM == 4
