@@ -75,10 +75,9 @@ def document_frequencies(texts: DataFrame, buckets: int = IDF_BUCKETS) -> tuple[
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, n = np.zeros(buckets, dtype=np.int64), 0
         for pdf in parts:
-            docs = _encoded(pdf["text"])
-            n += len(docs)
-            for a, b in batches(docs):
-                owner, hashes, _ = distinct_shingles(*shingle_hashes(docs[a:b]))
+            n += len(pdf)
+            for a, b in batches(pdf["text"].map(len)):
+                owner, hashes, _ = distinct_shingles(*shingle_hashes(_encoded(pdf["text"].iloc[a:b])))
                 seen += np.bincount(_bucket(hashes, buckets), minlength=buckets)
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(seen[at], n)})
@@ -141,9 +140,9 @@ def _signed(texts: DataFrame, idf, bands: int, rows: int) -> DataFrame:
 
     def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            docs, ids = _encoded(pdf["text"]), pdf["rep"].to_numpy()
-            for a, b in batches(docs):
-                owner, hashes, weights = weighted_shingles(docs[a:b], idf.value)
+            ids = pdf["rep"].to_numpy()
+            for a, b in batches(pdf["text"].map(len)):
+                owner, hashes, weights = weighted_shingles(_encoded(pdf["text"].iloc[a:b]), idf.value)
                 if not len(owner):
                     continue
                 drawn = samples(owner, hashes, weights, bands * rows)
@@ -174,11 +173,11 @@ def _compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
 
     def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            left, right = _encoded(pdf["text_a"]), _encoded(pdf["text_b"])
-            for s, e in batches([x + y for x, y in zip(left, right, strict=True)]):
+            for s, e in batches(pdf["text_a"].map(len) + pdf["text_b"].map(len)):
+                left, right = _encoded(pdf["text_a"].iloc[s:e]), _encoded(pdf["text_b"].iloc[s:e])
                 yield pd.DataFrame({
                     "a": pdf["a"].to_numpy()[s:e], "b": pdf["b"].to_numpy()[s:e],
-                    "similarity": weighted_jaccard(left[s:e], right[s:e], idf.value),
+                    "similarity": weighted_jaccard(left, right, idf.value),
                 })
 
     text = texts.select("rep", "text")

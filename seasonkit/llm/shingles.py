@@ -6,13 +6,13 @@ case. A shingle is ``SHINGLE_WORDS`` words in a row, or all words of a shorter t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 SHINGLE_WORDS = 5
 #: Bytes of text worked on at once; a longer text is a batch of its own.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
 
 _rng = np.random.default_rng(20240229)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -45,16 +45,16 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def batches(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Slices of a list of texts of about ``BATCH_BYTES`` each."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_BYTES:
+def batches(lengths: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Slices of texts of these lengths, of about ``BATCH_BYTES`` each."""
+    start, size, i = 0, 0, -1
+    for i, n in enumerate(lengths):
+        if size and size + n > BATCH_BYTES:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+    if start <= i:
+        yield start, i + 1
 
 
 def shingle_hashes(texts: list[bytes], k: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
