@@ -119,6 +119,10 @@ def _svm_scores(train_v, test_v, keys, n, s, model, ord_):
     return score_rows(out, model, ord_, keys, platt_prob(F.col("margin"), a, b), F.col("margin"))
 
 
+#: Partitions of a forest's training table: part of the result, like the seed.
+FOREST_PARTITIONS = 16
+
+
 def fit_score(
     kind: str,
     train: DataFrame,
@@ -200,11 +204,9 @@ def fit_score(
     else:
         raise ValueError(f"unknown learner {kind!r}")
     if kind == "random_forest":
-        # per-level histogram work of the whole forest is CPU-heavy: give it at
-        # least one task per core even when the training table is tiny
-        par = train.sparkSession.sparkContext.defaultParallelism
-        if trv.rdd.getNumPartitions() < par:
-            trv = trv.repartition(par)
+        # bagging is seeded per partition: a fixed number of partitions by key, sorted
+        # within, gives the same forest on any machine and file layout
+        trv = trv.repartition(FOREST_PARTITIONS, *keys).sortWithinPartitions(*keys)
     fitted = est.fit(trv)
     out = fitted.transform(tev)
     margin = _raw1() if kind in ("logit", "gbt") else None

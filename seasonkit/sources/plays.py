@@ -30,6 +30,8 @@ def read_play_files(
     CSV files are read with their header and columns are taken **by name**
     and cast to the declared types (a season file has hundreds of columns in
     an order that is not fixed); ``NA`` is missing, as in the published files.
+    Files of one scan must share their header, and a file name without a season
+    fails: either would otherwise lose or swap columns and rows unseen.
     The CSV parser only parses the selected columns. The season comes from
     ``year=`` partition folders when present (filters on ``year`` then prune
     folders), else from the file name (``play_by_play_2019.csv.gz``) through
@@ -37,7 +39,8 @@ def read_play_files(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("nullValue", "NA").csv(paths)
+        # one scan has one header: a file with another one fails instead of being read by position
+        raw = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "NA").csv(paths)
     else:
         raw = spark.read.format(fmt).load(paths)
     return typed_plays(raw, schema)
@@ -56,7 +59,8 @@ def typed_plays(raw: DataFrame, schema=PLAY_CSV_SCHEMA, file_col: str | None = N
         return raw.select(*cols, F.col("year").cast("string").alias("year"))
     path = F.col(file_col) if file_col else F.col("_metadata.file_path")
     season = F.regexp_extract(path, SEASON_FILE_PATTERN, 1)
-    return raw.select(*cols, F.when(season != "", season).alias("year"))
+    unnamed = F.raise_error(F.concat(F.lit("no season in the file name "), path)).cast("string")
+    return raw.select(*cols, F.when(season != "", season).otherwise(unnamed).alias("year"))
 
 
 def write_seasons(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:

@@ -6,6 +6,7 @@ import os
 import pytest
 
 from seasonkit.operators import features as fe
+from seasonkit.schema import PLAY_CSV_SCHEMA
 from seasonkit.sources import read_play_files
 
 
@@ -37,3 +38,21 @@ def test_missing_required_column_fails(spark, tmp_path):
     _write(os.path.join(tmp_path, "play_by_play_2019.csv.gz"), ["game_id"], [["g"]])
     with pytest.raises(ValueError):
         read_play_files(spark, str(tmp_path))
+
+
+def test_unlike_headers_fail(spark, tmp_path):
+    header = [f.name for f in PLAY_CSV_SCHEMA.fields]
+    swapped = list(header)
+    i, j = header.index("yardline_100"), header.index("yards_gained")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    for year, names in ((2019, header), (2020, swapped)):
+        _write(os.path.join(tmp_path, f"play_by_play_{year}.csv.gz"), names, [["1"] * len(names)])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_play_files(spark, str(tmp_path)).collect()
+
+
+def test_file_name_without_season_fails(spark, tmp_path):
+    header = [f.name for f in PLAY_CSV_SCHEMA.fields]
+    _write(os.path.join(tmp_path, "pbp_2019.csv.gz"), header, [["1"] * len(header)])
+    with pytest.raises(Exception, match="no season in the file name"):
+        read_play_files(spark, str(tmp_path)).collect()
