@@ -52,6 +52,8 @@ def main() -> None:
         return out
 
     def count(df):
+        """Run the whole plan (count() alone would let unused columns go), then count."""
+        df.write.format("noop").mode("overwrite").save()
         return df.count()
 
     st = timed("season_features", lambda: C.labelled_seasons(spark, sf_dir))

@@ -4,6 +4,7 @@ from .columns import (
     eq_flag,
     mean_,
     nan_to_null,
+    required,
     round6,
     sq_dist,
     sum0,
@@ -15,6 +16,7 @@ __all__ = [
     "eq_flag",
     "mean_",
     "nan_to_null",
+    "required",
     "round6",
     "sq_dist",
     "sum0",

@@ -27,6 +27,14 @@ def nan_to_null(c) -> Column:
     return F.nanvl(x, F.lit(None).cast("double"))
 
 
+def required(c, keys=()) -> Column:
+    """A floating column that must be present: null and NaN fail, naming the column and the row's keys."""
+    x = col_(c).cast("double")
+    where = [F.concat(F.lit(f" {k}="), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys]
+    fail = F.raise_error(F.concat(F.lit(f"missing value in {c if isinstance(c, str) else 'a column'}:"), *where))
+    return F.when(x.isNull() | F.isnan(x), fail.cast("double")).otherwise(x)
+
+
 def mean_(c) -> Column:
     """pandas ``mean``: skips missing values, null when every value is missing."""
     return F.avg(col_(c))

@@ -17,9 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import required
 from ..schema import MODEL_CUTOFFS, THRESHOLDS
 
 MODEL_COLS = ("model", "model_ord")
+CUTOFF_ROWS = 100_000
 
 
 def _count_if(cond):
@@ -34,8 +36,9 @@ def confusion_counts(
     group: Sequence[str] = MODEL_COLS,
 ) -> DataFrame:
     """(group..., threshold, tp, fp, tn, fn, n) for every cut-off; predicted
-    class is 1 when ``prob > threshold`` (strict)."""
-    p, y = F.col(prob), F.col(label)
+    class is 1 when ``prob > threshold`` (strict). A null or NaN probability or
+    label fails: it would leave the denominator or count as class 1 unseen."""
+    p, y = required(prob, group), required(label, group)
     aggs = []
     for i, t in enumerate(thresholds):
         hit = p > F.lit(float(t))
@@ -158,8 +161,8 @@ def prediction_counts(
     scores: DataFrame, pred: str = "prediction", label: str = "label", group: Sequence[str] = MODEL_COLS
 ) -> DataFrame:
     """Confusion counts of each model's own decision (``prediction``), one
-    aggregate; ``threshold`` is null."""
-    p, y = F.col(pred), F.col(label)
+    aggregate; ``threshold`` is null. A missing decision or label fails."""
+    p, y = required(pred, group), required(label, group)
     cc = scores.groupBy(*group).agg(
         _count_if((p == 1) & (y == 1)).alias("tp"),
         _count_if((p == 1) & (y != 1)).alias("fp"),
@@ -187,13 +190,15 @@ def cutoff_table(spark, cutoffs=MODEL_CUTOFFS) -> DataFrame:
 def report_at_cutoffs(scores: DataFrame, cutoffs: DataFrame, prob: str = "p1", label: str = "label") -> DataFrame:
     """Classification report of each model at its own cut-off.
 
-    ``cutoffs`` (model, cutoff) has one row per model -- a fixed, tiny table --
-    so it is broadcast; the score table is never shuffled for the join.
+    ``cutoffs`` (model, cutoff) has one row per model; it is broadcast up to
+    ``CUTOFF_ROWS`` rows, so that the scores aren't shuffled by a few models. A model without a cut-off fails instead of
+    leaving the report, as does a null or NaN probability or label.
     """
-    s = scores.join(F.broadcast(cutoffs), "model")
-    hit = F.col(prob) > F.col("cutoff")
-    y = F.col(label)
-    cc = s.groupBy(*MODEL_COLS, F.col("cutoff").alias("threshold")).agg(
+    small = cutoffs.count() <= CUTOFF_ROWS
+    s = scores.join(F.broadcast(cutoffs) if small else cutoffs, "model", "left")
+    hit = required(prob, MODEL_COLS) > F.col("cutoff")
+    y = required(label, MODEL_COLS)
+    cc = s.groupBy(*MODEL_COLS, required("cutoff", MODEL_COLS).alias("threshold")).agg(
         _count_if(hit & (y == 1)).alias("tp"),
         _count_if(hit & (y != 1)).alias("fp"),
         _count_if(~hit & (y != 1)).alias("tn"),

@@ -14,19 +14,20 @@ Plan, all distributed:
 3. Each query keeps only the leaves whose box can hold its nearest point:
    ``mindist(q, box) <= min over boxes of minmaxdist(q, box)`` (Roussopoulos,
    Kelley & Vincent, SIGMOD 1995; boxes are tight, so every face touches a
-   point). The leaf boxes (<= ``max_leaves`` rows) are a broadcast variable.
+   point). The leaf boxes (2 * dim doubles a leaf) are a broadcast variable;
+   more than ``max_leaves`` of them fail rather than making leaves grow.
 4. Candidate (query, leaf) rows meet the leaf's points in a cogroup keyed on
    (leaf, salt): a leaf wanted by many queries is split into chunks of at most
    ``query_chunk`` queries, and its (bounded) points are copied to each chunk.
    Distances are computed in NumPy per chunk; no pair is emitted as a row.
 5. The best candidate per query is a ``min_by`` aggregate (map-side combine).
 
-Ties on distance go to the lowest training key.
+Ties on distance go to the lowest training key. A missing feature (null or
+NaN) on either side fails with the row's keys, since it has no distance.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -35,22 +36,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import required
 from ..session import materialize
 
-_MAX_DEPTH = 60
+_MAX_DEPTH = 60  # node ids are int64: two bits fewer than they hold
 # NumPy work arrays are cut into blocks of at most this many doubles (32 MB).
 _BLOCK_CELLS = 4_000_000
 
 
-def _vec(features: Sequence[str]):
-    return F.array(*[F.col(c).cast("double") for c in features])
+def _vec(features: Sequence[str], keys: Sequence[str]):
+    return F.array(*[required(c, keys) for c in features])
 
 
 def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
-    """Assign ``node`` (leaf id) to every point; return (points, leaves array).
+    """Assign ``node`` (leaf id) to every point; return (points, leaf ids, corners).
 
-    ``points`` has ``x`` array<double>. ``leaves`` is a NumPy array of shape
-    (L, 1 + 2 * dim): leaf id, lower corner, upper corner. Each level is one
+    ``points`` has ``x`` array<double>, all different. Leaf ids are int64; corners
+    have shape (L, 2 * dim): lower, upper. No leaf holds more than ``leaf_size`` points; where
+    that needs more than ``max_leaves`` leaves or a deeper tree, it fails. Each level is one
     aggregate (count, box and the approximate median of every dimension per
     node) plus one write of the re-labelled points; the last level's
     aggregate doubles as the leaf table.
@@ -64,25 +67,22 @@ def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
     # the median only balances the split (any split value is exact), so small
     # sketches: rank error ~0.5 %, bounded memory per (node, dimension)
     stat_aggs += [F.percentile_approx(x[i], 0.5, 200).alias(f"md{i}") for i in range(dim)]
-    size = None
-    for _depth in range(_MAX_DEPTH):
+    for depth in range(_MAX_DEPTH + 1):
+        # one row per node, at most 2 * max_leaves of them
         stats = pts.groupBy("node").agg(*stat_aggs).collect()
-        if size is None:  # root level: n is the root count
-            n = sum(int(r["cnt"]) for r in stats)
-            size = max(int(leaf_size), math.ceil(n / max(1, int(max_leaves))))
         rows = []
         for r in stats:
-            if r["cnt"] <= size or r["node"] >= (1 << 61):
+            if r["cnt"] <= leaf_size:
                 continue
             spread = [r[f"hi{i}"] - r[f"lo{i}"] for i in range(dim)]
             k = int(np.argmax(spread))
-            if spread[k] <= 0:
-                continue
             lo, hi, m = float(r[f"lo{k}"]), float(r[f"hi{k}"]), float(r[f"md{k}"])
             s = m if m < hi else (lo + hi) / 2.0  # both sides non-empty
             rows.append((int(r["node"]), k, s))
         if not rows:
             break
+        if depth == _MAX_DEPTH or len(stats) + len(rows) > max_leaves:
+            raise ValueError(f"more than {max_leaves} leaves or {_MAX_DEPTH} levels: raise leaf_size ({leaf_size}) or max_leaves")
         # split table: one row per node to split (<= n / size rows), broadcast
         split = spark.createDataFrame(rows, "node long, dim int, s double")
         child = F.col("node") * 2 + (x[F.col("dim")] > F.col("s")).cast("long")
@@ -91,22 +91,18 @@ def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
         )
         pts = materialize(pts, "kd-level")
     stats = sorted(stats, key=lambda r: r["node"])
-    leaves = np.array(
-        [[r["node"]] + [r[f"lo{i}"] for i in range(dim)] + [r[f"hi{i}"] for i in range(dim)] for r in stats],
-        dtype=np.float64,
-    )
-    return pts, leaves
+    ids = np.array([r["node"] for r in stats], dtype=np.int64)
+    corners = np.array([[r[f"lo{i}"] for i in range(dim)] + [r[f"hi{i}"] for i in range(dim)] for r in stats], dtype=np.float64)
+    return pts, ids, corners.reshape(len(ids), 2 * dim)
 
 
 def _candidate_fn(leaves_bc, dim: int, key_names: Sequence[str]):
     def fn(it):
-        leaves = leaves_bc.value
-        ids = leaves[:, 0].astype(np.int64)
-        lo = leaves[:, 1 : 1 + dim]
-        hi = leaves[:, 1 + dim :]
+        ids, corners = leaves_bc.value
+        lo, hi = corners[:, :dim], corners[:, dim:]
         mid = (lo + hi) / 2.0
         for pdf in it:
-            if pdf.empty:
+            if pdf.empty or not len(ids):
                 continue
             q = np.stack(pdf["q"].to_numpy()).astype(np.float64)  # (m, d)
             out_rows = []
@@ -167,8 +163,8 @@ def nearest_neighbour(
     label: str = "label",
     train_keys: Sequence[str] = ("year", "posteam"),
     test_keys: Sequence[str] = ("year", "posteam"),
-    leaf_size: int = 4096,
-    max_leaves: int = 4096,
+    leaf_size: int = 256,
+    max_leaves: int = 1 << 20,
     query_chunk: int = 4096,
 ) -> DataFrame:
     """For each test row (unique ``test_keys``): the nearest training row's
@@ -179,15 +175,15 @@ def nearest_neighbour(
     key_names = list(test_keys)
 
     pts = train.select(
-        _vec(features).alias("x"),
+        _vec(features, train_keys).alias("x"),
         F.struct(*[F.col(k).alias(t) for k, t in zip(train_keys, tk_names)]).alias("tk"),
         F.col(label).cast("double").alias("y"),
     )
     pts = pts.groupBy("x").agg(F.min_by(F.struct("tk", "y"), F.col("tk")).alias("b")).select("x", "b.tk", "b.y")
-    pts, leaves = build_leaves(pts, dim, leaf_size, max_leaves)
-    leaves_bc = spark.sparkContext.broadcast(leaves)
+    pts, ids, corners = build_leaves(pts, dim, leaf_size, max_leaves)
+    leaves_bc = spark.sparkContext.broadcast((ids, corners))
 
-    q = test.select(*key_names, _vec(features).alias("q"))
+    q = test.select(*key_names, _vec(features, key_names).alias("q"))
     key_fields = [q.schema[k] for k in key_names]
     cand_schema = T.StructType(
         key_fields
@@ -198,7 +194,7 @@ def nearest_neighbour(
     cand = materialize(q.mapInPandas(_candidate_fn(leaves_bc, dim, key_names), cand_schema), "kd-candidates")
 
     # salt hot leaves: chunks of <= query_chunk queries per (leaf, salt); the
-    # salt table has one row per leaf (<= the leaf count fixed above), so it is
+    # salt table has one row per leaf (<= ``max_leaves``, checked above), so it is
     # broadcast under that bound
     per_leaf = cand.groupBy("leaf").agg(F.count(F.lit(1)).alias("nq"))
     salts = per_leaf.select("leaf", F.ceil(F.col("nq") / F.lit(float(query_chunk))).cast("int").alias("ns"))

@@ -33,6 +33,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import required
 from ..operators.nearest import nearest_neighbour
 from ..schema import RBF_GAMMA_FULL
 from ..session import materialize
@@ -101,7 +102,8 @@ def _svm_scores(train_v, test_v, keys, n, s, model, ord_):
     Platt-calibrated on out-of-fold margins."""
 
     def fit_margin(fit_rows, score_rows_):
-        m = _linear_svc(max(1, n), s).fit(fit_rows)
+        # a fold holds fewer rows than the table: its own count keeps C = 1
+        m = _linear_svc(max(1, fit_rows.count()), s).fit(fit_rows)
         return m.transform(score_rows_).withColumn("margin", _raw1())
 
     # k + 1 fits of ~100 passes each read the same vectors: keep them in
@@ -137,9 +139,10 @@ def fit_score(
     s = settings or Settings()
     model = model or kind
     keys = list(keys)
-    cols = [*keys, *features, "label"]
-    tr = train.select(*cols)
-    te = test.select(*cols)
+    # a missing feature fails for every learner (null and NaN would be scored as some value, or lost)
+    whole = [required(c, keys).alias(c) for c in features]
+    tr = train.select(*keys, *whole, required("label", keys).alias("label"))
+    te = test.select(*keys, *whole, "label")
     n = n_train if n_train is not None else tr.count()
 
     if kind == "knn":

@@ -18,6 +18,12 @@ from ..schema import DROPPED_PLAYER_COLUMNS, PLAY_CSV_SCHEMA
 
 SEASON_FILE_PATTERN = r"play_by_play_(\d{4})"
 
+# The texts that pandas reads as missing.
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def read_play_files(
     spark: SparkSession,
@@ -29,7 +35,7 @@ def read_play_files(
 
     CSV files are read with their header and columns are taken **by name**
     and cast to the declared types (a season file has hundreds of columns in
-    an order that is not fixed); ``NA`` is missing, as in the published files.
+    an order that is not fixed); ``MISSING_TOKENS`` are missing, as pandas reads them.
     Files of one scan must share their header, and a file name without a season
     fails: either would otherwise lose or swap columns and rows unseen.
     The CSV parser only parses the selected columns. The season comes from
@@ -40,21 +46,28 @@ def read_play_files(
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
         # one scan has one header: a file with another one fails instead of being read by position
-        raw = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "NA").csv(paths)
+        raw = spark.read.option("header", True).option("enforceSchema", False).csv(paths)
     else:
         raw = spark.read.format(fmt).load(paths)
-    return typed_plays(raw, schema)
+    return typed_plays(raw, schema, tokens=MISSING_TOKENS if fmt == "csv" else ())
 
 
-def typed_plays(raw: DataFrame, schema=PLAY_CSV_SCHEMA, file_col: str | None = None) -> DataFrame:
+def typed_plays(raw: DataFrame, schema=PLAY_CSV_SCHEMA, file_col: str | None = None, tokens=MISSING_TOKENS) -> DataFrame:
     """Columns of ``schema`` taken by name and cast; ``year`` from ``year=``
     folders, else from the season in the file name (``file_col`` or the scan's
-    file metadata)."""
+    file metadata). Texts in ``tokens`` become null; none for typed formats, so that
+    their filters still reach the scan."""
     optional = set(DROPPED_PLAYER_COLUMNS)
     missing = [f.name for f in schema.fields if f.name not in raw.columns and f.name not in optional]
     if missing:
         raise ValueError(f"season files lack required columns: {missing}")
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns]
+    is_text = dict(raw.dtypes)
+
+    def present(name: str) -> F.Column:
+        c = F.col(name)
+        return F.when(~c.isin(*tokens), c) if tokens and is_text[name] == "string" else c
+
+    cols = [present(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns]
     if "year" in raw.columns:
         return raw.select(*cols, F.col("year").cast("string").alias("year"))
     path = F.col(file_col) if file_col else F.col("_metadata.file_path")

@@ -10,7 +10,9 @@ replaced: replaying an epoch after a failure rewrites the same partitions
 (idempotent), and the stream's checkpoint records which files were done.
 
 A season must arrive as one file (the post-season label needs the season's
-post-season games); that is the layout of the published files.
+post-season games); that is the layout of the published files. A season whose
+games came from another batch already, or from two files, fails the stream: it
+would otherwise replace the earlier file's games.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import features as fe
-from ..sources.plays import typed_plays
+from ..sources.plays import SEASON_FILE_PATTERN, typed_plays
 
 
 def header_schema(spark: SparkSession, sample_file: str) -> T.StructType:
@@ -31,8 +33,24 @@ def header_schema(spark: SparkSession, sample_file: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in header])
 
 
+def _guard_seasons(files: DataFrame, out_dir: str) -> None:
+    """Note which file each season came from; fail where a season has two (one row per season)."""
+    spark = files.sparkSession
+    noted = f"{out_dir}/season_files"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(noted)
+    known = files
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        known = files.unionByName(spark.read.schema("year string, _file string").parquet(noted))
+    split = known.groupBy("year").agg(F.countDistinct("_file").alias("n")).filter("n > 1").limit(5).collect()
+    if split:
+        raise ValueError(f"seasons in more than one file: {sorted(r['year'] for r in split)}")
+    files.write.mode("append").parquet(noted)
+
+
 def _write_batch(out_dir: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
+        season = F.regexp_extract("_file", SEASON_FILE_PATTERN, 1)
+        _guard_seasons(batch.select("_file").distinct().select(season.alias("year"), "_file"), out_dir)
         plays = fe.prepare_plays(typed_plays(batch, file_col="_file"))
         games = fe.game_table(plays, prepared=True)
         seasons = fe.season_features(games)
@@ -60,7 +78,7 @@ def ingest_seasons(
     stream = (
         spark.readStream.schema(schema)
         .option("header", True)
-        .option("nullValue", "NA")
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(source_dir)
         .withColumn("_file", F.col("_metadata.file_path"))

@@ -119,3 +119,18 @@ def test_decision_grid_matches_numpy_arange(spark):
     assert xs == pytest.approx(list(np.arange(0.0, 2.2, 0.5)))
     assert ys == pytest.approx(list(np.arange(0.0, 1.1, 0.5)))
     assert g.count() == len(xs) * len(ys)
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_missing_probability_fails(spark, bad):
+    df = _scores(spark, [("m", 1, 1, 1.0, 0.2, 0.0), ("m", 1, 2, 0.0, bad, 0.0)])
+    with pytest.raises(Exception, match="missing value in p1: model=m"):
+        evaluate.confusion_counts(df).collect()
+
+
+def test_model_without_cutoff_fails(spark):
+    df = _scores(spark, [("m", 1, 1, 1.0, 0.2, 0.0), ("other", 2, 1, 1.0, 0.2, 0.0)])
+    cut = evaluate.cutoff_table(spark, [("m", 0.1)])
+    with pytest.raises(Exception, match="missing value in cutoff: model=other"):
+        evaluate.report_at_cutoffs(df, cut).collect()
+    assert evaluate.report_at_cutoffs(df.filter("model = 'm'"), cut).count() == 4

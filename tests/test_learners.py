@@ -114,3 +114,13 @@ def test_same_seed_same_output(spark, split):
     a = fit_score("mlp", tr, te, EMBED_FEATURES, ["vec_id"], "m", 1, FAST).orderBy("vec_id").toPandas()["p1"]
     b = fit_score("mlp", tr, te, EMBED_FEATURES, ["vec_id"], "m", 1, FAST).orderBy("vec_id").toPandas()["p1"]
     assert np.allclose(a, b)
+
+
+@pytest.mark.parametrize("kind", ["adaboost", "knn", "logit"])
+def test_missing_feature_fails(spark, split, kind):
+    tr, te = split
+    f = EMBED_FEATURES[0]
+    some = te.select("vec_id").orderBy("vec_id").first()[0]
+    te = te.withColumn(f, F.when(F.col("vec_id") != some, F.col(f)))
+    with pytest.raises(Exception, match=f"missing value in {f}: vec_id={some}"):
+        fit_score(kind, tr, te, EMBED_FEATURES, ["vec_id"], kind, 1, FAST).collect()

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from seasonkit.operators.nearest import nearest_neighbour
+from seasonkit.operators.nearest import build_leaves, nearest_neighbour
 
 
 def _brute(tr, te):
@@ -36,10 +36,36 @@ def test_exact_nearest_neighbour_matches_brute_force(spark, dim, leaf):
     te = spark.createDataFrame(
         [(int(i), *map(float, qs[i])) for i in range(n_te)], "qid int, " + ", ".join(f"{f} double" for f in feats)
     )
-    nn = nearest_neighbour(tr, te, feats, "label", ["rid"], ["qid"], leaf_size=leaf, max_leaves=64, query_chunk=16)
+    nn = nearest_neighbour(tr, te, feats, "label", ["rid"], ["qid"], leaf_size=leaf, query_chunk=16)
     got = {r["qid"]: (r["nn_label"], r["nn_dist"]) for r in nn.collect()}
     want = _brute([(i, xs[i], ys[i]) for i in range(n_tr)], [(i, qs[i]) for i in range(n_te)])
     assert set(got) == set(want)
     for k in want:
         assert got[k][0] == want[k][0]
         assert got[k][1] == pytest.approx(want[k][1], abs=1e-9)
+
+
+def test_default_leaves_are_many_and_bounded(spark):
+    rng = np.random.default_rng(3)
+    xs = spark.createDataFrame([([float(v) for v in x],) for x in rng.normal(size=(3000, 5))], "x array<double>")
+    pts, ids, corners = build_leaves(xs.selectExpr("x", "1 AS tk", "0D AS y"), 5, 256, 1 << 20)
+    sizes = [r["count"] for r in pts.groupBy("node").count().collect()]
+    assert len(ids) == len(sizes) >= 16 and ids.dtype == np.int64
+    assert max(sizes) <= 256 and sum(sizes) == 3000 and corners.shape == (len(ids), 10)
+    with pytest.raises(ValueError, match="leaves"):
+        build_leaves(xs.selectExpr("x", "1 AS tk", "0D AS y"), 5, 256, 4)
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+@pytest.mark.parametrize("side", ["train", "test"])
+def test_missing_feature_fails(spark, bad, side):
+    rows = {"train": [(1, 0.0, 1.0), (2, 1.0, 0.0)], "test": [(1, 0.5, 0.0), (2, 0.7, 0.0)]}
+    rows[side][1] = (7, bad, 0.0)
+    tr, te = (spark.createDataFrame(rows[s], "id int, a double, label double") for s in ("train", "test"))
+    with pytest.raises(Exception, match="missing value in a: id=7"):
+        nearest_neighbour(tr, te, ["a"], "label", ["id"], ["id"]).collect()
+
+
+def test_no_training_rows_answer_nothing(spark):
+    te = spark.createDataFrame([(1, 0.5, 0.0)], "id int, a double, label double")
+    assert nearest_neighbour(te.limit(0), te, ["a"], "label", ["id"], ["id"]).collect() == []

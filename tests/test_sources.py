@@ -56,3 +56,15 @@ def test_file_name_without_season_fails(spark, tmp_path):
     _write(os.path.join(tmp_path, "pbp_2019.csv.gz"), header, [["1"] * len(header)])
     with pytest.raises(Exception, match="no season in the file name"):
         read_play_files(spark, str(tmp_path)).collect()
+
+
+def test_missing_tokens_of_pandas(spark, tmp_path):
+    header = [f.name for f in PLAY_CSV_SCHEMA.fields]
+    rows = []
+    for token in ("NA", "NaN", "N/A", "null", ""):
+        row = ["1"] * len(header)
+        row[header.index("posteam")] = row[header.index("epa")] = row[header.index("yards_gained")] = token
+        rows.append(row)
+    _write(os.path.join(tmp_path, "play_by_play_2019.csv.gz"), header, rows)
+    got = read_play_files(spark, str(tmp_path)).select("posteam", "epa", "yards_gained").collect()
+    assert [tuple(r) for r in got] == [(None, None, None)] * 5

@@ -33,3 +33,15 @@ def test_stream_equals_batch(spark, tmp_path):
     for a, b in zip(g, w):
         assert a[:2] == b[:2]
         assert a[2:] == pytest.approx(b[2:])
+
+
+def test_season_in_two_files_fails(spark, tmp_path):
+    src = os.path.join(tmp_path, "src")
+    os.makedirs(src)
+    plays = plays_from_lineitem(spark, SF_SMALL).filter("year = '1996'").toPandas().drop(columns=["year"])
+    for part, name in ((plays.iloc[::2], "play_by_play_1996.csv.gz"), (plays.iloc[1::2], "play_by_play_1996_b.csv.gz")):
+        part.to_csv(os.path.join(src, name), index=False, na_rep="NA", compression="gzip")
+    schema = header_schema(spark, os.path.join(src, "play_by_play_1996.csv.gz"))
+    q = ingest_seasons(spark, src, os.path.join(tmp_path, "out"), os.path.join(tmp_path, "ckpt"), schema, 1)
+    with pytest.raises(Exception, match="more than one file"):
+        q.awaitTermination(300)
