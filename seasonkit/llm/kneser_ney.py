@@ -1,211 +1,351 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted text.
-
-The model is over characters in 31 classes (``SYMBOLS``): letters without case and accent,
-space, digit, sentence marks, other marks, other letters. ``ORDER`` is 4, so a language has at most
-2**20 n-grams: every table below has a proven bound, while no n-gram is cut off or sampled.
-
-1. Tasks count the n-grams of the trusted texts (label quality 1, ids not held out) and emit
-   each distinct one once; the counts are summed per (language, n-gram) shard.
-2. Continuation counts of the lower orders, the totals and discounts of the contexts and
-   the discounted probabilities are aggregations and joins of those sharded tables.
-3. The joined tables, of bounded size, are broadcast, and each text's perplexity is the
-   exponential of minus the mean log probability of its characters.
-4. A language's thresholds are quantiles of the perplexities of its trusted texts. Texts
-   above the high one are unlike trusted text, texts below the low one repeat themselves.
-
-Counts, statistics and quantiles cover all trusted rows. Languages are worked on ``LANGUAGES`` at a
-time, so memory does not grow with their number.
-
-Defined cases: a null or empty text has no symbols, a null perplexity, and is not kept; a
-null language is a language of its own; a language without trusted text is judged by the
-model and quantiles of all languages together; without any trusted text everything with a
-symbol is kept and its perplexity is null; repeated rows get a result each; other columns are ignored.
+"""Quality by perplexity: an interpolated modified Kneser-Ney bigram model of trusted text.
+
+The units are the words of ``words.words``; the border of a text is a word before its first one and after
+its last one. Every table grows with the input and is kept in shards: words and pairs of
+words are 64-bit keys, and no table of them reaches the driver or is broadcast whole.
+
+1. Trusted texts have label quality 1 and an id that is not held out. A quarter of them (by id) sets
+   the high thresholds, since a model knows the texts that it has counted too well; the others are
+   counted. Tasks count the pairs of those; Spark sums
+   the counts by pair. Followers and continuation counts of each word are aggregations of them.
+2. Joins of pairs and words give the discounted probabilities. The log probability of a word after
+   another is written as a sum of weights of keys, so that one join by key is enough::
+
+       log p(w | v) = unknown + weight(w as predicted) + weight(v as context) + weight(v, w)
+
+   where keys without trusted text weigh nothing. The last weight is the log of p(w | v)
+   over its share by interpolation alone.
+3. Texts send (key, text, count) to the shard of the key, where the model's weights meet them; the
+   sums return by text. This is done in ``ROUNDS`` slices of the keys, each written when done, so that
+   the shuffles of one slice alone stand on disk at a time.
+4. A language's thresholds are quantiles of the perplexities of its trusted texts: the high one of those
+   that were not counted, the low one of all, so that no counted text is taken for a repetitive one.
+   Texts above the high one are unlike trusted text, texts below the low one repeat common pairs.
+
+Skew: a word or pair with more than ``SHARE`` of all words of the documents is found by a counting
+pass over all of them. There are at most 2 / SHARE such keys; their weights are broadcast and
+applied where the text is, so no shard gathers a hot key. Equal texts of one language share one key, and their
+sums and lengths grow alike, so the perplexity stays right and copies need no rows of their own.
+
+Counts and statistics cover all counted rows, quantiles all trusted rows named above.
+
+Defined cases: a null or empty text has no words, a null perplexity, and is not kept; a
+null language is read as an empty one; a language without counted text is judged by the
+model of all languages together, one without quantiles by theirs; without any counted text perplexities are
+null, and without them or quantiles everything with a word is kept; repeated rows get a result each; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import small_side
 from .toxicity import held_out
+from .words import mix, words
 
-ORDER, BITS = 4, 5
-SIZE = 1 << BITS
+ROUNDS = 4
+BLOCK_CHARS = 1 << 23
+SHARE = 2.0**-15
+SHARD_ENTRIES = 1_000_000
+LEAST_SHARDS = 12
 LOW_QUANTILE, HIGH_QUANTILE = 0.005, 0.99
-LANGUAGES = 16
 BROADCAST_ROWS = 1_000_000
-POOLED = "*"
-
-SYMBOLS = {"space": 0, "letters": 1, "digit": 27, "sentence": 28, "mark": 29, "other": 30}
-
-
-def _class_of(c: int) -> int:
-    ch = chr(c)
-    base = unicodedata.normalize("NFD", ch)[0].lower()
-    if "a" <= base <= "z":
-        return SYMBOLS["letters"] + ord(base) - ord("a")
-    if ch.isspace() or c < 32:
-        return SYMBOLS["space"]
-    if ch.isdigit():
-        return SYMBOLS["digit"]
-    if ch in ".,;:?!'\"()-":
-        return SYMBOLS["sentence"]
-    return SYMBOLS["other"] if ch.isalpha() else SYMBOLS["mark"]
-
-
-_TABLE = np.array([_class_of(c) for c in range(0x250)], dtype=np.uint8)
-
-
-def symbols(text: str) -> np.ndarray:
-    """The class of every character of a text."""
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-    return np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], np.uint8(SYMBOLS["other"]))
-
-
-def ngrams(text: str) -> np.ndarray:
-    """The n-gram that ends in each character, spaces standing before the first one."""
-    s = np.concatenate([np.zeros(ORDER - 1, dtype=np.int32), symbols(text).astype(np.int32)])
-    n = len(s) - ORDER + 1
-    out = np.zeros(n, dtype=np.int32)
-    for k in range(ORDER):
-        out = (out << BITS) | s[k : k + n]
+POOLED = 0
+_BORDER = np.uint64(1)
+
+
+class Block:
+    """Word keys of some texts. ``doc`` is the text of each key, ``pair`` the key with the one after it."""
+
+    def __init__(self, rid: list[int], seed: list[int], texts: list[str]):
+        self.rid = np.array(rid, dtype=np.int64)
+        self.seed = np.array(seed, dtype=np.int64)
+        h, doc = words(texts)
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        border = first + np.arange(len(first))
+        self.doc = np.insert(doc, first, doc[first])
+        self.key = mix(np.insert(h, first, _BORDER) ^ self.seed.view(np.uint64)[self.doc])
+        self.next = np.roll(self.key, -1)
+        if len(border):
+            self.next[np.append(border[1:], len(self.key)) - 1] = self.key[border]
+        self.pair = (self.key << np.uint64(1) | self.key >> np.uint64(63)) ^ self.next
+
+
+def blocks(parts: Iterator[pd.DataFrame]) -> Iterator[Block]:
+    rows, size = ([], [], []), 0
+    for pdf in parts:
+        for row in zip(pdf["rid"], pdf["seed"], pdf["text"], strict=True):
+            for column, x in zip(rows, row, strict=True):
+                column.append(x)
+            size += len(row[2])
+            if size >= BLOCK_CHARS:
+                yield Block(*rows)
+                rows, size = ([], [], []), 0
+    if rows[0]:
+        yield Block(*rows)
+
+
+def pair_key(v: Column, w: Column) -> Column:
+    return F.shiftleft(v, 1).bitwiseOR(F.shiftrightunsigned(v, 63)).bitwiseXOR(w)
+
+
+def count_pairs(trusted: DataFrame) -> DataFrame:
+    """(seed, v, w, c) over all rows of ``trusted`` (rid, seed, text), written slice by slice."""
+    out = []
+    for r in range(ROUNDS):
+
+        def work(parts: Iterator[pd.DataFrame], r=r) -> Iterator[pd.DataFrame]:
+            for b in blocks(parts):
+                here = np.flatnonzero(b.pair % np.uint64(ROUNDS) == r)
+                _, at, c = np.unique(b.pair[here], return_index=True, return_counts=True)
+                at = here[at]
+                v, w = b.key[at].view(np.int64), b.next[at].view(np.int64)
+                yield pd.DataFrame({"seed": b.seed[b.doc[at]], "v": v, "w": w, "c": c})
+
+        counted = trusted.mapInPandas(work, "seed long, v long, w long, c long")
+        out.append(materialize(counted.groupBy("seed", "v", "w").agg(F.sum("c").alias("c")), "pairs"))
+    return _union(out)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
     return out
 
 
-def count_ngrams(trusted: DataFrame) -> DataFrame:
-    """(lang, g, c) over all rows of ``trusted`` (lang, text)."""
+def _discounts(prefix: str) -> list[Column]:
+    """Discounts of counts 1, 2 and 3 or more, from the numbers of keys counted once to four times."""
+    n = [F.col(f"{prefix}{k}").cast("double") for k in range(5)]
+    y = F.when(n[1] > 0, n[1] / (n[1] + 2 * n[2])).otherwise(F.lit(0.5))
+
+    def discount(k: int) -> Column:
+        d = F.when(n[k] > 0, k - (k + 1) * y * n[k + 1] / n[k])
+        return F.when(d > 0, F.least(d, F.lit(float(k)))).otherwise(F.lit(0.5 * k))
+
+    return [discount(k) for k in (1, 2, 3)]
+
+
+def _of(c: Column, d: list[Column]) -> Column:
+    return F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
+
+
+def _times(column: str, prefix: str) -> list[Column]:
+    return [F.count_if(F.col(column) == k).alias(f"{prefix}{k}") for k in range(5)]
+
+
+def build_model(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (seed, v, w, c): the weights (key, weight) and, by seed, the log probability of an unknown word."""
+    follows = pairs.groupBy("seed", F.col("v").alias("key")).agg(
+        F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("f1"), F.count_if(F.col("c") == 2).alias("f2"),
+        F.count_if(F.col("c") > 2).alias("f3"),
+    )
+    before = pairs.groupBy(F.col("w").alias("key")).agg(F.count(F.lit(1)).alias("k"))
+    types = materialize(follows.join(before, "key"), "types")
+    of_pairs = pairs.groupBy("seed").agg(*_times("c", "p"))
+    of_types = types.groupBy("seed").agg(
+        *_times("k", "t"), F.sum("k").alias("all_k"), F.count(F.lit(1)).alias("size"),
+        F.count_if(F.col("k") > 2).alias("more"),
+    )
+    d, t = _discounts("p"), _discounts("t")
+    held = (t[0] * F.col("t1") + t[1] * F.col("t2") + t[2] * F.col("more")) / F.col("all_k")
+    stats = of_pairs.join(of_types, "seed").select(
+        "seed", "all_k", *[x.alias(f"d{i}") for i, x in enumerate(d)], *[x.alias(f"e{i}") for i, x in enumerate(t)],
+        F.log(held / (F.col("size") + 1)).alias("unknown"),
+    )
+    stats = materialize(stats, "model-stats")
+    d, t = ([F.col(f"{x}{i}") for i in range(3)] for x in "de")
+    # a row for each language
+    types = types.join(F.broadcast(stats), "seed")
+    seen = (F.col("k") - _of(F.col("k"), t)) / F.col("all_k") + F.exp("unknown")
+    gamma = (d[0] * F.col("f1") + d[1] * F.col("f2") + d[2] * F.col("f3")) / F.col("total")
+    types = types.select("key", "total", "unknown", F.log(seen).alias("alone"), F.log(gamma).alias("back"))
+    types = materialize(types, "word-weights")
+    weights = [types.select("key", (F.col("alone") - F.col("unknown") + F.col("back")).cast("float").alias("weight"))]
+    v = types.select(F.col("key").alias("v"), "total", "back")
+    w = types.select(F.col("key").alias("w"), "alone")
+    for r in range(ROUNDS):
+        own = pairs.filter(pair_key(F.col("v"), F.col("w")).bitwiseAND(ROUNDS - 1) == r)
+        own = own.join(F.broadcast(stats.select("seed", "d0", "d1", "d2")), "seed")
+        own = own.select("v", "w", (F.col("c") - _of(F.col("c"), d)).alias("kept")).join(v, "v")
+        own = own.select("v", "w", (F.col("kept") / F.col("total")).alias("alpha"), "back").join(w, "w")
+        share = F.exp(F.col("back") + F.col("alone"))
+        gain = F.log1p(F.col("alpha") / share).cast("float")
+        weights.append(materialize(own.select(pair_key(F.col("v"), F.col("w")).alias("key"), gain.alias("weight")), "pair-weights"))
+    return _union(weights), stats.select("seed", "unknown")
+
+
+def frequent_keys(texts: DataFrame) -> tuple[DataFrame, int]:
+    """Words and pairs with more than about ``SHARE`` of all words of ``texts``, and the number of all words.
+
+    A block sends the keys that have SHARE of its own words (at least 4 times). A key with
+    2 * SHARE of all words has more than SHARE of them in blocks that send it; at most
+    2 / SHARE keys (words and pairs) pass.
+    """
 
     def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, np.ndarray] = {}
-        for pdf in parts:
-            for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                if lang not in seen:
-                    if len(seen) == LANGUAGES:  # bounded memory: send what is counted
-                        yield from _sent(seen)
-                        seen.clear()
-                    seen[lang] = np.zeros(SIZE**ORDER, dtype=np.int32)
-                np.add.at(seen[lang], ngrams(text), 1)
-        yield from _sent(seen)
-
-    def _sent(seen: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
-        for lang, counts in seen.items():
-            at = np.flatnonzero(counts)
-            yield pd.DataFrame({"lang": lang, "g": at, "c": counts[at].astype(np.int64)})
-
-    return trusted.mapInPandas(work, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
-
-
-def _order_table(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of one order's counts: (lang, g, alpha) and (lang, h, gamma), modified Kneser-Ney."""
-    n = [F.count_if(F.col("c") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)]
-    y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
-
-    def discount(k: int) -> F.Column:
-        d = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
-        return F.when((F.col(f"n{k}") > 0) & (d > 0), F.least(d, F.lit(float(k)))).otherwise(F.lit(0.5 * k)).alias(f"d{k}")
-
-    discounts = counts.groupBy("lang").agg(*n).select("lang", *[discount(k) for k in (1, 2, 3)])
-    own = counts.join(F.broadcast(discounts), "lang").withColumn(  # a row for each language
-        "d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+        for b in blocks(parts):
+            yield pd.DataFrame({"key": [None], "c": [len(b.key)]}, dtype="Int64")
+            for keys in (b.key, b.pair):
+                u, c = np.unique(keys, return_counts=True)
+                often = c >= max(4, SHARE * len(keys))
+                yield pd.DataFrame({"key": u[often].view(np.int64), "c": c[often]})
+
+    sums = texts.mapInPandas(work, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    sums = materialize(sums, "frequent")
+    row = sums.filter("key IS NULL").first()
+    total = row["c"] if row else 0
+    return sums.filter(F.col("key").isNotNull() & (F.col("c") >= SHARE * total)).select("key"), total
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Bytes of like weight together, compressed."""
+    planes = x.view(np.uint8).reshape(-1, x.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    got = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
+    return np.ascontiguousarray(got.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+_SENT = "shard int, rid binary, total binary, n binary, copies binary, key binary, doc binary, times binary"
+
+
+def _requests(b: Block, r: int, shards: int, often: np.ndarray, weight: np.ndarray) -> pd.DataFrame:
+    """The keys of slice ``r`` by shard; weights of the frequent keys are summed here."""
+    held, left = np.zeros(len(b.rid)), []
+    for keys in (b.key, b.pair):
+        here = np.flatnonzero(keys % np.uint64(ROUNDS) == r)
+        key, doc = keys[here], b.doc[here]
+        if len(often):
+            at = np.minimum(np.searchsorted(often, key), len(often) - 1)
+            hit = often[at] == key
+            held += np.bincount(doc[hit], weight[at[hit]], len(held))
+            key, doc = key[~hit], doc[~hit]
+        left.append((key, doc))
+    key, doc = (np.concatenate(x) for x in zip(*left, strict=True))
+    order = np.argsort(key, kind="stable")
+    order = order[np.argsort(((key[order] >> np.uint64(20)) % np.uint64(shards)).astype(np.uint32), kind="stable")]
+    key, doc = key[order], doc[order].astype(np.uint32)
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))) if len(key) else np.zeros(0, int)
+    times = np.diff(np.append(first, len(key))).astype(np.uint32)
+    key, doc = key[first], doc[first]
+    shard = (key >> np.uint64(20)) % np.uint64(shards)
+    n = np.bincount(b.doc, minlength=len(b.rid)) if r == 0 else np.zeros(len(b.rid), dtype=np.int64)
+    copies = np.full(len(b.rid), int(r == 0), dtype=np.int64)
+    none = np.zeros(0, dtype=np.uint32)
+    # the sums of the block itself go to a shard that its texts decide
+    own = int(mix(b.rid[:1].view(np.uint64))[0] % np.uint64(shards))
+    rows = [(own, b.rid, held, n, copies, none.astype(np.uint64), none, none)]
+    edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else none
+    for lo, hi in zip(edges, np.append(edges[1:], len(shard)), strict=True):
+        used, at = np.unique(doc[lo:hi], return_inverse=True)
+        gaps = np.diff(key[lo:hi], prepend=np.uint64(0))
+        rows.append((int(shard[lo]), b.rid[used], none, none, none, gaps, at.astype(np.uint32), times[lo:hi]))
+    names = [x.split()[0] for x in _SENT.split(", ")]
+    return pd.DataFrame([(s, *map(_packed, rest)) for s, *rest in rows], columns=names)
+
+
+def _answers(model: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+    """(rid, total, n, copies) of one shard."""
+    key = model["key"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(key)
+    key, weight = key[order], model["weight"].to_numpy(dtype=np.float64)[order]
+    out = []
+    for row in sent.itertuples(index=False):
+        rid = _unpacked(row.rid, np.int64)
+        gaps = _unpacked(row.key, np.uint64)
+        if not len(gaps):
+            own = [_unpacked(x, k) for x, k in ((row.total, np.float64), (row.n, np.int64), (row.copies, np.int64))]
+            out.append(pd.DataFrame(dict(zip(("rid", "total", "n", "copies"), (rid, *own), strict=True))))
+        elif len(key):
+            asked = np.cumsum(gaps)
+            at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+            gain = np.where(key[at] == asked, weight[at], 0.0) * _unpacked(row.times, np.uint32)
+            total = np.bincount(_unpacked(row.doc, np.uint32), gain, len(rid))
+            some = total != 0
+            out.append(pd.DataFrame({"rid": rid[some], "total": total[some], "n": 0, "copies": 0}))
+    if not out:
+        return pd.DataFrame({"rid": [], "total": [], "n": [], "copies": []})
+    return pd.concat(out).groupby("rid", as_index=False).sum()
+
+
+def score(texts: DataFrame, weights: DataFrame) -> DataFrame:
+    """(rid, total, n, copies) over all rows of ``texts`` (rid, seed, text): log weights and keys of equal texts."""
+    often, total = frequent_keys(texts)
+    # at most 2 / SHARE keys
+    found = weights.join(F.broadcast(often), "key").toPandas()
+    known = set(found["key"])
+    rest = [k for (k,) in often.collect() if k not in known]
+    keys = np.array([*found["key"], *rest], dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    held = texts.sparkSession.sparkContext.broadcast(
+        (keys[order], np.append(found["weight"].to_numpy(dtype=np.float64), np.zeros(len(rest)))[order])
     )
-    context = F.shiftright("g", BITS)
-    own = own.withColumn("h", context).select("lang", "g", "h", "c", "d")
-    totals = own.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum("d").alias("held"))
-    joined = own.join(totals, ["lang", "h"])
-    alpha = joined.select("lang", "g", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("alpha"))
-    return alpha, totals.select("lang", "h", (F.col("held") / F.col("total")).alias("gamma"))
-
-
-def build_model(counts: DataFrame) -> dict[str, np.ndarray]:
-    """Log probabilities of all n-grams by language, from (lang, g, c) of the highest order."""
-    counts = materialize(counts, "ngrams")
-    counts = counts.union(counts.groupBy(F.lit(POOLED).alias("lang"), "g").agg(F.sum("c").alias("c")))
-    parts: dict[str, list[tuple[int, str, pd.DataFrame]]] = {}
-    level = counts
-    for order in range(ORDER, 0, -1):
-        for kind, df in zip(("alpha", "gamma"), _order_table(level), strict=True):
-            # at most 2**20 rows a language and order
-            for lang, rows in df.toPandas().groupby("lang"):
-                parts.setdefault(lang, []).append((order, kind, rows))
-        # continuation counts: in how many left contexts a shorter n-gram was seen
-        level = level.groupBy("lang", F.col("g").bitwiseAND(SIZE ** (order - 1) - 1).alias("g")).agg(F.count(F.lit(1)).alias("c"))
-    out = {}
-    for lang, tables in parts.items():
-        p = np.full(1, 1.0 / SIZE)
-        for order in range(1, ORDER + 1):
-            alpha, gamma = np.zeros(SIZE**order), np.ones(SIZE ** (order - 1))
-            for o, kind, rows in tables:
-                if o == order and kind == "alpha":
-                    alpha[rows["g"].to_numpy()] = rows["alpha"].to_numpy()
-                elif o == order:
-                    gamma[rows["h"].to_numpy()] = rows["gamma"].to_numpy()
-            lower = np.full(SIZE, p[0]) if order == 1 else np.tile(p, SIZE)
-            p = alpha + np.repeat(gamma, SIZE) * lower
-        out[lang] = np.log(p).astype(np.float32)
-    return out
+    shards = max(LEAST_SHARDS, -(-2 * total // (ROUNDS * SHARD_ENTRIES)))
+    model = weights.withColumn("shard", (F.shiftrightunsigned("key", 20) % shards).cast("int"))
+    out = []
+    for r in range(ROUNDS):
 
+        def work(parts: Iterator[pd.DataFrame], r=r) -> Iterator[pd.DataFrame]:
+            for b in blocks(parts):
+                yield _requests(b, r, shards, *held.value)
 
-def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang, trusted, n_symbols, perplexity of every row of ``docs`` (doc_id, lang, trusted, text)."""
-    spark = docs.sparkSession
-    languages = sorted(set(model) - {POOLED})
-    parts = []
-    for at in range(0, max(1, len(languages)), LANGUAGES):
-        own = languages[at : at + LANGUAGES]
-        held = spark.sparkContext.broadcast({k: model[k] for k in [*own, POOLED] if k in model})
-        here = F.col("lang").isin(own)
-        chosen = docs.filter(here if at else here | ~F.col("lang").isin(languages))
-
-        def work(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            tables = held.value
-            for pdf in batches:
-                size, mean = [], []
-                for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                    table = tables.get(lang, tables.get(POOLED))
-                    g = ngrams(text)
-                    size.append(len(g))
-                    mean.append(np.nan if table is None or not len(g) else np.exp(-float(table[g].mean(dtype=np.float64))))
-                yield pdf[["doc_id", "lang", "trusted"]].assign(n_symbols=size, perplexity=mean)
-
-        parts.append(
-            chosen.mapInPandas(work, "doc_id long, lang string, trusted boolean, n_symbols long, perplexity double")
-        )
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out.withColumn("perplexity", F.nanvl("perplexity", F.lit(None).cast("double")))
+        sent = texts.mapInPandas(work, _SENT)
+        own = model.filter(F.col("key").bitwiseAND(ROUNDS - 1) == r)
+        met = own.groupBy("shard").cogroup(sent.groupBy("shard"))
+        sums = met.applyInPandas(_answers, "rid long, total double, n long, copies long")
+        sums = sums.groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("total", "n", "copies")])
+        out.append(materialize(sums, "text-sums"))
+    return _union(out).groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("total", "n", "copies")])
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, low, high, kept for every row of ``docs``."""
+    """doc_id, lang, n_words, perplexity, low, high, kept for every row of ``docs``."""
     known = (
         labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .select(F.col("doc_id").alias("_trusted"))
+        .select(F.col("doc_id").alias("_trusted"), (F.crc32(F.col("doc_id").cast("string")) % 5 == 1).alias("_sets"))
         .distinct()
     )
-    n = known.count()
-    marked = docs.select(
+    known = small_side(known, known.count(), BROADCAST_ROWS)
+    docs = docs.select(
         "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
-    ).join(small_side(known, n, BROADCAST_ROWS), F.col("doc_id") == F.col("_trusted"), "left")
-    marked = marked.select("doc_id", "lang", F.col("_trusted").isNotNull().alias("trusted"), "text")
-    model = build_model(count_ngrams(marked.filter("trusted").select("lang", "text")))
-    scored = materialize(score(marked, model), "perplexities")
-    bounds = lambda *key: scored.filter("trusted AND perplexity IS NOT NULL").groupBy(*key).agg(
+    )
+    is_trusted = F.col("doc_id") == F.col("_trusted")
+    trusted = docs.join(known.filter("NOT _sets"), is_trusted, "left_semi")
+    languages = materialize(trusted.filter("text != ''").select(F.col("lang").alias("_lang")).distinct(), "languages")
+    languages = small_side(languages, languages.count(), BROADCAST_ROWS)
+    marked = docs.join(languages, F.col("lang") == F.col("_lang"), "left")
+    seed = F.when(F.col("_lang").isNotNull(), F.xxhash64("lang")).otherwise(F.lit(POOLED).cast("long"))
+    marked = marked.select("doc_id", "lang", seed.alias("seed"), "text", F.xxhash64(seed, "text").alias("rid"))
+    own = trusted.select(F.lit(0).cast("long").alias("rid"), F.xxhash64("lang").alias("seed"), "text")
+    if marked.filter(F.col("seed") == POOLED).head(1):  # a language without trusted text
+        own = own.unionByName(own.withColumn("seed", F.lit(POOLED).cast("long")))
+    weights, stats = build_model(count_pairs(own))
+    sums = score(marked.select("rid", "seed", "text"), weights)
+    n = F.coalesce(F.col("n") / F.col("copies") - 1, F.lit(0)).cast("long")
+    rows = marked.select("doc_id", "lang", "seed", "rid").join(sums, "rid", "left").join(F.broadcast(stats), "seed", "left")
+    rows = rows.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-(F.col("total") / F.col("n") + F.col("unknown")))))
+    rows = rows.select("doc_id", "lang", F.greatest(n, F.lit(0)).alias("n_words"), "perplexity")
+    rows = rows.join(known, is_trusted, "left")
+    scored = materialize(rows, "perplexities")
+    bounds = lambda *key: scored.filter("_trusted IS NOT NULL AND perplexity IS NOT NULL").groupBy(*key).agg(
         F.percentile_approx("perplexity", F.lit(LOW_QUANTILE), F.lit(10_000)).alias("low"),
-        F.percentile_approx("perplexity", F.lit(HIGH_QUANTILE), F.lit(10_000)).alias("high"),
+        F.percentile_approx(F.expr("CASE WHEN _sets THEN perplexity END"), F.lit(HIGH_QUANTILE), F.lit(10_000)).alias("high"),
     )
     pooled = bounds().first()
-    # a row for each language with trusted text
+    # a row for each language
     judged = scored.join(F.broadcast(bounds("lang")), "lang", "left")
     low, high = (F.coalesce(F.col(c), F.lit(pooled[c]).cast("double")) for c in ("low", "high"))
-    inside = F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.col("perplexity").isNull())
-    return judged.select("doc_id", "lang", "n_symbols", "perplexity", low.alias("low"), high.alias("high")).withColumn(
-        "kept", inside & (F.col("n_symbols") > 0)
+    inside = F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True))
+    return judged.select("doc_id", "lang", "n_words", "perplexity", low.alias("low"), high.alias("high")).withColumn(
+        "kept", inside & (F.col("n_words") > 0)
     )

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from seasonkit.llm import kneser_ney, minhash, packing, toxicity
+from seasonkit.llm import kneser_ney, minhash, packing, toxicity, words
 from seasonkit.llm.common import table
 from seasonkit.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_MID, SF_SMALL
@@ -138,38 +138,64 @@ def test_minhash_against_all_pairs(spark):
 
 
 def test_kneser_ney_against_plain_counts(spark):
-    """Probabilities of one small text, by the textbook recursion over dictionaries."""
-    text = "the cat sat on the mat. the cat sat! a bat sat, the rat ran at the cat. 12 of 30"
-    df = spark.createDataFrame([("en", text)], "lang string, text string")
-    model = kneser_ney.build_model(kneser_ney.count_ngrams(df))["en"]
-    assert np.allclose(np.exp(model.astype(float)).reshape(-1, kneser_ney.SIZE).sum(axis=1), 1, atol=1e-5)
-    top = [tuple((int(g) >> (5 * (3 - k))) & 31 for k in range(4)) for g in kneser_ney.ngrams(text)]
-    counts = [{} for _ in range(5)]
-    for g in top:
-        counts[4][g] = counts[4].get(g, 0) + 1
-    for n in (3, 2, 1):
-        for g in counts[n + 1]:
-            counts[n][g[1:]] = counts[n].get(g[1:], 0) + 1
-
-    def p(g):
-        if not g:
-            return 1 / kneser_ney.SIZE
-        c = counts[len(g)]
+    """Scores of small texts, by the textbook recursion over dictionaries of words."""
+    trained = ["the cat sat on the mat. the cat sat! a bat sat, the rat ran at the cat. 12 of 30", "the cat", "a rat a rat"]
+    asked = [*trained, "the cat ran", "!! the zebra", "cat", "", "the cat ran", "31 of 31 rat, " * 400]
+    frame = lambda x: spark.createDataFrame([(i, 7, t) for i, t in enumerate(x)], "rid long, seed long, text string")
+    weights, stats = kneser_ney.build_model(kneser_ney.count_pairs(frame(trained)))
+    rows = spark.createDataFrame([(asked.index(t), 7, t) for t in asked], "rid long, seed long, text string").repartition(2)
+    sums = {r.rid: r for r in kneser_ney.score(rows, weights).collect()}
+    unknown = stats.first().unknown
+
+    def split(t):
+        return ["", *re.findall(r"[^\W_]+|[^\w\s]+", re.sub(r"\d", "0", t.lower())), ""]
+
+    pairs, before = {}, {}
+    for t in map(split, trained):
+        for g in zip(t, t[1:], strict=False):
+            pairs[g] = pairs.get(g, 0) + 1
+    for _, w in pairs:
+        before[w] = before.get(w, 0) + 1
+
+    def discounts(c):
         n = [sum(v == k for v in c.values()) for k in (1, 2, 3, 4)]
         y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
-        d = []
+        d = [0.0]
         for k in (1, 2, 3):
             x = k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0
             d.append(min(x, k) if x > 0 else 0.5 * k)
-        own = [v for x, v in c.items() if x[:-1] == g[:-1]]
-        if not own:
-            return p(g[1:])
-        v = c.get(g, 0)
-        return (max(v - d[min(v, 3) - 1], 0) if v else 0) / sum(own) + sum(d[min(v, 3) - 1] for v in own) / sum(own) * p(g[1:])
+        return lambda v: d[min(v, 3)]
+
+    d2, d1 = discounts(pairs), discounts(before)
+    held, size = sum(map(d1, before.values())) / sum(before.values()), len(before) + 1
 
-    for g in [*top[::7], (1, 2, 3, 4), (20, 8, 5, 27)]:
-        at = sum(x << (5 * (3 - k)) for k, x in enumerate(g))
-        assert np.isclose(np.exp(float(model[at])), p(g), rtol=1e-4)
+    def p(v, w):
+        k = before.get(w, 0)
+        alone = (k - d1(k)) / sum(before.values()) + held / size
+        own = [c for g, c in pairs.items() if g[0] == v]
+        if not own:
+            return alone
+        c = pairs.get((v, w), 0)
+        return (c - d2(c)) / sum(own) + sum(map(d2, own)) / sum(own) * alone
+
+    for v in ("the", "", "rat"):
+        assert np.isclose(sum(p(v, w) for w in [*before, "never seen"]), 1)
+    for i, t in enumerate(asked):
+        if not t:
+            assert sums[i].n == 0
+        elif asked.index(t) == i:
+            s = split(t)
+            want = sum(np.log(p(v, w)) for v, w in zip(s, s[1:], strict=False))
+            assert sums[i].copies == asked.count(t) and sums[i].n == asked.count(t) * (len(s) - 1)
+            assert np.isclose(sums[i].total / sums[i].copies + unknown * (len(s) - 1), want, rtol=1e-5), t
+
+
+def test_words_of_long_texts_do_not_depend_on_slices(monkeypatch):
+    texts = ["ab cd, ef " * 50, "", "x", "Füße 東京 !? " * 30]
+    whole = words.words(texts)
+    monkeypatch.setattr(words, "SLICE", 16)
+    for a, b in zip(whole, words.words(texts), strict=True):
+        assert (a == b).all()
 
 
 def test_quality_and_toxicity_on_held_out_labels(spark):
