@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -13,6 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, with the shuffle files of the write removed when it is done.
+
+    The written table stands for them from then on. Otherwise they stay until the driver
+    collects its garbage, and a loop of written slices fills the disk.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
 def boxed(df: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of ``df``, and every row as it came in the struct ``_row``.
 

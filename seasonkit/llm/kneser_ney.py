@@ -45,8 +45,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import small_side
+from .common import small_side, written
 from .toxicity import held_out
 from .words import mix, words
 
@@ -110,7 +109,7 @@ def count_pairs(trusted: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"seed": b.seed[b.doc[at]], "v": v, "w": w, "c": c})
 
         counted = trusted.mapInPandas(work, "seed long, v long, w long, c long")
-        out.append(materialize(counted.groupBy("seed", "v", "w").agg(F.sum("c").alias("c")), "pairs"))
+        out.append(written(counted.groupBy("seed", "v", "w").agg(F.sum("c").alias("c")), "pairs"))
     return _union(out)
 
 
@@ -148,7 +147,7 @@ def build_model(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count_if(F.col("c") > 2).alias("f3"),
     )
     before = pairs.groupBy(F.col("w").alias("key")).agg(F.count(F.lit(1)).alias("k"))
-    types = materialize(follows.join(before, "key"), "types")
+    types = written(follows.join(before, "key"), "types")
     of_pairs = pairs.groupBy("seed").agg(*_times("c", "p"))
     of_types = types.groupBy("seed").agg(
         *_times("k", "t"), F.sum("k").alias("all_k"), F.count(F.lit(1)).alias("size"),
@@ -160,14 +159,14 @@ def build_model(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "seed", "all_k", *[x.alias(f"d{i}") for i, x in enumerate(d)], *[x.alias(f"e{i}") for i, x in enumerate(t)],
         F.log(held / (F.col("size") + 1)).alias("unknown"),
     )
-    stats = materialize(stats, "model-stats")
+    stats = written(stats, "model-stats")
     d, t = ([F.col(f"{x}{i}") for i in range(3)] for x in "de")
     # a row for each language
     types = types.join(F.broadcast(stats), "seed")
     seen = (F.col("k") - _of(F.col("k"), t)) / F.col("all_k") + F.exp("unknown")
     gamma = (d[0] * F.col("f1") + d[1] * F.col("f2") + d[2] * F.col("f3")) / F.col("total")
     types = types.select("key", "total", "unknown", F.log(seen).alias("alone"), F.log(gamma).alias("back"))
-    types = materialize(types, "word-weights")
+    types = written(types, "word-weights")
     weights = [types.select("key", (F.col("alone") - F.col("unknown") + F.col("back")).cast("float").alias("weight"))]
     v = types.select(F.col("key").alias("v"), "total", "back")
     w = types.select(F.col("key").alias("w"), "alone")
@@ -178,7 +177,7 @@ def build_model(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         own = own.select("v", "w", (F.col("kept") / F.col("total")).alias("alpha"), "back").join(w, "w")
         share = F.exp(F.col("back") + F.col("alone"))
         gain = F.log1p(F.col("alpha") / share).cast("float")
-        weights.append(materialize(own.select(pair_key(F.col("v"), F.col("w")).alias("key"), gain.alias("weight")), "pair-weights"))
+        weights.append(written(own.select(pair_key(F.col("v"), F.col("w")).alias("key"), gain.alias("weight")), "pair-weights"))
     return _union(weights), stats.select("seed", "unknown")
 
 
@@ -199,7 +198,7 @@ def frequent_keys(texts: DataFrame) -> tuple[DataFrame, int]:
                 yield pd.DataFrame({"key": u[often].view(np.int64), "c": c[often]})
 
     sums = texts.mapInPandas(work, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    sums = materialize(sums, "frequent")
+    sums = written(sums, "frequent")
     row = sums.filter("key IS NULL").first()
     total = row["c"] if row else 0
     return sums.filter(F.col("key").isNotNull() & (F.col("c") >= SHARE * total)).select("key"), total
@@ -304,7 +303,7 @@ def score(texts: DataFrame, weights: DataFrame) -> DataFrame:
         met = own.groupBy("shard").cogroup(sent.groupBy("shard"))
         sums = met.applyInPandas(_answers, "rid long, total double, n long, copies long")
         sums = sums.groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("total", "n", "copies")])
-        out.append(materialize(sums, "text-sums"))
+        out.append(written(sums, "text-sums"))
     return _union(out).groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("total", "n", "copies")])
 
 
@@ -321,7 +320,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     is_trusted = F.col("doc_id") == F.col("_trusted")
     trusted = docs.join(known.filter("NOT _sets"), is_trusted, "left_semi")
-    languages = materialize(trusted.filter("text != ''").select(F.col("lang").alias("_lang")).distinct(), "languages")
+    languages = written(trusted.filter("text != ''").select(F.col("lang").alias("_lang")).distinct(), "languages")
     languages = small_side(languages, languages.count(), BROADCAST_ROWS)
     marked = docs.join(languages, F.col("lang") == F.col("_lang"), "left")
     seed = F.when(F.col("_lang").isNotNull(), F.xxhash64("lang")).otherwise(F.lit(POOLED).cast("long"))
@@ -336,7 +335,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-(F.col("total") / F.col("n") + F.col("unknown")))))
     rows = rows.select("doc_id", "lang", F.greatest(n, F.lit(0)).alias("n_words"), "perplexity")
     rows = rows.join(known, is_trusted, "left")
-    scored = materialize(rows, "perplexities")
+    scored = written(rows, "perplexities")
     bounds = lambda *key: scored.filter("_trusted IS NOT NULL AND perplexity IS NOT NULL").groupBy(*key).agg(
         F.percentile_approx("perplexity", F.lit(LOW_QUANTILE), F.lit(10_000)).alias("low"),
         F.percentile_approx(F.expr("CASE WHEN _sets THEN perplexity END"), F.lit(HIGH_QUANTILE), F.lit(10_000)).alias("high"),
