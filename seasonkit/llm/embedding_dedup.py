@@ -4,9 +4,10 @@
 2. On a bounded sample (``MAX_TRAIN_ROWS`` vectors, chosen by the hash of the id) principal
    directions and a rotation are learned so that the signs of the rotated values are balanced
    codes; ``ROTATIONS`` starts give as many codes, joined.
-3. The code is cut into ``TABLES`` substrings of about log2(vectors) bits. Two codes that differ in
-   fewer places than there are tables agree in at least one substring, so each table is an
-   exact-match index on (label, table, substring).
+3. The code is cut into substrings of about log2(vectors) bits, each an exact-match index on
+   (label, table, substring). The longer the substring, the more tables there are: as many as
+   let a pair at the bound share none with probability ``MISS`` (``table_count``). They are searched
+   ``PASS_TABLES`` at a time, so that the shuffled vectors don't grow with their number.
 4. Vectors that share a bucket are compared by cosine of the original values in double
    precision. A bucket beyond ``BLOCK`` rows is split into pairs of blocks, so no task holds a whole
    bucket. A pair counts in the first table that holds it, so nothing is counted twice
@@ -14,9 +15,10 @@
    vector it is connected to inside the task.
 5. Components are those of the whole link graph.
 
-Every vector is indexed. Recall against brute force is measured in the tests (1.0 on
-the given tables); a pair at the bound of 0.93 is missed less than once in a hundred times,
-one at 0.97 or more once in 30,000.
+Every vector is indexed. A bit of two vectors at cosine c differs with probability acos(c)/pi, so at
+any number of vectors a pair at the bound is missed 3 times in 1,000 at most if bits are
+independent, and closer pairs less often. Recall against brute force is measured in the tests (1.0
+on the given tables; also with the key length of 10 million vectors).
 
 Defined cases: a null label, and a vector that is null, empty, zero, or holds a null or a
 non-finite value, link with nothing; vectors of unlike length never link; repeated rows count
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,17 +37,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import written
 from .components import connected_components
 
 COSINE = 0.93
 MAX_TRAIN_ROWS = 20_000
-TABLES, BITS_LOW, BITS_HIGH = 24, 6, 30
+#: Probability that a pair at the bound shares no table.
+MISS = 0.003
+LEAST_TABLES, PASS_TABLES = 24, 24
+BITS_LOW, BITS_HIGH = 6, 30
 ITERATIONS = 30
 BLOCK = 1024
 GROUP_ROWS = 20_000
 SEED = 11
 
 
+def table_count(bits: int, cosine: float) -> int:
+    """Tables of ``bits`` bits after which a pair at ``cosine`` shares none with probability ``MISS`` at most."""
+    shared = (1 - math.acos(cosine) / math.pi) ** bits
+    return max(LEAST_TABLES, math.ceil(math.log(MISS) / math.log1p(-shared))) if shared < 1 else LEAST_TABLES
+
+
 def usable(vector: str = "embedding") -> F.Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     nonzero = F.exists(vector, lambda x: x != 0)
@@ -85,7 +98,7 @@ def train(vectors: DataFrame, bits: int, total: int) -> dict[int, np.ndarray]:
     return out
 
 
-def _keys(vectors: DataFrame, coding, bits: int) -> DataFrame:
+def _keys(vectors: DataFrame, coding, bits: int, tables: int) -> DataFrame:
     """(rep, label, copies, vector bytes, dim, keys): the substring of each table as int."""
 
     def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,9 +107,9 @@ def _keys(vectors: DataFrame, coding, bits: int) -> DataFrame:
         for pdf in parts:
             for d, rows in pdf.groupby(pdf["embedding"].map(len)):
                 if d not in own:  # a length too rare for the sample: plain rotations
-                    own[d] = learn_rotations(np.zeros((0, d)), math.ceil(bits * TABLES / d))[:, : bits * TABLES]
+                    own[d] = learn_rotations(np.zeros((0, d)), math.ceil(bits * tables / d))[:, : bits * tables]
                 x = _unit(rows["embedding"])
-                code = (x @ own[d] > 0).reshape(len(x), TABLES, bits)
+                code = (x @ own[d] > 0).reshape(len(x), tables, bits)
                 yield pd.DataFrame({
                     "rep": rows["rep"], "label": rows["label"], "copies": rows["copies"], "dim": d,
                     "vector": [v.tobytes() for v in x], "keys": list((code * weights).sum(axis=2).astype(np.int32)),
@@ -150,27 +163,10 @@ def _link_cells(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     return pd.DataFrame({"rep": rep[keep], "links": links[keep].astype(np.int64), "root": rep[root[keep]]})
 
 
-def near_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of ``embeddings`` (vec_id, embedding, label)."""
-    spark = embeddings.sparkSession
-    rows = embeddings.select(
-        "vec_id",
-        F.col("label").cast("string").alias("label"),
-        "embedding",
-        (usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()).alias("_usable"),
-        F.md5(F.to_json(F.struct("embedding"))).alias("_key"),
-    )
-    vectors = materialize(
-        rows.filter("_usable").groupBy("label", "_key").agg(
-            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")
-        ),
-        "vectors",
-    )
-    total = vectors.count()
-    bits = min(BITS_HIGH, max(BITS_LOW, math.ceil(math.log2(max(total, 2))) - 3))
-    coding = spark.sparkContext.broadcast(train(vectors, bits * TABLES, total))
-    keyed = materialize(_keys(vectors.select("rep", "label", "copies", "embedding"), coding, bits), "codes")
-    placed = keyed.select("rep", "label", "dim", F.posexplode("keys").alias("table", "key"))
+def _links(keyed: DataFrame, tables: range, cosine: float) -> DataFrame:
+    """(rep, links, root) of the links whose first table is one of ``tables``."""
+    own = F.slice("keys", tables.start + 1, len(tables))
+    placed = keyed.select("rep", "label", "dim", F.posexplode(own).alias("table", "key")).withColumn("table", F.col("table") + tables.start)
     bucket = ["label", "dim", "table", "key"]
     sizes = placed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
@@ -183,14 +179,39 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.xxhash64(*bucket, F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
         (F.col("block") != F.col("other")).alias("cross"),
     ).drop("_own")
-    cells = materialize(cells, "cells")
+    cells = written(cells, "cells")
     groups = max(1, math.ceil(cells.count() / GROUP_ROWS))
     dealt = cells.join(keyed.select("rep", "copies", "dim", "vector", "keys"), "rep").withColumn(
         "_group", F.pmod(F.col("cell"), F.lit(groups))
     )
-    linked = materialize(
+    return written(
         dealt.groupBy("_group").applyInPandas(lambda pdf: _link_cells(pdf, cosine), "rep long, links long, root long"), "links"
     )
+
+
+def near_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of ``embeddings`` (vec_id, embedding, label)."""
+    spark = embeddings.sparkSession
+    rows = embeddings.select(
+        "vec_id",
+        F.col("label").cast("string").alias("label"),
+        "embedding",
+        (usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()).alias("_usable"),
+        F.md5(F.to_json(F.struct("embedding"))).alias("_key"),
+    )
+    vectors = materialize(
+        rows.filter("_usable").groupBy("label", "_key").agg(
+            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")
+        ),
+        "vectors",
+    )
+    total = vectors.count()
+    bits = min(BITS_HIGH, max(BITS_LOW, math.ceil(math.log2(max(total, 2))) - 3))
+    tables = table_count(bits, cosine)
+    coding = spark.sparkContext.broadcast(train(vectors, bits * tables, total))
+    keyed = materialize(_keys(vectors.select("rep", "label", "copies", "embedding"), coding, bits, tables), "codes")
+    parts = [_links(keyed, range(t, min(t + PASS_TABLES, tables)), cosine) for t in range(0, tables, PASS_TABLES)]
+    linked = reduce(DataFrame.union, parts)
     counts = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     components = connected_components(linked.select("rep", "root"))
     known = (

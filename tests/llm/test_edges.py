@@ -131,6 +131,22 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert (got.n_links <= want).all() and got.n_links.sum() >= 0.99 * want.sum()
 
 
+def test_recall_at_the_key_length_of_ten_million_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9301, 0.9350, size=(1000, 1))
+    both = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * y])
+    df = spark.createDataFrame([(i, [float(c) for c in r], 0) for i, r in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(embedding_dedup, "BITS_LOW", 21)  # ceil(log2(10 million)) - 3
+    got = embedding_dedup.near_vectors(df).toPandas().set_index("vec_id").sort_index()
+    assert (got.n_links <= 1).all() and got.n_links.mean() >= 0.99
+    assert (got.component_id[got.n_links == 1] == got.index[got.n_links == 1] % 1000).all()
+
+
 def test_best_fit_opens_the_cheapest_size():
     bins, offsets, caps = packing.best_fit([6, 5, 3, 2, 1], [8, 16], lambda n: 1.0 + n)
     assert sorted(caps) == [16] or sorted(caps) == [8, 8, 8] or sum(caps) <= 24
