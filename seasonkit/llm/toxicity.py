@@ -5,7 +5,8 @@ factorization machine has a weight for each bucket and an inner product of two f
 vectors for each pair of buckets, so a pair of terms can count as toxic where neither
 alone does. It is fitted by Spark ML on a bounded sample of the labelled rows
 (``max_train_rows``, chosen by the hash of the document id, the rarer class first) and
-applied to every row.
+applied to every row. Where the classes are sampled at unlike rates, the odds of a score are divided by
+the ratio of the rates, so that scores stand for the labelled rows and not for the sample.
 
 A document id whose CRC-32 (of its decimal text) is divisible by five is held out: its
 label is never read. Labels, language, source and id are never inputs of a score.
@@ -18,6 +19,8 @@ every text the share of the class (0 without rows); repeated rows are scored eac
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml.classification import FMClassificationModel, FMClassifier
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -39,6 +42,13 @@ SEED = 17
 STEM = 4
 
 
+class Fitted(NamedTuple):
+    """A machine, or the share of the class, and the sampling rate of toxic rows over that of the others."""
+
+    model: FMClassificationModel | float
+    ratio: float = 1.0
+
+
 def held_out(doc_id: Column) -> Column:
     """True where CRC-32 of the id as text is divisible by five; null ids are not."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
@@ -59,8 +69,9 @@ def _hashed(df: DataFrame, n_features: int) -> DataFrame:
     return tf.transform(df.withColumn("_terms", terms(F.col("text")))).drop("_terms")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
-    """(text, label) of at most about ``max_rows`` labelled rows outside the held-out part.
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> tuple[DataFrame, float]:
+    """(text, label) of at most about ``max_rows`` labelled rows outside the held-out part, and the
+    sampling rate of toxic rows over that of the others.
 
     Each class keeps the ids whose hash falls under its share, so the choice does not
     depend on partitions or on the order of rows; up to half of the rows are the rarer class.
@@ -80,7 +91,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
     u = F.pmod(F.xxhash64("doc_id", F.lit(SEED).cast("long")), F.lit(1_000_000)) / 1_000_000.0
     chosen = known.filter(u < F.when(F.col("_toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
     # broadcast: at most about ``max_rows`` rows
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("_toxic").cast("double").alias("label"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("_toxic").cast("double").alias("label"))
+    rate = {k: min(1.0, v) for k, v in share.items()}
+    return rows, rate[1] / rate[0] if rate[0] and rate[1] else 1.0
 
 
 def fit_toxicity(
@@ -90,32 +103,35 @@ def fit_toxicity(
     factors: int = FACTORS,
     max_train_rows: int = MAX_TRAIN_ROWS,
     max_iter: int = MAX_ITER,
-) -> FMClassificationModel | float:
+) -> Fitted:
     """The fitted machine, or the share of the class when there are not two classes."""
-    chosen = training_rows(docs, labels, max_train_rows).repartition(TRAIN_PARTITIONS, F.xxhash64("text"))
+    chosen, ratio = training_rows(docs, labels, max_train_rows)
+    chosen = chosen.repartition(TRAIN_PARTITIONS, F.xxhash64("text"))
     train = _hashed(chosen, n_features).select("_features", "label").persist()
     try:
         seen = train.groupBy("label").count().collect()
         if len(seen) < 2:
-            return float(seen[0]["label"]) if seen else 0.0
+            return Fitted(float(seen[0]["label"]) if seen else 0.0)
         fm = FMClassifier(
             featuresCol="_features", labelCol="label", factorSize=factors, maxIter=max_iter, stepSize=STEP,
             regParam=REG, initStd=0.05, seed=SEED, solver="adamW", tol=0.0,
         )
-        return fm.fit(train)
+        return Fitted(fm.fit(train), ratio)
     finally:
         train.unpersist()
 
 
-def score_toxicity(docs: DataFrame, model: FMClassificationModel | float) -> DataFrame:
+def score_toxicity(docs: DataFrame, fitted: Fitted) -> DataFrame:
     """The rows of ``docs`` with ``_score``: the probability of label 1, null never."""
+    model, ratio = fitted
     if isinstance(model, float):
         return docs.withColumn("_score", F.lit(model))
     n = model.numFeatures
     scored = model.setProbabilityCol("_probability").setRawPredictionCol("").setPredictionCol("").transform(
         _hashed(docs, n)
     )
-    return scored.withColumn("_score", vector_to_array("_probability")[1]).drop("_features", "_probability")
+    p = vector_to_array("_probability")[1]
+    return scored.withColumn("_score", p / (p + ratio * (1 - p))).drop("_features", "_probability")
 
 
 def classify_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -82,6 +82,17 @@ def test_defined_results(odd_docs, odd_labels, benchmark):
     assert packed[packed.doc_id == 6]["length"].sum() == 30_000 and packed[packed.doc_id == 4].bin_id.isna().all()
 
 
+def test_the_bound_on_training_rows_keeps_the_share_of_toxic_rows(spark):
+    """A quarter of the grey texts is toxic: none is predicted, however the classes are sampled."""
+    text = lambda i: f"grey matter of row{i % 7}" if i % 5 < 2 else f"plain words in row{i % 7}"
+    docs = spark.createDataFrame([(i, text(i)) for i in range(5000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 < 2 and i // 5 % 4 == 0)) for i in range(5000)], "doc_id long, quality int, toxic int")
+    for most in (400, 5000):
+        got = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels, max_train_rows=most)).toPandas()
+        grey = got["text"].str.startswith("grey")
+        assert (got["_score"] < 0.5).all() and 0.15 < got["_score"][grey].mean() < 0.35 and got["_score"][~grey].mean() < 0.05
+
+
 def test_many_unlike_copies_of_one_text(spark):
     """A group that one leader can't settle: two families in the same buckets, many members each."""
     rng = np.random.default_rng(3)
