@@ -93,6 +93,23 @@ def test_the_bound_on_training_rows_keeps_the_share_of_toxic_rows(spark):
         assert (got["_score"] < 0.5).all() and 0.15 < got["_score"][grey].mean() < 0.35 and got["_score"][~grey].mean() < 0.05
 
 
+def test_names_near_one_entity_of_a_dense_source(spark):
+    """A name that stands near one address is marked everywhere in the documents that hold the address, and nowhere else."""
+    rng = np.random.default_rng(2)
+    filler = [a + b + c for a in "bdfgklm" for b in "aeiou" for c in "nrstvxz"]
+    words = lambda n: list(rng.choice(filler, n))
+    crowd = lambda: sum(([*words(14), f"user{rng.integers(40)}@mail.example"] for _ in range(4)), [])
+    texts = [[*crowd(), *words(5)] for _ in range(400)]
+    texts += [["Zebulon", *words(12), *crowd(), *words(9), "zebulon", "Boss@corp.example", *words(5)] for _ in range(20)]
+    texts += [["zebulon", *crowd()] for _ in range(5)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    report = pii.personal_data_report(docs).toPandas().set_index("doc_id").sort_index()
+    assert {i: n for i, n in report.n_term.items() if n} == dict.fromkeys(range(400, 420), 2)
+    assert all(s.startswith("term:0:7,") for s in report.spans[400:420])
+    clean = pii.sanitise_documents(docs).toPandas().set_index("doc_id").sort_index().text
+    assert not clean[400:420].str.contains("(?i)zebulon").any() and clean[420:].str.startswith("zebulon").all()
+
+
 def test_many_unlike_copies_of_one_text(spark):
     """A group that one leader can't settle: two families in the same buckets, many members each."""
     rng = np.random.default_rng(3)
