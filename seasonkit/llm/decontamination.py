@@ -11,8 +11,13 @@ Words are lower-cased (A to Z) runs of digits, letters and non-ASCII characters.
    postings of one (document, item, diagonal) meet, which intersects the lists at their
    offsets. A diagonal stays when it holds both probe words of some window.
 4. Only on those diagonals the words of the document and of the item are compared: 13 equal
-   words in a row are a phrase match, 10 or more of the 13 a proximity match (of windows whose
-   probe words both agree).
+   words in a row are a phrase match.
+
+A proximity match (``near_matches``) is a window of which 10 words or more stand in the document at
+offsets that differ by at most ``SLOP`` from one diagonal, so that words may be altered, inserted or left out.
+Its probe are the 5 rarest words of the window: at most 3 are wrong, so 2 of them agree. A posting
+counts for every diagonal within ``SLOP`` of its own, a diagonal stays when it holds 2 probe words of some
+window, and there all windows are compared. No match is lost.
 
 Everything is DataFrame expressions. Keys of the joins are words or documents; a word held
 by a third of all documents is only a posting key where a window has nothing rarer. The
@@ -35,6 +40,10 @@ from .common import boxed, small_side, unboxed
 WINDOW = 13
 #: Equal words that make a proximity match in a full window; shorter items need three quarters.
 NEAR_WORDS = 10
+#: Rarest words of a window that probe for a proximity match, and how many of them must agree.
+NEAR_PROBES, NEAR_AGREE = 5, 2
+#: Offset by which a word of a proximity match may stand off its diagonal.
+SLOP = 1
 BROADCAST_ROWS = 1_000_000
 #: A document is contaminated when this many times its hit words reach its words.
 CONTAMINATED_RATIO = 20
@@ -65,7 +74,8 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def probes(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Items with ``_pairs``: for each window the positions of its two rarest words."""
+    """Items with ``_pairs``: for each window the positions of its two rarest words; and ``_rarest``:
+    for each window those of its ``NEAR_PROBES`` rarest."""
     items = _items(benchmark)
     placed = items.select("_item", F.posexplode("_item_words").alias("_q", "_word"))
     vocabulary = placed.select("_word").distinct().persist()
@@ -89,10 +99,15 @@ def probes(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def rarest(s: Column) -> Column:
         own = F.slice("_ranked", s + 1, F.col("_window"))
         by_df = F.array_sort(F.transform(own, lambda r: F.struct(r["_df"].alias("df"), r["_q"].alias("q"))))
-        return F.struct(by_df[0]["q"].alias("a"), F.try_element_at(by_df, F.lit(2))["q"].alias("b"))
+        return F.transform(F.slice(by_df, 1, NEAR_PROBES), lambda r: r["q"])
 
-    pairs = F.array_distinct(F.transform(F.transform(first, rarest), lambda p: F.struct(p["a"].alias("a"), F.coalesce(p["b"], p["a"]).alias("b"))))
-    return items.join(ranked, "_item").withColumn("_pairs", pairs).drop("_ranked")
+    pair = lambda p: F.struct(p[0].alias("a"), F.coalesce(F.get(p, F.lit(1)), p[0]).alias("b"))
+    return (
+        items.join(ranked, "_item")
+        .withColumn("_rarest", F.array_distinct(F.transform(first, rarest)))
+        .withColumn("_pairs", F.array_distinct(F.transform("_rarest", pair)))
+        .drop("_ranked")
+    )
 
 
 def candidate_diagonals(docs: DataFrame, probed: DataFrame, n_keys: int) -> DataFrame:
@@ -112,20 +127,20 @@ def candidate_diagonals(docs: DataFrame, probed: DataFrame, n_keys: int) -> Data
     return (
         met.join(small_side(probed.select("_item", "item_id", "_item_words", "_window", "_pairs"), n_keys, BROADCAST_ROWS), "_item")
         .filter(both)
-        .select("doc_id", "_key", "_item", "item_id", "_item_words", "_window", "_pairs", "_diagonal")
+        .select("doc_id", "_key", "_item", "item_id", "_item_words", "_window", "_diagonal")
     )
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated,
-    items and near_items (sorted arrays of item ids: phrase and proximity matches)."""
+    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated and items
+    (sorted array of item ids) by phrase matches."""
     probed = materialize(probes(docs, benchmark), "probes")
     n_keys = probed.agg(F.sum(F.size("_item_words"))).first()[0] or 0
     keyed = _keyed(docs)
     found = (
         candidate_diagonals(keyed, probed, n_keys)
         .groupBy("doc_id", "_key")
-        .agg(F.collect_list(F.struct("item_id", "_item_words", "_window", "_pairs", "_diagonal")).alias("_candidates"))
+        .agg(F.collect_list(F.struct("item_id", "_item_words", "_window", "_diagonal")).alias("_candidates"))
         .withColumnRenamed("doc_id", "_doc")
         .withColumnRenamed("_key", "_found_key")
     )
@@ -140,8 +155,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.slice("_words", diagonal + first + 1, length), F.slice(item, first + 1, length), lambda a, b: a == b
         )
         return F.struct(
-            c["item_id"].alias("item_id"), c["_window"].alias("w"), c["_pairs"].alias("pairs"),
-            (diagonal + first).alias("at"), first.alias("first"), equal.alias("equal"),
+            c["item_id"].alias("item_id"), c["_window"].alias("w"), (diagonal + first).alias("at"), equal.alias("equal")
         )
 
     def agreement(c: Column) -> Column:
@@ -149,20 +163,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.array().cast("array<int>")
         )
         agreed = F.transform(starts, lambda s: F.size(F.filter(F.slice(c["equal"], s + 1, c["w"]), lambda e: e)))
-        near = F.exists(
-            F.arrays_zip(starts.alias("s"), agreed.alias("n")),
-            lambda x: (x["n"] >= F.ceil(c["w"] * F.lit(NEAR_WORDS) / F.lit(WINDOW)))
-            & F.exists(
-                c["pairs"],
-                lambda p: (p["a"] >= c["first"] + x["s"]) & (p["a"] < c["first"] + x["s"] + c["w"])
-                & (p["b"] >= c["first"] + x["s"]) & (p["b"] < c["first"] + x["s"] + c["w"])
-                & F.get(c["equal"], p["a"] - c["first"]) & F.get(c["equal"], p["b"] - c["first"]),
-            ),
-        )
         hits = F.filter(F.arrays_zip(starts.alias("s"), agreed.alias("n")), lambda x: x["n"] == c["w"])
         return F.struct(
             c["item_id"].alias("item_id"),
-            near.alias("near"),
             F.flatten(F.transform(hits, lambda x: F.sequence(c["at"] + x["s"], c["at"] + x["s"] + c["w"] - 1))).alias("hit"),
         )
 
@@ -172,13 +175,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = joined.select(
         "doc_id",
         n_words.cast("long").alias("n_words"),
-        F.coalesce(checked, F.array().cast("array<struct<item_id:string,near:boolean,hit:array<int>>>")).alias("_checked"),
+        F.coalesce(checked, F.array().cast("array<struct<item_id:string,hit:array<int>>>")).alias("_checked"),
     ).select(
         "doc_id",
         "n_words",
         F.size(F.array_distinct(F.flatten(F.transform("_checked", lambda c: c["hit"])))).cast("long").alias("n_hit"),
         F.coalesce(ids(lambda c: F.size(c["hit"]) > 0), empty).alias("items"),
-        F.coalesce(ids(lambda c: c["near"]), empty).alias("near_items"),
     )
     return out.select(
         "doc_id",
@@ -188,10 +190,59 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (CONTAMINATED_RATIO * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         "items",
-        "near_items",
     )
 
 
+def near_diagonals(docs: DataFrame, probed: DataFrame, n_keys: int) -> DataFrame:
+    """(doc_id, _key, item_id, _item_words, _window, _diagonal) where enough probe words of some window agree within ``SLOP``."""
+    least = F.least(F.lit(NEAR_AGREE), F.col("_window")).alias("_least")
+    keys = probed.select("_item", "_item_words", least, F.explode(F.array_distinct(F.flatten("_rarest"))).alias("_q")).select(
+        "_item", "_q", "_least", F.get("_item_words", F.col("_q")).alias("_word")
+    )
+    postings = docs.select("doc_id", "_key", F.posexplode("_words").alias("_p", "_word"))
+    diagonal = F.col("_p") - F.col("_q")
+    met = (
+        postings.join(small_side(keys, n_keys, BROADCAST_ROWS), "_word")
+        .select("doc_id", "_key", "_item", "_q", "_least", F.explode(F.sequence(diagonal - SLOP, diagonal + SLOP)).alias("_diagonal"))
+        .groupBy("doc_id", "_key", "_item", "_least", "_diagonal")
+        .agg(F.collect_set("_q").alias("_at"))
+        .filter(F.size("_at") >= F.col("_least"))
+    )
+    enough = F.exists("_rarest", lambda r: F.size(F.array_intersect(r, "_at")) >= F.least(F.lit(NEAR_AGREE), F.size(r)))
+    return (
+        met.join(small_side(probed.select("_item", "item_id", "_item_words", "_window", "_rarest"), n_keys, BROADCAST_ROWS), "_item")
+        .filter(enough)
+        .select("doc_id", "_key", "item_id", "_item_words", "_window", "_diagonal")
+    )
+
+
+def near_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_near and near_items (sorted array of item ids) by proximity matches."""
+    probed = materialize(probes(docs, benchmark), "probes")
+    n_keys = probed.agg(F.sum(F.size("_item_words"))).first()[0] or 0
+    keyed = _keyed(docs)
+    found = (
+        near_diagonals(keyed, probed, n_keys)
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_found_key"))
+        .agg(F.collect_list(F.struct("item_id", "_item_words", "_window", "_diagonal")).alias("_candidates"))
+    )
+    joined = keyed.join(found, (F.col("_key") == F.col("_found_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+
+    def near(c: Column) -> Column:
+        item, w = c["_item_words"], c["_window"]
+        stands = lambda x, q: F.exists(
+            F.sequence(F.lit(-SLOP), F.lit(SLOP)), lambda d: F.coalesce(F.get("_words", c["_diagonal"] + q + d) == x, F.lit(False))
+        )
+        agreed = F.transform(item, lambda x, q: stands(x, q).cast("int"))
+        starts = F.sequence(F.lit(0), F.size(item) - w)
+        count = lambda s: F.aggregate(F.slice(agreed, s + 1, w), F.lit(0), lambda a, x: a + x)
+        return F.exists(starts, lambda s: count(s) >= F.ceil(w * F.lit(NEAR_WORDS) / F.lit(WINDOW)))
+
+    ids = F.transform(F.filter("_candidates", lambda c: c["item_id"].isNotNull() & near(c)), lambda c: c["item_id"])
+    items = F.coalesce(F.array_sort(F.array_distinct(ids)), F.array().cast("array<string>"))
+    return joined.select("doc_id", items.alias("near_items")).select("doc_id", F.size("near_items").cast("long").alias("n_near"), "near_items")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they came."""
     bad = contamination(docs, benchmark).filter("contaminated").select("doc_id").distinct()

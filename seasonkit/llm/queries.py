@@ -81,6 +81,11 @@ def op8(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@register("op8_proximity_matches")
+def op8_near(spark, sf_dir):
+    return decontamination.near_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op9_toxicity")
 def op9(spark, sf_dir):
     return toxicity.classify_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -7,6 +7,8 @@ from seasonkit.llm import (
     bucket_pointer, components, decontamination, embedding_dedup, kneser_ney, minhash, packing, pii, secret_scan, sharding, toxicity,
 )
 
+from seasonkit.llm.queries import QUERIES
+
 
 @pytest.fixture(scope="module")
 def benchmark(spark):
@@ -110,6 +112,50 @@ def test_names_near_one_entity_of_a_dense_source(spark):
     assert not clean[400:420].str.contains("(?i)zebulon").any() and clean[420:].str.startswith("zebulon").all()
 
 
+def test_proximity_matches_against_brute_force(spark):
+    """Windows of which any three words are altered, or with a word inserted or left out; short items."""
+    rng = np.random.default_rng(4)
+    common = [f"c{i}" for i in range(12)]
+    item = lambda k, n: [f"i{k}w{j}" if rng.random() < 0.5 else str(rng.choice(common)) for j in range(n)]
+    items = {k: item(k, n) for k, n in enumerate([13, 20, 30, 13, 16, 5, 2, 1])}
+    texts = [list(rng.choice(common, 60)) for _ in range(10)]
+    for w in list(items.values()) * 12:
+        part = list(w[: rng.integers(1, 18)]) if rng.random() < 0.3 else list(w)
+        for at in rng.choice(len(part), min(len(part), int(rng.integers(0, 5))), replace=False):
+            part[at] = "altered"
+        if rng.random() < 0.5:
+            part.insert(int(rng.integers(0, len(part) + 1)), "inserted")
+        elif rng.random() < 0.5:
+            del part[int(rng.integers(0, len(part)))]
+        texts.append([*rng.choice(common, 9), *part, *rng.choice(common, 9)])
+    docs = spark.createDataFrame([(i, " ".join(map(str, t))) for i, t in enumerate(texts)], "doc_id long, text string")
+    known = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+
+    def near(t, w):
+        n = min(13, len(w))
+        for d in range(-len(w) - 1, len(t) + 1):
+            on = [any(0 <= q + d + e < len(t) and t[q + d + e] == x for e in (-1, 0, 1)) for q, x in enumerate(w)]
+            if any(13 * sum(on[s : s + n]) >= 10 * n for s in range(len(w) - n + 1)):
+                return True
+        return False
+
+    got = {r.doc_id: r.near_items for r in decontamination.near_matches(docs, known).collect()}
+    want = {i: sorted(str(k) for k, w in items.items() if near(t, w)) for i, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 50
+
+
+def test_an_edited_passage_is_found_by_the_registered_query(spark, tmp_path):
+    """Altered where its rarest words stand, and with a word inserted in the middle."""
+    item = "the of and to in is it that was for on zygote quark".split()
+    altered = [*item[:11], "a", "b"]
+    shifted = [*item[:6], "so", *item[6:]]
+    rows = [(1, " ".join(altered)), (2, " ".join(shifted)), (3, "of the and")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r.near_items for r in QUERIES["op8_proximity_matches"](spark, str(tmp_path)).collect()}
+    assert got == {1: ["7"], 2: ["7"], 3: []}
+
+
 def test_many_unlike_copies_of_one_text(spark):
     """A group that one leader can't settle: two families in the same buckets, many members each."""
     rng = np.random.default_rng(3)
