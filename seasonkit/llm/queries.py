@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bucket_pointer, decontamination, embedding_dedup, kneser_ney, minhash, packing, pii, secret_scan, sharding, toxicity
+from . import bucket_pointer, decontamination, embedding_dedup, filter_audit, kneser_ney, line_dedup, minhash, packing, pii, secret_scan, sharding, token_pairs, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,75 @@ def op6(spark, sf_dir):
 def op5(spark, sf_dir):
     found = bucket_pointer.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+repeats AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT keyed.*, first IS NOT NULL AND doc_id <> first AS gone FROM keyed LEFT JOIN repeats USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@register("op12_line_dedup", LINES_SQL)
+def op12(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(string_split_regex(text, '[ 	-
+]+'), lambda x: x <> '') AS words,
+    min(doc_id) OVER (PARTITION BY text) AS first
+  FROM d),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, CAST(len(words) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INT)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > first, FALSE) AS INT) AS mask,
+    count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(l.toxic, 0)) AS toxic
+  FROM w LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bit, (SELECT sum(x.bit) FROM letters x WHERE position(x.f IN filter_order) < step) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step), letters WHERE substr(filter_order, step, 1) = f),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, bit,
+    coalesce(sum(n) FILTER (mask & (coalesce(before, 0) | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & coalesce(before, 0) = 0 AND mask & bit <> 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & coalesce(before, 0) <> 0 AND mask & bit <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & coalesce(before, 0) = 0 AND mask & bit <> 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & coalesce(before, 0) = 0 AND mask & bit <> 0), 0) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@register("op13_filter_audit", AUDIT_SQL)
+def op13(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_token_alignment")
+def op11(spark, sf_dir):
+    return token_pairs.alignment_report(table(spark, sf_dir, "documents"))
