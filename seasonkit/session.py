@@ -3,9 +3,14 @@ used to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,10 +65,96 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+class WrittenTables:
+    """The written tables of one piece of work, and their end.
+
+    ``release(result)`` removes every folder and catalogue table that the plan of ``result`` does not read; what
+    it does read is left to the enclosing scope, in the end to the session's.
+    """
+
+    def __init__(self, spark: SparkSession, outer: WrittenTables | None = None):
+        self.spark, self.outer = spark, outer
+        self.folders: list[str] = []
+        self.tables: list[str] = []
+
+    def release(self, result: DataFrame | None = None) -> None:
+        read = "\n".join(result.inputFiles()) if result is not None and (self.folders or self.tables) else ""
+        left = WrittenTables(self.spark)
+        for path in self.folders:
+            # names end in a random number of their own, so a substring settles it however the path is spelled
+            if os.path.basename(path) in read:
+                left.folders.append(path)
+            else:
+                target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        for table in self.tables:
+            if table.lower() in read.lower():
+                left.tables.append(table)
+            else:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        owner = self.outer or _of_session(self.spark)
+        if owner is not self:
+            owner.folders += left.folders
+            owner.tables += left.tables
+        self.folders, self.tables = [], []
+
+
+_CURRENT: ContextVar[WrittenTables | None] = ContextVar("written_tables", default=None)
+_SESSIONS: dict[str, WrittenTables] = {}
+
+
+def _of_session(spark: SparkSession) -> WrittenTables:
+    """What outlives every scope: results still to be read; removed when Python ends, if the session lives."""
+    app = spark.sparkContext.applicationId
+    if app not in _SESSIONS:
+        _SESSIONS[app] = WrittenTables(spark)
+
+        def end() -> None:
+            if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+                _SESSIONS[app].release()
+
+        atexit.register(end)
+    return _SESSIONS[app]
+
+
+@contextmanager
+def written_tables(spark: SparkSession) -> Iterator[WrittenTables]:
+    """A scope that owns the tables written inside it. At its end it removes all of them that are left, so a result that
+    is to be read later must be handed to ``release`` (or be returned by a function under ``owns_tables``)."""
+    scope = WrittenTables(spark, _CURRENT.get())
+    token = _CURRENT.set(scope)
+    try:
+        yield scope
+    finally:
+        _CURRENT.reset(token)
+        scope.release()
+
+
+def owns_tables(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For ``fn(spark, ...) -> DataFrame``: of the tables it writes, only those that its result reads are left."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, *args, **kw) -> DataFrame:
+        with written_tables(spark) as scope:
+            result = fn(spark, *args, **kw)
+            scope.release(result)
+        return result
+
+    return run
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path inside the shared checkpoint folder for written tables."""
+    """A fresh path inside the shared checkpoint folder, owned by the scope that it is asked in."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    (_CURRENT.get() or _of_session(spark)).folders.append(path)
+    return path
+
+
+def own_table(spark: SparkSession, name: str) -> str:
+    """``name``, a catalogue table about to be written, owned like a folder."""
+    (_CURRENT.get() or _of_session(spark)).tables.append(name)
+    return name
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -72,7 +163,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     Cuts lineage like ``checkpoint()`` but computes the plan only once (a
     reliable checkpoint of an unpersisted plan computes it twice), survives
     executor loss, and the re-read table gets column pruning and size
-    statistics for the planner.
+    statistics for the planner. The table ends with the scope it was written in (``written_tables``).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
