@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import round6
-from .session import materialize
+from .session import materialize, owns_tables
 from .operators import features as fe
 from .operators.split import FIXTURE_TEST_SEASONS, mark_split
 from .schema import FEATURES, GAME_MEAN_COLUMNS_VARIANT, KEPT_PLAY_TYPES, MODEL_CUTOFFS, PLAY_KEYS, THRESHOLDS
@@ -27,7 +27,7 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = owns_tables(fn)
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -335,9 +335,8 @@ def nb_knn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .plans.learners import fit_score
 
     train, test = split_seasons(spark, sf_dir)
-    n = train.count()
-    nb = fit_score("naive_bayes", train, test, FEATURES, KEYS, "naive bayes", 2, n_train=n)
-    knn = fit_score("knn", train, test, FEATURES, KEYS, "KNN", 6, n_train=n)
+    nb = fit_score("naive_bayes", train, test, FEATURES, KEYS, "naive bayes", 2)
+    knn = fit_score("knn", train, test, FEATURES, KEYS, "KNN", 6)
     return nb.unionByName(knn).withColumn("score", round6("p1"))
 
 
@@ -695,6 +694,28 @@ def q_csv_scan(spark, sf_dir):
     return _season_out(fe.season_table(back))
 
 
+@register(
+    "csv_scan_unlike_headers",
+    f"WITH {SQL_SEASON_CTES} SELECT year, CAST(posteam AS BIGINT) AS posteam, {_sql_r(_SEASON_DBL)} FROM se",
+)
+def q_csv_scan_unlike_headers(spark, sf_dir):
+    """Plays written as gzip CSV seasons in three column orders, one with an extra column, the season only
+    in the file name; scanned back by header and column name, then the full season chain."""
+    from .session import scratch_path
+    from .sources import read_play_files
+
+    plays = plays_from_lineitem(spark, sf_dir)
+    names = [c for c in plays.columns if c != "year"]
+    season = F.concat(F.lit("play_by_play_"), F.col("year")).alias("season")
+    folders = []
+    for k, columns in enumerate((names, names[::-1], ["play_id", *names[7:], *names[:7]])):
+        part = plays.filter(F.pmod(F.col("year").cast("int"), F.lit(3)) == k).withColumn("play_id", F.lit(k))
+        folders.append(scratch_path(spark, f"plays-order-{k}"))
+        writer = part.select(*columns, season).write.partitionBy("season").option("compression", "gzip")
+        writer.csv(folders[-1], header=True, nullValue="NA")
+    return _season_out(fe.season_table(read_play_files(spark, folders)))
+
+
 def test_seasons_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Season table written partitioned by season, read back for the test
     seasons only: the season predicate prunes ``year=`` folders."""

@@ -6,9 +6,7 @@ from .columns import (
     nan_to_null,
     required,
     round6,
-    sq_dist,
     sum0,
-    threshold_pred,
     value_flag,
 )
 
@@ -18,8 +16,6 @@ __all__ = [
     "nan_to_null",
     "required",
     "round6",
-    "sq_dist",
     "sum0",
-    "threshold_pred",
     "value_flag",
 ]

@@ -58,17 +58,3 @@ def round6(c) -> Column:
     ``round(x * 2^20) / 2^20 + 0.0`` -- the same arithmetic as the oracle SQL;
     ``+ 0.0`` turns a negative zero into zero."""
     return F.round(col_(c) * F.lit(QUANTUM)) / F.lit(QUANTUM) + F.lit(0.0)
-
-
-def threshold_pred(p, t) -> Column:
-    """Class 1.0 when the probability is strictly above the cut-off, else 0.0."""
-    return F.when(col_(p) > F.lit(t), F.lit(1.0)).otherwise(F.lit(0.0))
-
-
-def sq_dist(a, b, dim: int) -> Column:
-    """Squared Euclidean distance of two array<double> columns of length ``dim``."""
-    terms = [(col_(a)[i] - col_(b)[i]) * (col_(a)[i] - col_(b)[i]) for i in range(dim)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out

@@ -1,10 +1,9 @@
-"""Season-based train/test split and feature assembly."""
+"""Season-based train/test split."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +22,3 @@ def train_test_split(df: DataFrame, test_seasons: Sequence[str], col: str = "yea
     prune ``year=`` partitions of a written table."""
     marked = mark_split(df, test_seasons, col)
     return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter(F.col("is_test")).drop("is_test")
-
-
-def assemble(df: DataFrame, features: Sequence[str], label: str = "playoffs", out: str = "features") -> DataFrame:
-    """Named features → one vector column next to a double ``label`` in the same row.
-
-    A missing feature raises, as the reference's fit would.
-    """
-    va = VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error")
-    return va.transform(df.withColumn("label", F.col(label).cast("double")))

@@ -1,7 +1,7 @@
 """Play-table sources and sinks.
 
-* ``read_play_files``  -- one scan over many season files (CSV, gzip by suffix,
-  or Parquet), season taken from the file name or from ``year=`` folders.
+* ``read_play_files``  -- many season files (CSV, gzip by suffix, or Parquet), one scan
+  for each distinct header, season taken from the file name or from ``year=`` folders.
 * ``plays_from_lineitem`` -- deterministic stand-in play table over the
   driver's ``lineitem`` (see FIXTURES.md section 2).
 * ``write_seasons`` -- materialise a table partitioned by season.
@@ -10,11 +10,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import DROPPED_PLAYER_COLUMNS, PLAY_CSV_SCHEMA
+from ..schema import DROPPED_PLAYER_COLUMNS, PLAY_CSV_SCHEMA, require_columns
+from .headers import read_by_header
 
 SEASON_FILE_PATTERN = r"play_by_play_(\d{4})"
 
@@ -30,14 +32,15 @@ def read_play_files(
     paths: str | Iterable[str],
     fmt: str = "csv",
     schema=PLAY_CSV_SCHEMA,
+    required: Iterable[str] = (),
 ) -> DataFrame:
-    """Read every season in one scan; no per-season loop on the driver.
+    """Read every season, one scan for each distinct header; no per-season loop on the driver.
 
     CSV files are read with their header and columns are taken **by name**
     and cast to the declared types (a season file has hundreds of columns in
-    an order that is not fixed); ``MISSING_TOKENS`` are missing, as pandas reads them.
-    Files of one scan must share their header, and a file name without a season
-    fails: either would otherwise lose or swap columns and rows unseen.
+    an order that is not fixed and changes between seasons, see ``headers``);
+    ``MISSING_TOKENS`` are missing, as pandas reads them. A header without a required
+    column and a file name without a season fail; a player column that only some files have is null in the others.
     The CSV parser only parses the selected columns. The season comes from
     ``year=`` partition folders when present (filters on ``year`` then prune
     folders), else from the file name (``play_by_play_2019.csv.gz``) through
@@ -45,11 +48,13 @@ def read_play_files(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
-        # one scan has one header: a file with another one fails instead of being read by position
-        raw = spark.read.option("header", True).option("enforceSchema", False).csv(paths)
-    else:
-        raw = spark.read.format(fmt).load(paths)
-    return typed_plays(raw, schema, tokens=MISSING_TOKENS if fmt == "csv" else ())
+        scans = read_by_header(spark, paths)
+        for raw in scans:
+            require_columns(raw, required)
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [typed_plays(raw, schema) for raw in scans])
+    raw = spark.read.format(fmt).load(paths)
+    require_columns(raw, required)
+    return typed_plays(raw, schema, tokens=())
 
 
 def typed_plays(raw: DataFrame, schema=PLAY_CSV_SCHEMA, file_col: str | None = None, tokens=MISSING_TOKENS) -> DataFrame:
@@ -130,7 +135,3 @@ PLAYS_VIEW_SQL_DUCKDB = "SELECT " + ",\n ".join(e.replace("AS STRING", "AS VARCH
 def plays_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in play table over ``lineitem`` (one row per line item)."""
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*_PLAY_VIEW_EXPRS)
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

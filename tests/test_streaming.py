@@ -45,3 +45,22 @@ def test_season_in_two_files_fails(spark, tmp_path):
     q = ingest_seasons(spark, src, os.path.join(tmp_path, "out"), os.path.join(tmp_path, "ckpt"), schema, 1)
     with pytest.raises(Exception, match="more than one file"):
         q.awaitTermination(300)
+
+
+def test_stream_of_unlike_headers(spark, tmp_path):
+    """Each season in a column order of its own, one with an extra column; no schema is given."""
+    src = os.path.join(tmp_path, "src")
+    os.makedirs(src)
+    plays = plays_from_lineitem(spark, SF_SMALL).filter("year <= '1998'").toPandas()
+    for k, (year, part) in enumerate(plays.groupby("year")):
+        part = part.drop(columns=["year"])
+        part = part[[*part.columns[k:], *part.columns[:k]]].assign(**({"extra": 1} if k == 2 else {}))
+        part.to_csv(os.path.join(src, f"play_by_play_{year}.csv.gz"), index=False, na_rep="NA", compression="gzip")
+    q = ingest_seasons(spark, src, os.path.join(tmp_path, "out"), os.path.join(tmp_path, "ckpt"), files_per_batch=2)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    cols = ["year", "posteam", "epa", "yardline_100", "playoffs", "week"]
+    got = spark.read.parquet(os.path.join(tmp_path, "out", "seasons")).selectExpr("CAST(year AS STRING) AS year", *cols[1:])
+    want = fe.season_table(plays_from_lineitem(spark, SF_SMALL).filter("year <= '1998'")).selectExpr("year", "CAST(posteam AS STRING) AS posteam", *cols[2:])
+    rows = lambda df: sorted((r[0], r[1], *(round(x, 9) for x in r[2:])) for r in df.collect())
+    assert rows(got) == rows(want) and len(rows(got)) == 40
