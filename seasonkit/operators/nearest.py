@@ -1,34 +1,27 @@
-"""Exact 1-nearest-neighbour join (Euclidean) without a cross join.
-
-Plan, all distributed:
-
-1. Identical training vectors are collapsed first (their distance to any
-   query is the same, so the lowest tie key wins) -- a partial aggregate, so a
-   vector repeated by a third of the rows costs one row per task.
-2. The training points are cut into KD leaves of at most ``leaf_size`` points:
-   level by level, every node above the size splits at the approximate median
-   of its widest dimension (one grouped aggregate per level; the split table
-   has at most one row per node, <= n / leaf_size rows, so it is broadcast
-   under that proven bound). The level's points are checkpointed to the shared
-   folder to cut lineage.
-3. Each query keeps only the leaves whose box can hold its nearest point:
-   ``mindist(q, box) <= min over boxes of minmaxdist(q, box)`` (Roussopoulos,
-   Kelley & Vincent, SIGMOD 1995; boxes are tight, so every face touches a
-   point). The leaf boxes (2 * dim doubles a leaf) are a broadcast variable;
-   more than ``max_leaves`` of them fail rather than making leaves grow.
-4. Candidate (query, leaf) rows meet the leaf's points in a cogroup keyed on
-   (leaf, salt): a leaf wanted by many queries is split into chunks of at most
-   ``query_chunk`` queries, and its (bounded) points are copied to each chunk.
-   Distances are computed in NumPy per chunk; no pair is emitted as a row.
-5. The best candidate per query is a ``min_by`` aggregate (map-side combine).
-
-Ties on distance go to the lowest training key. A missing feature (null or
-NaN) on either side fails with the row's keys, since it has no distance.
+"""Exact 1-nearest-neighbour join (Euclidean) without a cross join, best bound first.
+
+1. Identical training vectors are collapsed (the lowest training key answers): a partial aggregate, so a
+   vector that a third of the rows repeat costs one row a task.
+2. The points are turned to their principal axes. A turn changes no distance, but boxes along the axes of the data
+   are far smaller than boxes along correlated columns, so they rule out more. Axes and the median splits of a
+   tree of at most ``2**MAX_DEPTH`` cells come from a bounded sample; any axes and any splits give the same answers.
+3. Every point is labelled with its cell in **one** pass. Cells are boxed tightly by one aggregate. A cell of more
+   than ``block_points`` points is dealt into blocks by hash, so a task's share is bounded at any size.
+4. Each query is answered in its own cell. That distance is its bound: a descent of the tree keeps the
+   other cells whose box lies no farther, and only these are searched in a second round, from that bound on.
+5. Inside a block the points are cut into balanced leaves of ``leaf_size``; leaves are visited by their distance
+   from the query until the next one lies beyond the best distance found (NumPy, all queries of a chunk together).
+
+Queries of one cell are dealt into chunks of at most about ``query_chunk``; no pair becomes a row. The best candidate of a
+query is a ``min_by`` aggregate. Ties on distance go to the lowest training key. A missing feature (null or NaN)
+on either side fails with the row's keys, since it has no distance.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -39,119 +32,191 @@ from pyspark.sql import types as T
 from ..functions import required
 from ..session import materialize
 
-_MAX_DEPTH = 60  # node ids are int64: two bits fewer than they hold
-# NumPy work arrays are cut into blocks of at most this many doubles (32 MB).
-_BLOCK_CELLS = 4_000_000
+#: The tree has at most 2**MAX_DEPTH cells: their boxes (two corners each) are what the driver and the tasks hold of it.
+MAX_DEPTH = 12
+#: Points of the sample that places axes and splits, about.
+SAMPLE = 1 << 15
+#: Doubles of a NumPy work array, at most (32 MB).
+BLOCK_CELLS = 4_000_000
+#: Turned coordinates are rounded: boxes are compared with this much room, so no leaf is left out wrongly.
+ROOM = 1e-9
+
+
+class Tree(NamedTuple):
+    """Axes and median splits. Cell c of depth k is the leaf 2**k + c of a heap; node i splits at ``split[i]`` along ``axis[i]``."""
+
+    mean: np.ndarray
+    axes: np.ndarray
+    depth: int
+    axis: np.ndarray
+    split: np.ndarray
+
+    def turned(self, x: np.ndarray) -> np.ndarray:
+        return (x - self.mean) @ self.axes
+
+    def cell(self, z: np.ndarray) -> np.ndarray:
+        node = np.ones(len(z), dtype=np.int64)
+        for _ in range(self.depth):
+            node = 2 * node + (z[np.arange(len(z)), self.axis[node]] > self.split[node])
+        return node - (1 << self.depth)
+
+
+class Boxes(NamedTuple):
+    """Tight corners of all tree nodes, in heap order; nodes without points have an inverted box."""
+
+    low: np.ndarray
+    high: np.ndarray
 
 
 def _vec(features: Sequence[str], keys: Sequence[str]):
     return F.array(*[required(c, keys) for c in features])
 
 
-def build_leaves(points: DataFrame, dim: int, leaf_size: int, max_leaves: int):
-    """Assign ``node`` (leaf id) to every point; return (points, leaf ids, corners).
+def _matrix(column: pd.Series, dim: int) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, dim))
 
-    ``points`` has ``x`` array<double>, all different. Leaf ids are int64; corners
-    have shape (L, 2 * dim): lower, upper. No leaf holds more than ``leaf_size`` points; where
-    that needs more than ``max_leaves`` leaves or a deeper tree, it fails. Each level is one
-    aggregate (count, box and the approximate median of every dimension per
-    node) plus one write of the re-labelled points; the last level's
-    aggregate doubles as the leaf table.
-    """
-    spark = points.sparkSession
-    pts = materialize(points.withColumn("node", F.lit(1).cast("long")), "kd-level")
-    x = F.col("x")
-    stat_aggs = [F.count(F.lit(1)).alias("cnt")]
-    stat_aggs += [F.min(x[i]).alias(f"lo{i}") for i in range(dim)]
-    stat_aggs += [F.max(x[i]).alias(f"hi{i}") for i in range(dim)]
-    # the median only balances the split (any split value is exact), so small
-    # sketches: rank error ~0.5 %, bounded memory per (node, dimension)
-    stat_aggs += [F.percentile_approx(x[i], 0.5, 200).alias(f"md{i}") for i in range(dim)]
-    for depth in range(_MAX_DEPTH + 1):
-        # one row per node, at most 2 * max_leaves of them
-        stats = pts.groupBy("node").agg(*stat_aggs).collect()
-        rows = []
-        for r in stats:
-            if r["cnt"] <= leaf_size:
-                continue
-            spread = [r[f"hi{i}"] - r[f"lo{i}"] for i in range(dim)]
-            k = int(np.argmax(spread))
-            lo, hi, m = float(r[f"lo{k}"]), float(r[f"hi{k}"]), float(r[f"md{k}"])
-            s = m if m < hi else (lo + hi) / 2.0  # both sides non-empty
-            rows.append((int(r["node"]), k, s))
-        if not rows:
-            break
-        if depth == _MAX_DEPTH or len(stats) + len(rows) > max_leaves:
-            raise ValueError(f"more than {max_leaves} leaves or {_MAX_DEPTH} levels: raise leaf_size ({leaf_size}) or max_leaves")
-        # split table: one row per node to split (<= n / size rows), broadcast
-        split = spark.createDataFrame(rows, "node long, dim int, s double")
-        child = F.col("node") * 2 + (x[F.col("dim")] > F.col("s")).cast("long")
-        pts = pts.join(F.broadcast(split), "node", "left").select(
-            F.when(F.col("dim").isNotNull(), child).otherwise(F.col("node")).alias("node"), "x", "tk", "y"
-        )
-        pts = materialize(pts, "kd-level")
-    stats = sorted(stats, key=lambda r: r["node"])
-    ids = np.array([r["node"] for r in stats], dtype=np.int64)
-    corners = np.array([[r[f"lo{i}"] for i in range(dim)] + [r[f"hi{i}"] for i in range(dim)] for r in stats], dtype=np.float64)
-    return pts, ids, corners.reshape(len(ids), 2 * dim)
-
-
-def _candidate_fn(leaves_bc, dim: int, key_names: Sequence[str]):
-    def fn(it):
-        ids, corners = leaves_bc.value
-        lo, hi = corners[:, :dim], corners[:, dim:]
-        mid = (lo + hi) / 2.0
-        for pdf in it:
-            if pdf.empty or not len(ids):
-                continue
-            q = np.stack(pdf["q"].to_numpy()).astype(np.float64)  # (m, d)
-            out_rows = []
-            step = max(1, _BLOCK_CELLS // (len(ids) * dim))  # bounded (b, L, d) blocks
-            for start in range(0, len(q), step):
-                qb = q[start : start + step][:, None, :]  # (b, 1, d)
-                below = np.maximum(lo[None] - qb, 0.0)
-                above = np.maximum(qb - hi[None], 0.0)
-                mind = ((below + above) ** 2).sum(-1)  # (b, L)
-                far = np.where(qb >= mid[None], lo[None], hi[None])  # farther face per dim
-                near = np.where(qb <= mid[None], lo[None], hi[None])
-                fsq = (qb - far) ** 2
-                nsq = (qb - near) ** 2
-                mm = (fsq.sum(-1)[..., None] - fsq + nsq).min(-1)  # (b, L)
-                ub = mm.min(-1, keepdims=True)
-                ub = ub * (1.0 + 1e-9) + 1e-12
-                qi, li = np.nonzero(mind <= ub)
-                out_rows.append((start + qi, ids[li]))
-            qi = np.concatenate([a for a, _ in out_rows])
-            li = np.concatenate([b for _, b in out_rows])
-            out = pdf.iloc[qi][list(key_names) + ["q"]].reset_index(drop=True)
-            out["leaf"] = li
-            yield out
 
-    return fn
+def grow_tree(points: DataFrame, dim: int, n: int, cell_points: int) -> Tree:
+    """Axes and splits from about ``SAMPLE`` points, chosen by the hash of the vector."""
+    every = max(1, n // SAMPLE)
+    rows = points.filter(F.pmod(F.xxhash64("x"), F.lit(every)) == 0).select("x").toPandas()  # about SAMPLE rows
+    x = _matrix(rows["x"], dim)
+    mean = x.mean(axis=0) if len(x) else np.zeros(dim)
+    axes = np.linalg.eigh((x - mean).T @ (x - mean))[1][:, ::-1] if len(x) else np.eye(dim)
+    wanted = math.ceil(math.log2(max(1.0, n / cell_points)))
+    depth = int(min(MAX_DEPTH, wanted, max(0, math.floor(math.log2(max(1, len(x)))))))
+    axis, split = np.zeros(1 << depth, dtype=np.int64), np.zeros(1 << depth)
+    parts = {1: (x - mean) @ axes}
+    for node in range(1, 1 << depth):
+        z = parts.pop(node)
+        if len(z):
+            axis[node] = int(np.argmax(z.max(axis=0) - z.min(axis=0)))
+            split[node] = np.median(z[:, axis[node]])
+        right = z[:, axis[node]] > split[node]
+        parts[2 * node], parts[2 * node + 1] = z[~right], z[right]
+    return Tree(mean, axes, depth, axis, split)
+
+
+def label_points(points: DataFrame, tree: Tree, dim: int) -> tuple[DataFrame, dict[int, int], Boxes]:
+    """(points with ``cell``, written; points of each cell; boxes of all nodes)."""
+    sent = points.sparkSession.sparkContext.broadcast(tree)
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(cell=sent.value.cell(sent.value.turned(_matrix(b["x"], dim))))
+
+    def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            z = pd.DataFrame(sent.value.turned(_matrix(b["x"], dim))).groupby(b["cell"].to_numpy())
+            low, high, n = z.min(), z.max(), z.size()
+            yield pd.DataFrame({"cell": low.index, "n": n.to_numpy(), "low": list(low.to_numpy()), "high": list(high.to_numpy())})
+
+    labelled = materialize(points.mapInPandas(label, T.StructType([*points.schema.fields, T.StructField("cell", T.LongType())])), "nn-points")
+    parts = labelled.select("cell", "x").mapInPandas(corners, "cell long, n long, low array<double>, high array<double>")
+    ends = [F.min(F.col("low")[i]).alias(f"l{i}") for i in range(dim)] + [F.max(F.col("high")[i]).alias(f"h{i}") for i in range(dim)]
+    low = np.full((2 << tree.depth, dim), np.inf)
+    high = np.full((2 << tree.depth, dim), -np.inf)
+    sizes: dict[int, int] = {}
+    for r in parts.groupBy("cell").agg(F.sum("n").alias("n"), *ends).collect():  # one row a cell
+        at = (1 << tree.depth) + r["cell"]
+        low[at], high[at] = [r[f"l{i}"] for i in range(dim)], [r[f"h{i}"] for i in range(dim)]
+        sizes[r["cell"]] = r["n"]
+    for node in range((1 << tree.depth) - 1, 0, -1):
+        low[node] = np.minimum(low[2 * node], low[2 * node + 1])
+        high[node] = np.maximum(high[2 * node], high[2 * node + 1])
+    return labelled, sizes, Boxes(low, high)
+
+
+def _mindist(z: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each point of ``z`` (q, d) to each box (l, d)."""
+    gap = np.maximum(np.maximum(low[None] - z[:, None], z[:, None] - high[None]), 0.0)
+    return (gap * gap).sum(-1)
 
 
-def _best_in_chunk(tk_names: Sequence[str], key_names: Sequence[str]):
+def _room(best: np.ndarray, scale: float) -> np.ndarray:
+    return best * (1.0 + ROOM) + (ROOM * scale) ** 2
+
+
+def near_cells(z: np.ndarray, own: np.ndarray, bound: np.ndarray, tree: Tree, boxes: Boxes) -> tuple[np.ndarray, np.ndarray]:
+    """(query, cell) of all cells but the query's own whose box lies within its bound: a descent of the tree."""
+    scale = float(np.abs(z).max(initial=0.0) + np.abs(boxes.high[1]).max() + np.abs(boxes.low[1]).max())
+    queries, cells = [], []
+    stack = [(1, np.arange(len(z)))]
+    while stack:
+        node, asked = stack.pop()
+        gap = np.maximum(np.maximum(boxes.low[node] - z[asked], z[asked] - boxes.high[node]), 0.0)
+        asked = asked[(gap * gap).sum(-1) <= _room(bound[asked], scale)]
+        if not len(asked):
+            continue
+        if node >> tree.depth:
+            cell = node - (1 << tree.depth)
+            asked = asked[own[asked] != cell]
+            queries.append(asked)
+            cells.append(np.full(len(asked), cell, dtype=np.int64))
+        else:
+            stack += [(2 * node, asked), (2 * node + 1, asked)]
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *queries]), np.concatenate([none, *cells])
+
+
+def search_block(x: np.ndarray, z: np.ndarray, q: np.ndarray, zq: np.ndarray, bound: np.ndarray, leaf_size: int):
+    """For each query: (row of the nearest point or -1 where none is within ``bound``, squared distance, distances computed).
+
+    ``x`` and ``q`` are points and queries, ``z`` and ``zq`` the same, turned. Of equally near points the first row wins.
+    """
+    n, dim = x.shape
+    height = max(0, math.ceil(math.log2(max(1.0, n / leaf_size))))
+    parts = [np.arange(n)]
+    for _ in range(height):
+        halves = []
+        for p in parts:
+            k = int(np.argmax(z[p].max(axis=0) - z[p].min(axis=0))) if len(p) else 0
+            order = p[np.argpartition(z[p, k], len(p) // 2)] if len(p) > 1 else p
+            halves += [order[: len(p) // 2], order[len(p) // 2 :]]
+        parts = [p for p in halves if len(p)]
+    width = max(map(len, parts))
+    rows = np.full((len(parts), width), -1, dtype=np.int64)
+    for i, p in enumerate(parts):
+        rows[i, : len(p)] = np.sort(p)
+    low, high = np.stack([z[p].min(axis=0) for p in parts]), np.stack([z[p].max(axis=0) for p in parts])
+    scale = float(np.abs(z).max(initial=0.0) + np.abs(zq).max(initial=0.0))
+    best, at, checked = bound.copy(), np.full(len(q), -1, dtype=np.int64), np.zeros(len(q), dtype=np.int64)
+    step = max(1, BLOCK_CELLS // (max(len(parts), width) * dim))
+    for s in range(0, len(q), step):
+        block = np.arange(s, min(s + step, len(q)))
+        far = _mindist(zq[block], low, high)
+        order = np.argsort(far, axis=1)
+        for rank in range(len(parts)):
+            leaf = order[:, rank]
+            live = far[np.arange(len(block)), leaf] <= _room(best[block], scale)
+            if not live.any():
+                break
+            who, cand = block[live], rows[leaf[live]]
+            diff = q[who][:, None, :] - x[cand]
+            d2 = np.where(cand >= 0, (diff * diff).sum(-1), np.inf)
+            j = d2.argmin(-1)
+            d, r = d2[np.arange(len(who)), j], cand[np.arange(len(who)), j]
+            checked[who] += (cand >= 0).sum(-1)
+            better = (d < best[who]) | ((d == best[who]) & ((at[who] < 0) | (r < at[who])))
+            best[who[better]], at[who[better]] = d[better], r[better]
+    return at, best, checked
+
+
+def _answer(tree_sent, tk_names: Sequence[str], key_names: Sequence[str], dim: int, leaf_size: int):
     def fn(qs: pd.DataFrame, ps: pd.DataFrame) -> pd.DataFrame:
+        columns = [*key_names, "q", "own", "d2", *tk_names, "y", "checked"]
         if qs.empty or ps.empty:
-            return pd.DataFrame({c: [] for c in [*key_names, "d2", *tk_names, "y"]})
+            return pd.DataFrame({c: [] for c in columns})
+        tree = tree_sent.value
         ps = ps.sort_values(list(tk_names), kind="mergesort").reset_index(drop=True)
-        xs = np.stack(ps["x"].to_numpy()).astype(np.float64)  # (p, d)
-        q = np.stack(qs["q"].to_numpy()).astype(np.float64)
-        best_j = np.empty(len(q), dtype=np.int64)
-        best_d = np.empty(len(q), dtype=np.float64)
-        step = max(1, _BLOCK_CELLS // (len(xs) * xs.shape[1]))  # bounded (b, p, d) blocks
-        for s in range(0, len(q), step):
-            diff = q[s : s + step][:, None, :] - xs[None, :, :]
-            d2 = (diff * diff).sum(-1)
-            j = d2.argmin(-1)  # first minimum = lowest training key among ties
-            best_j[s : s + step] = j
-            best_d[s : s + step] = d2[np.arange(len(j)), j]
-        out = qs[list(key_names)].reset_index(drop=True)
-        out["d2"] = best_d
-        for c in tk_names:
-            out[c] = ps[c].to_numpy()[best_j]
-        out["y"] = ps["y"].to_numpy()[best_j]
-        return out
+        x, q = _matrix(ps["x"], dim), _matrix(qs["q"], dim)
+        at, best, checked = search_block(x, tree.turned(x), q, tree.turned(q), qs["bound"].to_numpy(dtype=np.float64), leaf_size)
+        found = at >= 0
+        out = qs[[*key_names, "q", "own"]].reset_index(drop=True)
+        out["d2"], out["checked"] = np.where(found, best, np.inf), checked
+        for c in (*tk_names, "y"):
+            out[c] = ps[c].to_numpy()[np.maximum(at, 0)]
+        return out[columns]
 
     return fn
 
@@ -163,12 +228,16 @@ def nearest_neighbour(
     label: str = "label",
     train_keys: Sequence[str] = ("year", "posteam"),
     test_keys: Sequence[str] = ("year", "posteam"),
-    leaf_size: int = 256,
-    max_leaves: int = 1 << 20,
+    leaf_size: int = 32,
     query_chunk: int = 4096,
+    cell_points: int = 1 << 14,
+    block_points: int = 1 << 16,
+    counts: bool = False,
 ) -> DataFrame:
-    """For each test row (unique ``test_keys``): the nearest training row's
-    label ``nn_label`` and distance ``nn_dist``."""
+    """For each test row (unique ``test_keys``): the nearest training row's label ``nn_label`` and distance ``nn_dist``.
+
+    With ``counts`` also ``nn_checked``: the distances computed for the row.
+    """
     spark = train.sparkSession
     dim = len(features)
     tk_names = [f"tk{i}" for i in range(len(train_keys))]
@@ -179,43 +248,77 @@ def nearest_neighbour(
         F.struct(*[F.col(k).alias(t) for k, t in zip(train_keys, tk_names)]).alias("tk"),
         F.col(label).cast("double").alias("y"),
     )
-    pts = pts.groupBy("x").agg(F.min_by(F.struct("tk", "y"), F.col("tk")).alias("b")).select("x", "b.tk", "b.y")
-    pts, ids, corners = build_leaves(pts, dim, leaf_size, max_leaves)
-    leaves_bc = spark.sparkContext.broadcast((ids, corners))
+    pts = pts.groupBy("x").agg(F.min_by(F.struct("tk", "y"), F.col("tk")).alias("b")).select("x", "b.tk.*", "b.y")
+    pts = materialize(pts, "nn-distinct")
+    n = pts.count()
+    tree = grow_tree(pts, dim, n, cell_points)
+    if tree.depth:
+        pts, sizes, boxes = label_points(pts, tree, dim)
+    else:
+        pts, sizes, boxes = pts.withColumn("cell", F.lit(0).cast("long")), {0: n}, None
+    tree_sent = spark.sparkContext.broadcast(tree)
 
     q = test.select(*key_names, _vec(features, key_names).alias("q"))
     key_fields = [q.schema[k] for k in key_names]
-    cand_schema = T.StructType(
-        key_fields
-        + [T.StructField("q", T.ArrayType(T.DoubleType())), T.StructField("leaf", T.LongType())]
-    )
-    # written once: it feeds both the per-leaf counts and the cogroup, and the
-    # Python pass over all queries should not run twice
-    cand = materialize(q.mapInPandas(_candidate_fn(leaves_bc, dim, key_names), cand_schema), "kd-candidates")
-
-    # salt hot leaves: chunks of <= query_chunk queries per (leaf, salt); the
-    # salt table has one row per leaf (<= ``max_leaves``, checked above), so it is
-    # broadcast under that bound
-    per_leaf = cand.groupBy("leaf").agg(F.count(F.lit(1)).alias("nq"))
-    salts = per_leaf.select("leaf", F.ceil(F.col("nq") / F.lit(float(query_chunk))).cast("int").alias("ns"))
-    qkey_hash = F.xxhash64(*[F.col(k) for k in key_names])
-    cand = cand.join(F.broadcast(salts), "leaf").withColumn("salt", F.pmod(qkey_hash, F.col("ns")).cast("int"))
-    leaf_pts = (
-        pts.withColumnRenamed("node", "leaf")
-        .join(F.broadcast(salts), "leaf")
-        .select("leaf", F.explode(F.sequence(F.lit(0), F.col("ns") - 1)).alias("salt"), "x", "tk.*", "y")
-    )
+    vector = T.StructField("q", T.ArrayType(T.DoubleType()))
+    asked_fields = [*key_fields, vector, T.StructField("own", T.LongType()), T.StructField("bound", T.DoubleType()), T.StructField("cell", T.LongType())]
+    found_fields = [
+        *key_fields, vector, T.StructField("own", T.LongType()), T.StructField("d2", T.DoubleType()),
+        *[T.StructField(t, train.schema[k].dataType) for k, t in zip(train_keys, tk_names)],
+        T.StructField("y", T.DoubleType()), T.StructField("checked", T.LongType()),
+    ]
+    # one row a cell, at most 2**MAX_DEPTH: broadcast
+    blocks = spark.createDataFrame([(c, math.ceil(m / block_points)) for c, m in sizes.items() if m], "cell long, blocks int")
 
-    tk_fields = [T.StructField(t, train.schema[k].dataType) for k, t in zip(train_keys, tk_names)]
-    best_schema = T.StructType(
-        key_fields + [T.StructField("d2", T.DoubleType())] + tk_fields + [T.StructField("y", T.DoubleType())]
-    )
-    per_chunk = (
-        cand.select("leaf", "salt", *key_names, "q")
-        .groupBy("leaf", "salt")
-        .cogroup(leaf_pts.groupBy("leaf", "salt"))
-        .applyInPandas(_best_in_chunk(tk_names, key_names), best_schema)
-    )
-    order = F.struct("d2", *tk_names)
-    best = per_chunk.groupBy(*key_names).agg(F.min_by(F.struct("y", "d2"), order).alias("b"))
-    return best.select(*key_names, F.col("b.y").alias("nn_label"), F.sqrt(F.col("b.d2")).alias("nn_dist"))
+    def searched(asked: DataFrame) -> DataFrame:
+        """Every (query, cell) against the cell's blocks; queries of a cell in chunks."""
+        chunks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_chunk))).cast("int").alias("chunks"))
+        plan = F.broadcast(chunks.join(F.broadcast(blocks), "cell"))
+        every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+        chunk = F.pmod(F.xxhash64(*[F.col(k) for k in key_names]), F.col("chunks")).cast("int")
+        ask = asked.join(plan, "cell").select("cell", chunk.alias("chunk"), every("blocks").alias("block"), *key_names, "q", "own", "bound")
+        block = F.pmod(F.xxhash64("x", F.lit(7)), F.col("blocks")).cast("int")
+        have = pts.join(plan, "cell").select("cell", every("chunks").alias("chunk"), block.alias("block"), "x", *tk_names, "y")
+        groups = ["cell", "chunk", "block"]
+        return ask.groupBy(*groups).cogroup(have.groupBy(*groups)).applyInPandas(
+            _answer(tree_sent, tk_names, key_names, dim, leaf_size), T.StructType(found_fields)
+        )
+
+    def best_of(found: DataFrame) -> DataFrame:
+        order = F.struct("d2", *tk_names)
+        return found.groupBy(*key_names).agg(
+            F.min_by(F.struct("q", "own", "y", "d2", *tk_names), order).alias("b"), F.sum("checked").alias("checked")
+        ).select(*key_names, "b.*", "checked")
+
+    if not tree.depth:
+        zero = F.lit(0).cast("long")
+        result = best_of(searched(q.withColumns({"own": zero, "bound": F.lit(float("inf")), "cell": zero})))
+    else:
+        boxes_sent = spark.sparkContext.broadcast((boxes, frozenset(sizes)))
+
+        def own_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            boxes, full = boxes_sent.value
+            for b in batches:
+                if len(b):
+                    z = tree_sent.value.turned(_matrix(b["q"], dim))
+                    cell = tree_sent.value.cell(z)
+                    for i in np.flatnonzero([c not in full for c in cell]):  # an empty cell answers nothing: the nearest box does
+                        low, high = (side[1 << tree_sent.value.depth :] for side in boxes)
+                        cell[i] = int(np.argmin(_mindist(z[i : i + 1], low, high)[0]))
+                    yield b.assign(own=cell, bound=np.inf, cell=cell)
+
+        def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    z, bound = tree_sent.value.turned(_matrix(b["q"], dim)), b["d2"].to_numpy()
+                    who, cell = near_cells(z, b["own"].to_numpy(), bound, tree_sent.value, boxes_sent.value[0])
+                    out = b.iloc[who][[*key_names, "q", "own"]].reset_index(drop=True)
+                    yield out.assign(bound=bound[who], cell=cell)
+
+        schema = T.StructType(asked_fields)
+        # each written once: it feeds the counts of the chunks as well as the search
+        first = materialize(best_of(searched(materialize(q.mapInPandas(own_cell, schema), "nn-asked"))), "nn-first")
+        more = materialize(first.select(*key_names, "q", "own", "d2").mapInPandas(others, schema), "nn-more")
+        result = best_of(first.unionByName(searched(more)))
+    extra = [F.col("checked").alias("nn_checked")] if counts else []
+    return result.select(*key_names, F.col("y").alias("nn_label"), F.sqrt("d2").alias("nn_dist"), *extra)

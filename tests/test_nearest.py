@@ -3,7 +3,12 @@
 import numpy as np
 import pytest
 
-from seasonkit.operators.nearest import build_leaves, nearest_neighbour
+from seasonkit.catalog import KEYS, labelled_seasons
+from seasonkit.operators import nearest
+from seasonkit.operators.nearest import nearest_neighbour
+from seasonkit.schema import FEATURES
+
+from .conftest import SF_MID
 
 
 def _brute(tr, te):
@@ -19,8 +24,9 @@ def _brute(tr, te):
     return out
 
 
+@pytest.mark.parametrize("cells", [{}, {"cell_points": 40, "block_points": 9}])
 @pytest.mark.parametrize("dim,leaf", [(2, 8), (5, 16), (20, 64)])
-def test_exact_nearest_neighbour_matches_brute_force(spark, dim, leaf):
+def test_exact_nearest_neighbour_matches_brute_force(spark, dim, leaf, cells):
     rng = np.random.default_rng(dim)
     n_tr, n_te = 400, 120
     xs = rng.normal(size=(n_tr, dim)).round(1)  # rounding creates ties and duplicates
@@ -36,7 +42,7 @@ def test_exact_nearest_neighbour_matches_brute_force(spark, dim, leaf):
     te = spark.createDataFrame(
         [(int(i), *map(float, qs[i])) for i in range(n_te)], "qid int, " + ", ".join(f"{f} double" for f in feats)
     )
-    nn = nearest_neighbour(tr, te, feats, "label", ["rid"], ["qid"], leaf_size=leaf, query_chunk=16)
+    nn = nearest_neighbour(tr, te, feats, "label", ["rid"], ["qid"], leaf_size=leaf, query_chunk=16, **cells)
     got = {r["qid"]: (r["nn_label"], r["nn_dist"]) for r in nn.collect()}
     want = _brute([(i, xs[i], ys[i]) for i in range(n_tr)], [(i, qs[i]) for i in range(n_te)])
     assert set(got) == set(want)
@@ -45,15 +51,56 @@ def test_exact_nearest_neighbour_matches_brute_force(spark, dim, leaf):
         assert got[k][1] == pytest.approx(want[k][1], abs=1e-9)
 
 
-def test_default_leaves_are_many_and_bounded(spark):
+def test_tasks_stay_bounded_when_the_tree_is_full(spark, monkeypatch):
+    """Two cells at most, far more points: cells are dealt into blocks and chunks of bounded size, and answers stay exact."""
+    monkeypatch.setattr(nearest, "MAX_DEPTH", 1)
     rng = np.random.default_rng(3)
-    xs = spark.createDataFrame([([float(v) for v in x],) for x in rng.normal(size=(3000, 5))], "x array<double>")
-    pts, ids, corners = build_leaves(xs.selectExpr("x", "1 AS tk", "0D AS y"), 5, 256, 1 << 20)
-    sizes = [r["count"] for r in pts.groupBy("node").count().collect()]
-    assert len(ids) == len(sizes) >= 16 and ids.dtype == np.int64
-    assert max(sizes) <= 256 and sum(sizes) == 3000 and corners.shape == (len(ids), 10)
-    with pytest.raises(ValueError, match="leaves"):
-        build_leaves(xs.selectExpr("x", "1 AS tk", "0D AS y"), 5, 256, 4)
+    xs, qs = rng.normal(size=(2000, 3)), rng.normal(size=(300, 3))
+    tr = spark.createDataFrame([(i, *map(float, x), float(i % 2)) for i, x in enumerate(xs)], "rid int, a double, b double, c double, label double")
+    te = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(qs)], "qid int, a double, b double, c double")
+    got = nearest_neighbour(tr, te, ["a", "b", "c"], "label", ["rid"], ["qid"], cell_points=50, block_points=100, query_chunk=20, counts=True)
+    want = _brute([(i, x, float(i % 2)) for i, x in enumerate(xs)], list(enumerate(qs)))
+    for r in got.collect():
+        assert (r.nn_label, r.nn_dist) == (want[r.qid][0], pytest.approx(want[r.qid][1])) and r.nn_checked < 1000
+
+
+def test_block_search_visits_few_leaves():
+    """Ties go to the first row, a bound leaves out what lies beyond it, and near leaves come first."""
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(4000, 3)), rng.normal(size=(50, 3))
+    x[7] = x[3000] = q[0]
+    at, d2, checked = nearest.search_block(x, x, q, q, np.full(50, np.inf), 32)
+    every = ((q[:, None] - x[None]) ** 2).sum(-1)
+    assert at[0] == 7 and (at == every.argmin(1)).all() and np.allclose(d2, every.min(1))
+    assert checked.mean() < 400
+    at, d2, _ = nearest.search_block(x, x, q, q, every.min(1) * 0.99, 32)
+    assert (at[1:] == -1).all() and (d2[1:] == every.min(1)[1:] * 0.99).all()
+
+
+def test_cells_within_the_bound_are_all_found():
+    rng = np.random.default_rng(6)
+    z = rng.normal(size=(500, 2))
+    axis, split = np.array([0, 0, 1, 1]), np.array([0.0, 0.1, 0.2, -0.3])
+    tree = nearest.Tree(np.zeros(2), np.eye(2), 2, axis, split)
+    cell = tree.cell(z)
+    low, high = np.full((8, 2), np.inf), np.full((8, 2), -np.inf)
+    for c in range(4):
+        low[4 + c], high[4 + c] = z[cell == c].min(0), z[cell == c].max(0)
+    for i in (3, 2, 1):
+        low[i], high[i] = np.minimum(low[2 * i], low[2 * i + 1]), np.maximum(high[2 * i], high[2 * i + 1])
+    q, bound = rng.normal(size=(60, 2)), rng.uniform(0, 1, 60)
+    own = tree.cell(q)
+    got = set(zip(*map(list, nearest.near_cells(q, own, bound, tree, nearest.Boxes(low, high))), strict=True))
+    far = nearest._mindist(q, low[4:], high[4:])
+    assert {(int(a), int(b)) for a, b in got} == {(i, c) for i in range(60) for c in range(4) if c != own[i] and far[i, c] <= bound[i]}
+
+
+def test_few_distances_on_the_season_table(spark):
+    """20 correlated features: less than a quarter of all distances is computed."""
+    st = labelled_seasons(spark, SF_MID)
+    train, test = st.filter("NOT is_test"), st.filter("is_test")
+    nn = nearest_neighbour(train, test, FEATURES, "label", KEYS, KEYS, counts=True)
+    assert nn.agg({"nn_checked": "avg"}).first()[0] < 0.25 * train.count()
 
 
 @pytest.mark.parametrize("bad", [None, float("nan")])
