@@ -1,23 +1,17 @@
-"""Random Fourier features for the RBF-kernel SVM (Rahimi & Recht, 2007).
+"""Random Fourier features of the RBF kernel (Rahimi & Recht, 2007).
 
 ``z(x) = sqrt(2 / D) * cos(W x + b)`` with ``W ~ N(0, 2 * gamma * I)`` and
 ``b ~ U(0, 2 pi)`` drawn once from a seed on the driver (a d×D matrix, bounded
 by the chosen D), so ``z(x) . z(y)`` approximates ``exp(-gamma |x - y|^2)``.
-A linear SVM on ``z`` then stands in for the exact kernel solver, which needs
-the full n×n kernel matrix. The map is an Arrow-batched pandas UDF (one
-matrix product per batch), not a per-row Python call.
+The alternative to the Nyström map of ``nystroem``: it needs no look at the data, but its error
+falls only with the root of D.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def draw(dim: int, n_features: int, gamma: float, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -27,22 +21,15 @@ def draw(dim: int, n_features: int, gamma: float, seed: int = 1) -> tuple[np.nda
     return w, b
 
 
-def fourier_column(features: Sequence[str], w: np.ndarray, b: np.ndarray, spark) -> Column:
-    bc = spark.sparkContext.broadcast((w, b))
-    scale = float(np.sqrt(2.0 / w.shape[1]))
+@dataclass
+class FourierMap:
+    w: np.ndarray
+    b: np.ndarray
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def rff(x: pd.Series) -> pd.Series:
-        ww, bb = bc.value
-        m = np.stack(x.to_numpy()).astype(np.float64)
-        z = scale * np.cos(m @ ww + bb)
-        return pd.Series(list(z))
+    @property
+    def dim(self) -> int:
+        return len(self.b)
 
-    return array_to_vector(rff(F.array(*[F.col(c).cast("double") for c in features])))
-
-
-def with_fourier(
-    df: DataFrame, features: Sequence[str], gamma: float, n_features: int = 1024, seed: int = 1, out: str = "features"
-) -> DataFrame:
-    w, b = draw(len(features), n_features, gamma, seed)
-    return df.withColumn(out, fourier_column(features, w, b, df.sparkSession))
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """(n, d) to (n, dim)."""
+        return np.sqrt(2.0 / self.dim) * np.cos(x @ self.w + self.b)

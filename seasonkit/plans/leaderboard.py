@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
+from contextvars import copy_context
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..schema import MODEL_CUTOFFS, RBF_GAMMA_FULL, RBF_GAMMA_PCA
 from ..session import materialize
-from .learners import Settings, fit_score
+from .learners import Settings, checked, fit_score
 from .pca import fit_pca
 
 # Leaderboard name of each learner on all features and on two components.
@@ -66,11 +67,13 @@ def run_models(
     s = settings or Settings()
     kinds = list(kinds or FULL_NAMES)
     timings = timings if timings is not None else {}
-    n = train.count()
+    # checked for missing values once, here; the fits read the written rows
+    train = materialize(checked(train, features, keys, label=True), "checked-train")
+    test = materialize(checked(test, features, keys, label=True), "checked-test")
 
     def one(kind, tr, te, feats, name, st):
         t0 = time.time()
-        sc = materialize(fit_score(kind, tr, te, feats, keys, name, ORDER[name], st, n_train=n), "scores")
+        sc = materialize(fit_score(kind, tr, te, feats, keys, name, ORDER[name], st), "scores")
         timings[name] = round(time.time() - t0, 3)
         return sc
 
@@ -87,7 +90,7 @@ def run_models(
     # parallelism does); the slowest learners are submitted first
     slow_first = sorted(jobs, key=lambda j: SLOW_RANK.get(j[0], 99))
     with ThreadPoolExecutor(max_workers=max(1, s.parallelism)) as pool:
-        futures = {j[4]: pool.submit(one, *j) for j in slow_first}
+        futures = {j[4]: pool.submit(copy_context().run, one, *j) for j in slow_first}
         parts = [futures[j[4]].result() for j in jobs]
     out = parts[0]
     for p in parts[1:]:

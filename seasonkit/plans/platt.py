@@ -1,81 +1,25 @@
 """Platt scaling of SVM margins (Platt 1999) with out-of-fold margins.
 
-Rows are dealt to ``k`` folds by a hash of their keys (deterministic, no
-sampling). For each fold the SVM is refitted on the other folds and scores the
-held-out fold; the pooled out-of-fold margins then fit a one-feature logistic
-model ``p = 1 / (1 + exp(-(a * margin + b)))``. Platt's smoothed targets
-``(N+ + 1) / (N+ + 2)`` and ``1 / (N- + 2)`` are expressed as two weighted rows
-per margin, so the fit is an ordinary weighted ``LogisticRegression``.
+Rows are dealt to ``k`` folds by a hash of their keys (deterministic, no sampling). Each fold is scored by a model of
+the other folds; the pooled margins then fit a one-feature logistic model ``p = 1 / (1 + exp(-(a * margin + b)))``
+to Platt's smoothed targets ``(N+ + 1) / (N+ + 2)`` and ``1 / (N- + 2)``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import Executor
+from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scores import positive_prob
-
 
 def fold_of(keys: Sequence[str], k: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(k))
 
 
-def oof_margins(
-    train: DataFrame,
-    keys: Sequence[str],
-    fit_margin: Callable[[DataFrame, DataFrame], DataFrame],
-    k: int = 5,
-    pool: Executor | None = None,
-) -> DataFrame:
-    """(margin, label) for every training row, each scored by a model that did
-    not see it. ``fit_margin(fit_rows, score_rows)`` returns score_rows with a
-    ``margin`` column. With a ``pool`` the k fits run as concurrent jobs."""
-    marked = train.withColumn("_fold", fold_of(keys, k))
-
-    def one(f):
-        fit_rows = marked.filter(F.col("_fold") != f).drop("_fold")
-        held = marked.filter(F.col("_fold") == f).drop("_fold")
-        return fit_margin(fit_rows, held).select("margin", "label")
-
-    parts = list(pool.map(one, range(k))) if pool is not None else [one(f) for f in range(k)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def fit_platt(margins: DataFrame) -> tuple[float, float]:
-    """Return (a, b) of the sigmoid over margins."""
-    counts = margins.agg(
-        F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("neg"),
-    ).first()
-    hi = (counts["pos"] + 1.0) / (counts["pos"] + 2.0)
-    lo = 1.0 / (counts["neg"] + 2.0)
-    t = F.when(F.col("label") == 1, F.lit(hi)).otherwise(F.lit(lo))
-    two = margins.select(
-        "margin",
-        F.explode(
-            F.array(
-                F.struct(F.lit(1.0).alias("y"), t.alias("w")),
-                F.struct(F.lit(0.0).alias("y"), (1.0 - t).alias("w")),
-            )
-        ).alias("r"),
-    ).select("margin", "r.y", "r.w")
-    va = VectorAssembler(inputCols=["margin"], outputCol="mv")
-    lr = LogisticRegression(
-        featuresCol="mv", labelCol="y", weightCol="w", regParam=0.0, maxIter=200, tol=1e-10, standardization=False
-    ).fit(va.transform(two))
-    return float(lr.coefficients[0]), float(lr.intercept)
+def platt_targets(positive: int, negative: int) -> tuple[float, float]:
+    return (positive + 1.0) / (positive + 2.0), 1.0 / (negative + 2.0)
 
 
 def platt_prob(margin: Column, a: float, b: float) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * margin + F.lit(b))))
-
-
-__all__ = ["fold_of", "oof_margins", "fit_platt", "platt_prob", "positive_prob"]

@@ -10,15 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def positive_prob(col: str = "probability") -> Column:
-    return vector_to_array(F.col(col))[1]
-
-
 def score_rows(
     df: DataFrame,
     model: str,

@@ -1,0 +1,255 @@
+"""The iterative learners against closed forms, brute force and their own certificates."""
+
+import warnings
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seasonkit.catalog import split_seasons
+from seasonkit.plans import boosted_trees, exact_trees, newton, nystroem, perceptron
+from seasonkit.plans.learners import Settings, design, fit, fit_calibrated_svm
+from seasonkit.schema import FEATURES
+
+from .conftest import SF_MID
+
+KEYS = ["year", "posteam"]
+
+
+def rows_of(spark, x, t, parts=3):
+    data = [(i, [float(v) for v in r], float(y), i % 5) for i, (r, y) in enumerate(zip(x, t, strict=True))]
+    return spark.createDataFrame(data, "rid long, x array<double>, t double, fold int").repartition(parts).cache()
+
+
+@pytest.fixture(scope="module")
+def noisy():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(600, 4)) * [1, 5, 0.2, 30] + [0, 3, 0, -100]
+    return x, (x[:, 0] + x[:, 1] / 5 + rng.normal(size=600) > 0.6).astype(float)
+
+
+# --- Newton: logistic and hinge ---
+
+
+def test_logistic_reaches_the_optimum(spark, noisy):
+    x, t = noisy
+    got = newton.fit_linear(rows_of(spark, x, t), 4, "logistic", tol=1e-9)[0]
+    p = 1 / (1 + np.exp(-(x @ got.weights + got.intercept)))
+    assert np.abs(x.T @ (p - t) + got.weights).max() / len(t) < 1e-8 and abs((p - t).sum()) / len(t) < 1e-8
+    assert got.residual <= 1e-9 and got.steps < 15
+
+
+def test_hinge_gap_certifies_the_fit(spark, noisy):
+    """The returned gap bounds the distance to the optimum, which a plain subgradient search does not get below."""
+    x, t = noisy
+    y = 2 * t - 1
+    fits = newton.fit_linear(rows_of(spark, x, t), 4, "hinge", folds=5, tol=1e-3)
+    assert len(fits) == 6 and all(f.residual <= 1e-3 for f in fits)
+
+    def objective(w, b, inside=slice(None)):
+        return np.maximum(0, 1 - y[inside] * (x[inside] @ w + b)).sum() + 0.5 * w @ w
+
+    whole = fits[-1]
+    assert objective(whole.weights, whole.intercept) == pytest.approx(whole.objective)
+    tight = newton.fit_linear(rows_of(spark, x, t), 4, "hinge", tol=1e-7)[0]
+    assert tight.objective <= whole.objective <= tight.objective * 1.002
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        w, b = tight.weights + rng.normal(size=4) * 0.01, tight.intercept + rng.normal() * 0.05
+        assert objective(w, b) >= tight.objective * (1 - 1e-6)
+    for k, f in enumerate(fits[:-1]):
+        assert objective(f.weights, f.intercept, np.arange(600) % 5 != k) == pytest.approx(f.objective)
+
+
+def test_sums_do_not_depend_on_partitions(spark, noisy):
+    x, t = noisy
+    a, b = (newton.fit_linear(rows_of(spark, x, t, n), 4, "hinge", tol=1e-6)[0] for n in (1, 7))
+    assert np.allclose(a.weights, b.weights, rtol=1e-6) and a.intercept == pytest.approx(b.intercept, rel=1e-6)
+
+
+def test_a_fit_that_ends_at_its_limit_fails(spark, noisy):
+    for loss in ("logistic", "hinge"):
+        with pytest.raises(newton.NotConverged, match=loss):
+            newton.fit_linear(rows_of(spark, *noisy), 4, loss, tol=1e-9, max_steps=3)
+
+
+def test_season_svm_has_a_gap(spark):
+    train, _ = split_seasons(spark, SF_MID)
+    svm = fit_calibrated_svm(train, FEATURES, KEYS, Settings(), kernel=False)
+    assert svm.gap <= 1e-3 and len(svm.folds) == 5
+
+
+# --- Nyström ---
+
+
+def test_kernel_error_on_season_rows(spark):
+    """At most 512 landmarks, worst error of any pair of season rows at most .06; fewer for two smooth columns."""
+    train, _ = split_seasons(spark, SF_MID)
+    rows = design(train, FEATURES, KEYS, 5)
+    x = np.array([r.x for r in rows.collect()])
+    phi = nystroem.choose_landmarks(rows, 20, len(x), 0.01, 512, 0.05)
+    k = nystroem.rbf(x, x, 0.01)
+    assert phi.dim <= 512 and np.abs(phi(x) @ phi(x).T - k).max() <= 0.06 and phi.error <= 0.05
+    two = nystroem.pivoted_cholesky(x[:, :2], 0.001, 512, 1e-6)
+    assert two.dim < 60 and np.abs(two(x[:, :2]) @ two(x[:, :2]).T - nystroem.rbf(x[:, :2], x[:, :2], 0.001)).max() < 1e-5
+
+
+def test_landmarks_end_at_their_limit(spark):
+    x = np.random.default_rng(1).normal(size=(200, 5))
+    errors = [nystroem.pivoted_cholesky(x, 1.0, m, 0.0).error for m in (5, 50, 150, 200)]
+    assert errors == sorted(errors, reverse=True) and errors[-1] < 1e-9
+
+
+# --- perceptron ---
+
+
+def test_gradient_against_finite_differences():
+    rng = np.random.default_rng(2)
+    layers = (3, 5, 4, 1)
+    x, t = rng.normal(size=(40, 3)), rng.integers(0, 2, 40).astype(float)
+    params = perceptron.start(layers, 3) + 0.05 * rng.normal(size=3 * 5 + 5 + 5 * 4 + 4 + 4 + 1)
+    got = perceptron.loss_and_gradient(params, layers, x, t)
+    for i in range(len(params)):
+        step = np.zeros_like(params)
+        step[i] = 1e-6
+        up, down = (perceptron.loss_and_gradient(params + s * step, layers, x, t)[0] for s in (1, -1))
+        assert got[1 + i] == pytest.approx((up - down) / 2e-6, abs=1e-4)
+
+
+def test_perceptron_learns_a_product_and_says_when_it_is_cut_short(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 2))
+    t = (x[:, 0] * x[:, 1] > 0).astype(float)
+    rows = rows_of(spark, x, t)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", perceptron.NotConvergedWarning)
+        net = perceptron.fit_perceptron(rows, 2, (10, 5))
+    assert net.converged and net.losses[-1] < 0.2
+    z = perceptron.forward(perceptron.unpack(net.params, net.layers), (x - net.mean) / net.deviation)[-1][:, 0]
+    assert ((z > 0) == t).mean() > 0.93
+    again = perceptron.fit_perceptron(rows.repartition(1), 2, (10, 5), max_iter=10)
+    assert np.allclose(again.losses[:10], net.losses[:10])
+    with pytest.warns(perceptron.NotConvergedWarning):
+        assert not perceptron.fit_perceptron(rows, 2, (10, 5), max_iter=5).converged
+
+
+# --- trees to purity ---
+
+
+def brute_tree(x, t, w):
+    """Leaf share of every row, by trying every cut of every attribute at every node."""
+    out = np.zeros(len(x))
+    stack = [np.arange(len(x))]
+    while stack:
+        rows = stack.pop()
+        n, p = w[rows].sum(), (w[rows] * t[rows]).sum()
+        best = None
+        if 0 < p < n:
+            for f in range(x.shape[1]):
+                v = np.unique(x[rows, f])
+                for a, b in zip(v, v[1:], strict=False):
+                    left = rows[x[rows, f] <= a]
+                    ln, lp = w[left].sum(), (w[left] * t[left]).sum()
+                    gain = lp * lp / ln + (p - lp) * (p - lp) / (n - ln)
+                    if best is None or gain > best[0]:
+                        best = (gain, f, a + (b - a) / 2)
+        if best is None:
+            out[rows] = p / n
+        else:
+            goes = x[rows, best[1]] <= best[2]
+            stack += [rows[goes], rows[~goes]]
+    return out
+
+
+def tree_rows(spark, x, t, parts):
+    return rows_of(spark, x, t, parts).select("rid", "x", "t")
+
+
+def tree_scores(spark, trees, x):
+    names = [f"f{i}" for i in range(x.shape[1])]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    got = {r.id: r.p1 for r in trees.probability(df, ["id"], names).collect()}
+    return np.array([got[i] for i in range(len(x))])
+
+
+@pytest.mark.parametrize("local_rows", [1 << 16, 40])
+def test_full_tree_against_every_cut(spark, local_rows):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 12, size=(300, 3)).astype(float)
+    t = rng.integers(0, 2, 300).astype(float)
+    want = brute_tree(x, t, np.ones(300))
+    for parts in (4, 8):
+        trees = exact_trees.fit_trees(tree_rows(spark, x, t, parts), 3, local_rows=local_rows)
+        assert np.allclose(tree_scores(spark, trees, x), want)
+    assert (len(trees.tops[0].feature) > 1) == (local_rows == 40)
+
+
+def test_full_tree_fits_its_training_rows(spark):
+    rng = np.random.default_rng(5)
+    x, t = rng.normal(size=(2000, 6)), rng.integers(0, 2, 2000).astype(float)
+    trees = exact_trees.fit_trees(tree_rows(spark, x, t, 4), 6, local_rows=300)
+    assert (tree_scores(spark, trees, x) == t).all()
+
+
+def test_forest_does_not_depend_on_the_layout(spark, monkeypatch):
+    """The same trees at 4 and 8 partitions, grown by Spark or in tasks, scored by broadcast or in cogroups."""
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=(400, 4)).round(1), np.full(400, 3.0)])
+    t = (x[:, 0] + rng.normal(size=400) > 0).astype(float)
+    fit_one = lambda parts, rows: exact_trees.fit_trees(tree_rows(spark, x, t, parts), 5, 7, 2, True, 1, rows)
+    first = tree_scores(spark, fit_one(4, 1 << 16), x)
+    assert (tree_scores(spark, fit_one(8, 60), x) == first).all()
+    other = exact_trees.fit_trees(tree_rows(spark, x, t, 4), 5, 7, 2, True, 2)
+    assert (tree_scores(spark, other, x) != first).any()
+    w = exact_trees.bootstrap(np.arange(100_000), 3, 1)
+    assert abs(w.mean() - 1) < 0.02 and abs((w == 0).mean() - np.exp(-1)) < 0.01
+    monkeypatch.setattr(exact_trees, "BROADCAST", 0)
+    monkeypatch.setattr(exact_trees, "CHUNK", 50)
+    assert np.allclose(tree_scores(spark, fit_one(4, 60), x), first)
+
+
+# --- boosting ---
+
+
+def test_deviance_falls_and_leaves_are_newton_steps(spark, noisy, monkeypatch):
+    monkeypatch.setattr(boosted_trees, "REWRITE", 4)
+    x, t = noisy
+    a, b = (boosted_trees.fit_boosted_trees(rows_of(spark, x, t, n), 4, rounds=10) for n in (1, 6))
+    assert len(a.deviance) == 11 and all(np.diff(a.deviance) < 0)
+    assert np.allclose(a.deviance, b.deviance) and np.allclose(a.score(x), b.score(x))
+    z = np.full(len(t), a.prior)
+    bins = boosted_trees.binned(x, a.edges)
+    for tree in a.trees:
+        p = 1 / (1 + np.exp(-z))
+        leaf = tree.leaf(bins)
+        assert len(np.unique(leaf)) <= 8
+        for i in np.unique(leaf):
+            assert tree.value[i] == pytest.approx((t - p)[leaf == i].sum() / (p * (1 - p))[leaf == i].sum())
+        z = z + a.rate * tree.value[leaf]
+    assert a.deviance[-1] == pytest.approx(2 * (np.logaddexp(0, z) - t * z).mean())
+
+
+def test_boosting_of_one_class_is_the_share(spark):
+    x = np.zeros((5, 2))
+    assert boosted_trees.fit_boosted_trees(rows_of(spark, x, np.ones(5)), 2, rounds=3).trees == []
+    same = boosted_trees.fit_boosted_trees(rows_of(spark, x, [0, 1, 0, 1, 1]), 2, rounds=3)
+    assert same.trees == [] and 1 / (1 + np.exp(-same.score(x)[0])) == pytest.approx(0.6)
+
+
+# --- the layout of a table of more than 10,000 rows ---
+
+
+@pytest.mark.parametrize("kind", ["cart", "gbt", "random_forest"])
+def test_layout_of_a_large_table(spark, kind):
+    rng = np.random.default_rng(7)
+    n = 12_000
+    x = rng.normal(size=(n, 3)).round(2)
+    t = (x[:, 0] * x[:, 1] + rng.normal(size=n) > 0).astype(float)
+    rows = spark.createDataFrame([(i, *map(float, r), float(y)) for i, (r, y) in enumerate(zip(x, t, strict=True))], "id long, a double, b double, c double, label double")
+    s = Settings(gbt_iters=4, rf_trees=3)
+    ask = rows.filter(F.col("id") % 10 == 0)
+    scores = []
+    for parts in (4, 8):
+        got = fit(kind, rows.repartition(parts), ["a", "b", "c"], ["id"], s).score(ask, ["id"])
+        scores.append({r.id: r.p1 for r in got.collect()})
+    assert scores[0].keys() == scores[1].keys() and all(v == pytest.approx(scores[1][k], abs=1e-9) for k, v in scores[0].items())
