@@ -7,8 +7,7 @@ the document of the smallest id.
 1. **Once and twice.** Every task sets two bits (one in each half of the filter) for each key of each of its
    documents in the once-seen filter; a bit met again goes into the twice-seen filter as well. Filters
    travel as compressed segments of ``SEGMENT`` bits: a segment's once parts are OR-ed, its twice parts are
-   OR-ed with what two once parts have in common. No task ever holds more than some segments, and the lines
-   themselves don't move. The filter has ``BITS_A_LINE`` bits a line, whatever the input's size.
+   OR-ed with what two once parts have in common. A task holds one segment, and the lines don't move. The filter has ``BITS_A_LINE`` bits a line, whatever the input's size.
 2. **Suspects.** A key with both bits in the twice-seen filter may be a repeat, any other isn't. The
    twice-seen filter is folded (halves OR-ed) to at most ``BROADCAST_BITS`` bits before it is broadcast, a
    proven bound. Folding lets more keys pass and loses none.
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, unboxed, written
+from .common import unboxed, written
 from .words import mix
 
 LEAST = 10
@@ -50,37 +49,34 @@ GATHER = 1 << 22
 HOT = 1e-3
 HALVES = (0, 0x5851F42D4C957F2D)
 
-# Fixed values of the contract: white space and the letters that are lower-cased.
-SPACE = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = str.maketrans(UPPER, LOWER)
+# Fixed value of the contract: white space. ``bytes.lower`` lower-cases A-Z and nothing else.
+SPACE = b" \t\n\x0b\x0c\r"
 
 
-def key_column(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
+def line_key(line: bytes) -> bytes:
+    return line.strip(SPACE).lower()
 
 
-def line_key(line: str) -> str:
-    return line.strip(SPACE).translate(_FOLD)
+def _counts(key: bytes, least: int) -> bool:
+    """Whether a UTF-8 key has ``least`` code points; none has more than four bytes."""
+    return len(key) >= least and (len(key) >= 4 * least or len(key.decode("utf-8", "replace")) >= least)
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+def key_digests(texts: pa.Array, least: int) -> Iterator[list[bytes]]:
+    """For each text: the SHA-256 of every distinct key that is long enough."""
+    for text in texts.cast(pa.binary()):
+        keys = {line_key(line) for line in (text.as_py() or b"").split(b"\n")}
+        yield [hashlib.sha256(k).digest() for k in keys if _counts(k, least)]
 
 
-def key_hashes(text: Column, least: int) -> Column:
-    """A 64-bit hash of each line's key, null where the key is too short."""
-
-    def hashed(line: Column) -> Column:
-        key = key_column(line)
-        return F.when(F.char_length(key) >= least, F.xxhash64(key))
-
-    return F.transform(_lines(text), hashed)
+def _hashes(digests: list[bytes]) -> np.ndarray:
+    """The first eight bytes of each digest."""
+    return np.frombuffer(b"".join(digests), dtype=np.uint64)[::4]
 
 
 def _places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     """The bit of each hash in each half of a filter of ``2**bits`` bits a half."""
-    return [(mix(hashes.astype(np.uint64) ^ np.uint64(h)) & np.uint64((1 << bits) - 1)).astype(np.int64) for h in HALVES]
+    return [(mix(hashes ^ np.uint64(h)) & np.uint64((1 << bits) - 1)).astype(np.int64) for h in HALVES]
 
 
 def _packed(places: np.ndarray, segment: int) -> bytes:
@@ -117,9 +113,9 @@ def twice_seen(docs: DataFrame, lines: int, least: int = LEAST) -> DataFrame:
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            flat = batch.column(0).flatten().drop_null().to_numpy(zero_copy_only=False)
-            held.append(flat)
-            size += len(flat)
+            for digests in key_digests(batch.column(0), least):
+                held.append(_hashes(digests))
+                size += len(digests)
             if size >= GATHER:
                 for frame in gathered(held):
                     yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
@@ -145,8 +141,7 @@ def twice_seen(docs: DataFrame, lines: int, least: int = LEAST) -> DataFrame:
         yield pd.DataFrame({"half": [key[0]], "segment": [key[1]], "bits": [pa.compress(out.tobytes(), codec="zstd", asbytes=True)]})
 
     schema = "half int, segment long, bits binary"
-    hashes = docs.select(F.array_distinct(key_hashes(F.col("text"), least)).alias("h"))
-    parts = hashes.mapInArrow(build, "half long, segment long, once binary, twice binary")
+    parts = docs.select("text").mapInArrow(build, "half long, segment long, once binary, twice binary")
     merged = parts.groupBy("half", "segment").applyInPandas(merge, schema)
     if folded == bits:
         return merged
@@ -155,8 +150,8 @@ def twice_seen(docs: DataFrame, lines: int, least: int = LEAST) -> DataFrame:
 
 
 def _suspects(docs: DataFrame, least: int):
-    """A function from a text column to the numbers of its lines whose key has both bits in the twice-seen filter."""
-    lines = docs.agg(F.sum(1 + F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))))).first()[0] or 0
+    """A function from a text column to the digests of its distinct keys that have both bits in the twice-seen filter."""
+    lines = docs.agg(F.sum(line_count(F.col("text")))).first()[0] or 0
     bits = filter_bits(lines)
     segment, folded = min(bits, SEGMENT), min(bits, BROADCAST_BITS)
     halves = [np.zeros(1 << (folded - 3), dtype=np.uint8) for _ in HALVES]
@@ -165,22 +160,18 @@ def _suspects(docs: DataFrame, least: int):
         halves[r["half"]][r["segment"] * width : (r["segment"] + 1) * width] = _unpacked(r["bits"], segment)
     seen = docs.sparkSession.sparkContext.broadcast(halves)
 
-    @F.arrow_udf("array<int>")
-    def suspected(hashes: pa.Array) -> pa.Array:
-        flat = hashes.flatten()
-        known = np.asarray(flat.is_valid())
-        values = flat.fill_null(0).to_numpy(zero_copy_only=False)
-        hit = known.copy()
-        for half, places in zip(seen.value, _places(values, folded), strict=True):
+    def suspected(texts: pa.Array) -> pa.Array:
+        digests = list(key_digests(texts, least))
+        flat = [d for ds in digests for d in ds]
+        hit = np.ones(len(flat), dtype=bool)
+        for half, places in zip(seen.value, _places(_hashes(flat), folded), strict=True):
             hit &= ((half[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1).astype(bool)
-        sizes = hashes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        starts = np.cumsum(sizes) - sizes
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        found = np.bincount(rows[hit], minlength=len(sizes))
-        numbers = (np.arange(len(flat)) - np.repeat(starts, sizes))[hit].astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(found)).astype(np.int32)), pa.array(numbers))
+        rows = np.repeat(np.arange(len(digests)), [len(d) for d in digests])
+        found = np.bincount(rows[hit], minlength=len(digests))
+        ends = pa.array(np.append(0, np.cumsum(found)).astype(np.int32))
+        return pa.ListArray.from_arrays(ends, pa.array([flat[i] for i in np.flatnonzero(hit)], pa.binary()))
 
-    return lambda text: suspected(key_hashes(text, least))
+    return F.arrow_udf(suspected, "array<binary>")
 
 
 def repeated_keys(marks: DataFrame) -> DataFrame:
@@ -210,15 +201,20 @@ def dropped_keys(marks: DataFrame) -> DataFrame:
     return written(gone.groupBy("doc_id").agg(F.collect_set("digest").alias("drops")), "line-drops")
 
 
-def _without(text: pa.Array, drops: pa.Array) -> pa.Array:
+def line_count(text: Column) -> Column:
+    plain = F.coalesce(text, F.lit(""))
+    return (1 + F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit("\n"), F.lit("")))).cast("long")
+
+
+def _without(texts: pa.Array, drops: pa.Array) -> pa.Array:
+    """Each text without the lines whose key's digest is in its list."""
     counts, kept = [], []
-    for t, d in zip(text, drops, strict=True):
-        lines = (t.as_py() or "").split("\n")
-        gone = set(d.as_py() or ())
-        stay = [x for x in lines if hashlib.sha256(line_key(x).encode("utf-8", "replace")).digest() not in gone] if gone else lines
+    for text, gone in zip(texts.cast(pa.binary()), drops, strict=True):
+        lines, gone = (text.as_py() or b"").split(b"\n"), set(gone.as_py() or ())
+        stay = [x for x in lines if hashlib.sha256(line_key(x)).digest() not in gone] if gone else lines
         counts.append(len(lines) - len(stay))
-        kept.append("\n".join(stay))
-    return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(kept, pa.string())], ["n_dropped", "kept"])
+        kept.append(b"\n".join(stay))
+    return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["n_dropped", "kept"])
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -228,16 +224,15 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     suspects sent, and texts with and without suspects finished.
     """
     suspected = _suspects(docs.select("doc_id", "text"), least)
-    rows = boxed(docs, "doc_id", "text").withColumn("_suspects", suspected(F.col("text")))
-    lines = _lines(F.col("text"))
-    digest = lambda i: F.unhex(F.sha2(key_column(F.element_at(lines, i + 1)), 256))
-    marks = rows.filter(F.size("_suspects") > 0).select("doc_id", F.explode(F.array_distinct(F.transform("_suspects", digest))).alias("digest"))
+    marks = docs.select("doc_id", F.explode(suspected(F.col("text"))).alias("digest"))
     drops = dropped_keys(written(marks, "line-marks"))
-    whole = rows.filter(F.size("_suspects") == 0).select("_row", F.lit(0).cast("long").alias("_n_dropped"), F.coalesce("text", F.lit("")).alias("_kept"))
+    clear = F.size(suspected(F.col("text"))) == 0
+    whole = docs.filter(clear).select(F.struct("*").alias("_row"))
+    whole = whole.select("_row", F.lit(0).cast("long").alias("_n_dropped"), F.coalesce("_row.text", F.lit("")).alias("_kept"))
+    some = docs.filter(~clear).select(F.col("doc_id").alias("_id"), F.struct("*").alias("_row"))
     without = F.arrow_udf(_without, "struct<n_dropped:long,kept:string>")
-    some = rows.filter(F.size("_suspects") > 0).select(F.col("doc_id").alias("_id"), "text", "_row")
     cleaned = some.join(drops, F.col("_id").eqNullSafe(F.col("doc_id")), "left").select(
-        "_row", without(F.col("text"), F.col("drops")).alias("_out")
+        "_row", without(F.col("_row.text"), F.col("drops")).alias("_out")
     )
     return whole.unionByName(cleaned.select("_row", F.col("_out.n_dropped").alias("_n_dropped"), F.col("_out.kept").alias("_kept")))
 
@@ -247,7 +242,7 @@ def line_report(docs: DataFrame, least: int = LEAST) -> DataFrame:
     out = dedup_lines(docs.select("doc_id", "text"), least)
     return out.select(
         F.col("_row.doc_id").alias("doc_id"),
-        F.size(_lines(F.col("_row.text"))).cast("long").alias("n_lines"),
+        line_count(F.col("_row.text")).alias("n_lines"),
         F.col("_n_dropped").alias("n_dropped"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
