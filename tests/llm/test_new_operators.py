@@ -73,7 +73,8 @@ def test_unrepeated_lines_do_not_shuffle(spark):
     """Few of the keys that stand in one document only are suspected, and all repeated ones are."""
     docs = spark.createDataFrame([(i, f"line number {i} of many\nsecond line {i // 2} of many") for i in range(4000)], "doc_id long, text string")
     found = docs.select("doc_id", line_dedup._suspects(docs, 10)(docs.text).alias("s")).toPandas()
-    assert all(1 in s for s in found.s) and np.mean([0 in s for s in found.s]) < 0.05
+    digest = lambda i: hashlib.sha256(f"second line {i // 2} of many".encode()).digest()
+    assert all(digest(i) in set(s) for i, s in zip(found.doc_id, found.s, strict=True)) and np.mean([len(s) > 1 for s in found.s]) < 0.05
 
 
 # --- filter audit ---
@@ -244,6 +245,17 @@ def test_alignment_of_a_whole_table(spark):
     assert reported(token_pairs.alignment_report(docs)) == dict(zip([r.doc_id for r in rows], align_plainly([r.text for r in rows])[0], strict=True))
 
 
+def test_merges_by_rank_give_the_ids_of_the_file():
+    """Every code point of the first two planes among letters, digits, spaces and marks."""
+    files = token_pairs.read_files()
+    by_rank, by_file = token_pairs.load(files).encode_a, token_pairs.file_encoder(files.byte_bpe)
+    assert "by_rank" in by_rank.__code__.co_freevars
+    for at in range(0, 0x20000, 512):
+        chars = [chr(c) for c in range(at, at + 512) if not 0xD800 <= c < 0xE000]
+        texts = [f" a{c}b1{c}2 {c}x {c} {c}{c}!{c}9" for c in chars]
+        assert by_rank(texts) == by_file(texts)
+
+
 def test_alignment_of_no_text(spark, no_docs):
     assert token_pairs.alignment_report(no_docs).count() == 0
     nothing = spark.createDataFrame([(1, None), (1, ""), (None, "▁")], "doc_id long, text string")
