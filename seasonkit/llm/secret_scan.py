@@ -294,9 +294,10 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", fdr: float = FDR) ->
     """
     scanned = scan_secrets(boxed(docs, "text"), fdr)
     marked = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mark).alias("mark")))
-    text = replace_spans(F.col("text"), marked)
-    n_chars = F.when(F.size("_spans") > 0, F.char_length(text).cast("long"))
-    changed = {"text": text}
+    # a column of its own: beside a new ``text``, a lambda's ``text`` would be read as that one
+    scanned = scanned.withColumn("_clean", replace_spans(F.col("text"), marked))
+    changed = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
+        n_chars = F.when(F.size("_spans") > 0, F.char_length("_clean").cast("long"))
         changed["n_chars"] = F.coalesce(n_chars, F.col("_row").getField("n_chars"))
     return unboxed(scanned, **changed)
