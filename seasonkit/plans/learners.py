@@ -64,7 +64,7 @@ class Settings:
     """Learner settings. Logistic regression and the SVMs have C = 1."""
 
     logit_max_iter: int = 200
-    logit_tol: float = 1e-7  # largest component of the mean objective's gradient
+    logit_tol: float = 1e-10  # largest component of the mean objective's gradient
     svm_max_iter: int = 200
     svm_tol: float = 1e-3  # relative duality gap
     platt_folds: int = 5

@@ -130,6 +130,16 @@ def written_tables(spark: SparkSession) -> Iterator[WrittenTables]:
         scope.release()
 
 
+@contextmanager
+def lasting_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside belong to the session, not to the scope around."""
+    token = _CURRENT.set(None)
+    try:
+        yield
+    finally:
+        _CURRENT.reset(token)
+
+
 def owns_tables(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """For ``fn(spark, ...) -> DataFrame``: of the tables it writes, only those that its result reads are left."""
 
