@@ -413,6 +413,16 @@ def q_nearest_neighbour(spark, sf_dir):
     return out.select("year", F.col("posteam").cast("bigint"), "label", "nn_label", round6("nn_dist").alias("nn_dist"))
 
 
+@register("nearest_neighbour_lsh")
+def q_nearest_neighbour_lsh(spark, sf_dir):
+    """The same by locality-sensitive probing: a distance may exceed the exact one (recall is tested)."""
+    from .operators.lsh import approximate_neighbour
+
+    train, test = split_seasons(spark, sf_dir)
+    nn = approximate_neighbour(train, test, FEATURES, "label", KEYS, KEYS)
+    return nn.select("year", F.col("posteam").cast("bigint"), "nn_label", round6("nn_dist").alias("nn_dist"))
+
+
 _SQL_ACC = sql_round6("(tp + tn) / n")
 
 
@@ -1074,16 +1084,12 @@ def q_all_prediction_reports(spark, sf_dir):
 @register("learners_on_signal")
 def q_learners_on_signal(spark, sf_dir):
     """All ten learners on the embeddings fixture, whose label depends on its features: scores of the held-out fifth."""
-    from functools import reduce
-
-    from .plans.leaderboard import FULL_NAMES, ORDER
-    from .plans.learners import checked, fit_score
+    from .plans.leaderboard import run_models
     from .sources import EMBED_FEATURES, labelled_embeddings
 
     table = materialize(labelled_embeddings(spark, sf_dir), "signal")
-    train, test = (checked(table.filter(c), EMBED_FEATURES, ["vec_id"], label=True) for c in ("NOT is_test", "is_test"))
-    parts = [fit_score(k, train, test, EMBED_FEATURES, ["vec_id"], n, ORDER[n]) for k, n in FULL_NAMES.items()]
-    return reduce(DataFrame.unionByName, parts).select("model", "model_ord", "vec_id", "label", *_r(("p1", "margin")), "prediction")
+    scores = run_models(table.filter("NOT is_test"), table.filter("is_test"), EMBED_FEATURES, ["vec_id"], with_pca=False)
+    return scores.select("model", "model_ord", "vec_id", "label", *_r(("p1", "margin")), "prediction")
 
 
 @register(

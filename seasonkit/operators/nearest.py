@@ -221,6 +221,57 @@ def _answer(tree_sent, tk_names: Sequence[str], key_names: Sequence[str], dim: i
     return fn
 
 
+def search_cells(
+    asked: DataFrame,
+    points: DataFrame,
+    blocks: DataFrame,
+    tree_sent,
+    tk_names: Sequence[str],
+    key_names: Sequence[str],
+    dim: int,
+    leaf_size: int,
+    query_chunk: int,
+) -> DataFrame:
+    """The best point of every block of its cell for each row of ``asked`` (keys, q, own, bound, cell).
+
+    ``blocks`` (cell, blocks) says how many blocks a cell's points are dealt into; the queries of a cell are dealt into chunks.
+    A cell that no query asks is not searched.
+    """
+    chunks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_chunk))).cast("int").alias("chunks"))
+    plan = chunks.join(blocks, "cell")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    chunk = F.pmod(F.xxhash64(*[F.col(k) for k in key_names]), F.col("chunks")).cast("int")
+    ask = asked.join(plan, "cell").select("cell", chunk.alias("chunk"), every("blocks").alias("block"), *key_names, "q", "own", "bound")
+    block = F.pmod(F.xxhash64("x", F.lit(7)), F.col("blocks")).cast("int")
+    have = points.join(plan, "cell").select("cell", every("chunks").alias("chunk"), block.alias("block"), "x", *tk_names, "y")
+    fields = [
+        *[asked.schema[k] for k in key_names], asked.schema["q"], T.StructField("own", T.LongType()), T.StructField("d2", T.DoubleType()),
+        *[points.schema[t] for t in tk_names], T.StructField("y", T.DoubleType()), T.StructField("checked", T.LongType()),
+    ]
+    groups = ["cell", "chunk", "block"]
+    return ask.groupBy(*groups).cogroup(have.groupBy(*groups)).applyInPandas(
+        _answer(tree_sent, tk_names, key_names, dim, leaf_size), T.StructType(fields)
+    )
+
+
+def best_found(found: DataFrame, tk_names: Sequence[str], key_names: Sequence[str]) -> DataFrame:
+    order = F.struct("d2", *tk_names)
+    return found.groupBy(*key_names).agg(
+        F.min_by(F.struct("q", "own", "y", "d2", *tk_names), order).alias("b"), F.sum("checked").alias("checked")
+    ).select(*key_names, "b.*", "checked")
+
+
+def distinct_points(train: DataFrame, features: Sequence[str], label: str, train_keys: Sequence[str], tk_names: Sequence[str]) -> DataFrame:
+    """(x, tk..., y): identical vectors collapsed to the one of the lowest key; written."""
+    pts = train.select(
+        _vec(features, train_keys).alias("x"),
+        F.struct(*[F.col(k).alias(t) for k, t in zip(train_keys, tk_names)]).alias("tk"),
+        F.col(label).cast("double").alias("y"),
+    )
+    pts = pts.groupBy("x").agg(F.min_by(F.struct("tk", "y"), F.col("tk")).alias("b")).select("x", "b.tk.*", "b.y")
+    return materialize(pts, "nn-distinct")
+
+
 def nearest_neighbour(
     train: DataFrame,
     test: DataFrame,
@@ -243,13 +294,7 @@ def nearest_neighbour(
     tk_names = [f"tk{i}" for i in range(len(train_keys))]
     key_names = list(test_keys)
 
-    pts = train.select(
-        _vec(features, train_keys).alias("x"),
-        F.struct(*[F.col(k).alias(t) for k, t in zip(train_keys, tk_names)]).alias("tk"),
-        F.col(label).cast("double").alias("y"),
-    )
-    pts = pts.groupBy("x").agg(F.min_by(F.struct("tk", "y"), F.col("tk")).alias("b")).select("x", "b.tk.*", "b.y")
-    pts = materialize(pts, "nn-distinct")
+    pts = distinct_points(train, features, label, train_keys, tk_names)
     n = pts.count()
     tree = grow_tree(pts, dim, n, cell_points)
     if tree.depth:
@@ -262,33 +307,14 @@ def nearest_neighbour(
     key_fields = [q.schema[k] for k in key_names]
     vector = T.StructField("q", T.ArrayType(T.DoubleType()))
     asked_fields = [*key_fields, vector, T.StructField("own", T.LongType()), T.StructField("bound", T.DoubleType()), T.StructField("cell", T.LongType())]
-    found_fields = [
-        *key_fields, vector, T.StructField("own", T.LongType()), T.StructField("d2", T.DoubleType()),
-        *[T.StructField(t, train.schema[k].dataType) for k, t in zip(train_keys, tk_names)],
-        T.StructField("y", T.DoubleType()), T.StructField("checked", T.LongType()),
-    ]
     # one row a cell, at most 2**MAX_DEPTH: broadcast
     blocks = spark.createDataFrame([(c, math.ceil(m / block_points)) for c, m in sizes.items() if m], "cell long, blocks int")
 
     def searched(asked: DataFrame) -> DataFrame:
-        """Every (query, cell) against the cell's blocks; queries of a cell in chunks."""
-        chunks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_chunk))).cast("int").alias("chunks"))
-        plan = F.broadcast(chunks.join(F.broadcast(blocks), "cell"))
-        every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-        chunk = F.pmod(F.xxhash64(*[F.col(k) for k in key_names]), F.col("chunks")).cast("int")
-        ask = asked.join(plan, "cell").select("cell", chunk.alias("chunk"), every("blocks").alias("block"), *key_names, "q", "own", "bound")
-        block = F.pmod(F.xxhash64("x", F.lit(7)), F.col("blocks")).cast("int")
-        have = pts.join(plan, "cell").select("cell", every("chunks").alias("chunk"), block.alias("block"), "x", *tk_names, "y")
-        groups = ["cell", "chunk", "block"]
-        return ask.groupBy(*groups).cogroup(have.groupBy(*groups)).applyInPandas(
-            _answer(tree_sent, tk_names, key_names, dim, leaf_size), T.StructType(found_fields)
-        )
+        return search_cells(asked, pts, F.broadcast(blocks), tree_sent, tk_names, key_names, dim, leaf_size, query_chunk)
 
     def best_of(found: DataFrame) -> DataFrame:
-        order = F.struct("d2", *tk_names)
-        return found.groupBy(*key_names).agg(
-            F.min_by(F.struct("q", "own", "y", "d2", *tk_names), order).alias("b"), F.sum("checked").alias("checked")
-        ).select(*key_names, "b.*", "checked")
+        return best_found(found, tk_names, key_names)
 
     if not tree.depth:
         zero = F.lit(0).cast("long")

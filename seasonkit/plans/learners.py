@@ -103,7 +103,7 @@ class Fitted:
 def checked(df: DataFrame, features: Sequence[str], keys: Sequence[str], label: bool) -> DataFrame:
     """Keys, features and label; a missing value fails with the row's keys, for every learner."""
     y = [required("label", keys).alias("label")] if label else ["label"] if "label" in df.columns else []
-    return df.select(*keys, *[required(c, keys).alias(c) for c in features], *y)
+    return df.select(*[k for k in keys if k not in features], *[required(c, keys).alias(c) for c in features], *y)
 
 
 def _added(rows: DataFrame, p1: Column, margin: Column | None = None, prediction: Column | None = None) -> DataFrame:

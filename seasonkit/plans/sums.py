@@ -1,13 +1,14 @@
 """Sums of per-row vectors: the one distributed step of the iterative learners.
 
-``tree_sum`` runs a NumPy function on the Arrow batches of every partition, adds its vectors inside the task, and adds the
-tasks' vectors by branch (a grouped Spark stage) before the rest reaches the driver. What travels is a vector a task, whatever the
-number of rows; what reaches the driver is at most ``BRANCHES`` vectors.
+``tree_sum`` runs a NumPy function on the Arrow batches of every partition and adds its vectors inside the task. Where there are more
+than ``BRANCHES`` tasks, their vectors are added by branch (a grouped Spark stage) before the rest reaches the driver. What travels
+is a vector a task, whatever the number of rows; what reaches the driver is at most ``BRANCHES`` vectors, or short ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,16 @@ SHORT = 4096
 _SCHEMA = "branch int, total binary"
 
 
+#: Partitions of the tables in use, as each step of a fit asks for them again.
+_PARTITIONS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
+def partitions(rows: DataFrame) -> int:
+    if rows not in _PARTITIONS:
+        _PARTITIONS[rows] = rows.rdd.getNumPartitions()
+    return _PARTITIONS[rows]
+
+
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     """An array<double> column without nulls as an (n, dim) matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -45,7 +56,7 @@ def tree_sum(rows: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray], size:
         yield pd.DataFrame({"branch": [key[0]], "total": [total.tobytes()]})
 
     parts = rows.mapInArrow(own, _SCHEMA)
-    if size > SHORT:
+    if size > SHORT and partitions(rows) > BRANCHES:
         parts = parts.groupBy("branch").applyInPandas(add, _SCHEMA)
     # in the order of branches and bytes: the same sum however tasks finish
     return sum((np.frombuffer(t) for _, t in sorted((r["branch"], bytes(r["total"])) for r in parts.collect())), np.zeros(size))

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from seasonkit.catalog import KEYS, labelled_seasons
-from seasonkit.operators import nearest
+from seasonkit.operators import lsh, nearest
+from seasonkit.operators.lsh import approximate_neighbour
 from seasonkit.operators.nearest import nearest_neighbour
 from seasonkit.schema import FEATURES
 
@@ -116,3 +117,40 @@ def test_missing_feature_fails(spark, bad, side):
 def test_no_training_rows_answer_nothing(spark):
     te = spark.createDataFrame([(1, 0.5, 0.0)], "id int, a double, label double")
     assert nearest_neighbour(te.limit(0), te, ["a"], "label", ["id"], ["id"]).collect() == []
+
+
+def _recall(spark, train, test, features, keys, **kw):
+    exact = {tuple(r[k] for k in keys): r.nn_dist for r in nearest_neighbour(train, test, features, "label", keys, keys).collect()}
+    rows = approximate_neighbour(train, test, features, "label", keys, keys, counts=True, **kw).collect()
+    got = {tuple(r[k] for k in keys): r for r in rows}
+    assert got.keys() == exact.keys() and len(rows) == len(got)
+    assert all(r.nn_dist >= exact[k] - 1e-9 for k, r in got.items())
+    return np.mean([r.nn_dist <= exact[k] + 1e-9 for k, r in got.items()]), np.mean([r.nn_checked for r in rows])
+
+
+def test_probing_finds_most_neighbours_of_the_season_table(spark):
+    st = labelled_seasons(spark, SF_MID)
+    train, test = st.filter("NOT is_test"), st.filter("is_test")
+    recall, checked = _recall(spark, train, test, FEATURES, KEYS)
+    assert recall >= 0.9 and checked < 0.5 * train.count()
+
+
+def test_probing_with_a_hot_key_and_far_queries(spark, monkeypatch):
+    """A third of the points within one step of each other, cut into blocks; queries far from all points go the exact way."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(1000, 6)) * 0.01, rng.normal(size=(2000, 6)) * 20])
+    q = np.concatenate([rng.normal(size=(200, 6)) * 0.01, x[1500:1600] + 0.1, rng.normal(size=(5, 6)) * 1000])
+    cols = ", ".join(f"f{i} double" for i in range(6))
+    frame = lambda v: spark.createDataFrame([(i, *map(float, r), float(i % 2)) for i, r in enumerate(v)], f"id long, {cols}, label double")
+    recall, _ = _recall(spark, frame(x), frame(q), [f"f{i}" for i in range(6)], ["id"], block_points=100, query_chunk=30)
+    assert recall >= 0.9
+    none = approximate_neighbour(frame(x).limit(0), frame(q), ["f0"], "label", ["id"], ["id"])
+    assert none.collect() == []
+
+
+def test_collision_probability():
+    assert lsh.collision(1e-9, 1.0) == pytest.approx(1.0) and lsh.collision(1e9, 1.0) < 1e-6
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=50_000), rng.uniform(0, 3, 50_000)
+    met = np.floor(b / 3.0) == np.floor((b + 1.5 * a) / 3.0)
+    assert lsh.collision(1.5, 3.0) == pytest.approx(met.mean(), abs=0.01)
