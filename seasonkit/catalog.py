@@ -826,6 +826,68 @@ SQL_LOGIT_PCA = ",\n".join(
 )
 
 
+def _sql_logistic(steps: int = 8) -> str:
+    """CTEs for logistic regression on all features, C = 1: Newton steps on centred features, each system solved by
+    Gauss-Jordan elimination, a CTE a column. ``wt{steps}`` (i, v) are the steps' sum; index 0 is the intercept."""
+    d = len(FEATURES)
+    out = [
+        "ctr AS MATERIALIZED (SELECT year, posteam, playoffs AS label, [1.0::DOUBLE, "
+        + ", ".join(f"{c} - (SELECT avg({c}) FROM tr)" for c in FEATURES)
+        + "] AS x FROM tr)",
+        f"wt0 AS MATERIALIZED (SELECT i, 0.0::DOUBLE AS v FROM range({d + 1}) t(i))",
+    ]
+    for k in range(steps):
+        out.append(
+            f"lz{k} AS MATERIALIZED (SELECT label, x, 1 / (1 + exp(-list_dot_product(x, (SELECT list(v ORDER BY i) FROM wt{k})))) AS p FROM ctr),"
+            # the augmented system: columns 0..d are the Hessian, column d + 1 the gradient
+            f" e{k}_0 AS MATERIALIZED (SELECT a.i, b.i AS j, sum(p * (1 - p) * x[a.i + 1] * x[b.i + 1]) + CASE WHEN a.i = b.i AND a.i > 0 THEN 1 ELSE 0 END AS v"
+            f" FROM lz{k}, wt0 a, wt0 b GROUP BY a.i, b.i UNION ALL SELECT i, {d + 1}, sum((p - label) * x[i + 1]) + any_value(v) * CASE WHEN i > 0 THEN 1 ELSE 0 END"
+            f" FROM lz{k}, wt{k} GROUP BY i)"
+        )
+        for c in range(d + 1):
+            e = f"e{k}_{c}"
+            out.append(
+                f"e{k}_{c + 1} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN a.i = {c} THEN a.v / p.v ELSE a.v - f.v * r.v / p.v END AS v FROM {e} a"
+                f" JOIN {e} f ON f.i = a.i AND f.j = {c} JOIN {e} r ON r.i = {c} AND r.j = a.j, (SELECT v FROM {e} WHERE i = {c} AND j = {c}) p)"
+            )
+        out.append(f"wt{k + 1} AS MATERIALIZED (SELECT w.i, w.v - e.v AS v FROM wt{k} w JOIN e{k}_{d + 1} e ON e.i = w.i AND e.j = {d + 1})")
+    out.append(
+        "lt AS (SELECT year, posteam, playoffs AS label, list_dot_product([1.0::DOUBLE, "
+        + ", ".join(f"{c} - (SELECT avg({c}) FROM tr)" for c in FEATURES)
+        + f"], (SELECT list(v ORDER BY i) FROM wt{steps})) AS z FROM te)"
+    )
+    return ",\n".join(out)
+
+
+def _sql_tree(source: str = "se", features=FEATURES, label: str = "playoffs", t: str = "t", depth: int = 60) -> str:
+    """CTEs for the tree grown to purity, one level a step; ``{t}v`` (year, posteam, label, p1) are the test rows' leaves."""
+    cols = ", ".join(features)
+    out = [
+        f"{t}r0 AS MATERIALIZED (SELECT year, posteam, {label} AS label, year IN ({_TEST_IN}) AS is_test, CAST(0 AS HUGEINT) AS node, FALSE AS ended FROM {source})",
+        f"{t}l AS MATERIALIZED (SELECT year, posteam, list_position([{_in_list(features)}], name) AS f, v FROM"
+        f" (UNPIVOT (SELECT year, posteam, {cols} FROM {source}) ON {cols} INTO NAME name VALUE v))",
+    ]
+    for d in range(depth):
+        r, c = f"{t}r{d}", f"{t}c{d}"
+        out.append(
+            f"{t}n{d} AS MATERIALIZED (SELECT node, CAST(count(*) AS DOUBLE) AS n, sum(label) AS p FROM {r} WHERE NOT is_test AND NOT ended GROUP BY node),"
+            f" {t}s{d} AS MATERIALIZED (SELECT node, f, v, lead(v) OVER w AS later, sum(n) OVER w AS ln, sum(p) OVER w AS lp FROM (SELECT node, f, v,"
+            f" CAST(count(*) AS DOUBLE) AS n, sum(label) AS p FROM {r} JOIN {t}l USING (year, posteam) WHERE NOT is_test AND NOT ended GROUP BY node, f, v)"
+            " WINDOW w AS (PARTITION BY node, f ORDER BY v)),"
+            f" {c} AS MATERIALIZED (SELECT node, f, v + (later - v) / 2 AS cut FROM (SELECT s.node, f, v, later, row_number() OVER (PARTITION BY s.node"
+            f" ORDER BY lp * lp / ln + (p - lp) * (p - lp) / (n - ln) DESC, f, v) AS k FROM {t}s{d} s JOIN {t}n{d} g ON g.node = s.node"
+            " WHERE later IS NOT NULL AND p > 0 AND p < n) WHERE k = 1),"
+            f" {t}r{d + 1} AS MATERIALIZED (SELECT x.year, x.posteam, x.label, x.is_test, CASE WHEN x.ended OR c.node IS NULL THEN x.node"
+            f" ELSE 2 * x.node + 1 + CAST(l.v > c.cut AS INTEGER) END AS node, x.ended OR c.node IS NULL AS ended FROM {r} x"
+            f" LEFT JOIN {c} c ON c.node = x.node AND NOT x.ended LEFT JOIN {t}l l ON l.year = x.year AND l.posteam = x.posteam AND l.f = c.f)"
+        )
+    out.append(
+        f"{t}f AS (SELECT node, avg(label) AS p1 FROM {t}r{depth} WHERE NOT is_test GROUP BY node),"
+        f" {t}v AS MATERIALIZED (SELECT year, posteam, label, p1 FROM {t}r{depth} JOIN {t}f USING (node) WHERE is_test)"
+    )
+    return ",\n".join(out)
+
+
 def _learner_out(scores: DataFrame) -> DataFrame:
     return scores.select(
         "model",
@@ -872,12 +934,16 @@ def component_seasons(train: DataFrame, test: DataFrame) -> tuple[DataFrame, Dat
     return materialize(m.transform(train, keep), "pca-train"), materialize(m.transform(test, keep), "pca-test")
 
 
+register("logistic", f"WITH {SQL_SEASON_CTES}, {SQL_SPLIT}, {_sql_logistic()} " + _sql_learner_out("lt", "logit", 1))(_learner_query("logit", "logistic"))
+register(
+    "cart",
+    f"WITH {SQL_SEASON_CTES}, {_sql_tree()} SELECT 'CART' AS model, CAST(7 AS BIGINT) AS model_ord, year, CAST(posteam AS BIGINT) AS posteam, label,"
+    f" {sql_round6('p1')} AS p1, {sql_round6('p1')} AS margin, CAST(CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM tv",
+)(_learner_query("cart", "cart"))
 for _kind, _name in (
-    ("logit", "logistic"),
     ("svm", "linear_svm"),
     ("kernel_svm", "kernel_svm_rff"),
     ("mlp", "mlp"),
-    ("cart", "cart"),
     ("random_forest", "random_forest"),
     ("adaboost", "adaboost"),
     ("gbt", "gradient_boost"),
@@ -1106,6 +1172,114 @@ def q_own_accuracy(spark, sf_dir):
     return pc.select("model", F.col("model_ord").cast("bigint"), round6(share).alias("accuracy_pct"))
 
 
+# The eight models that SQL can fit, together: sweep, reports, curves and winner as for all twenty.
+_PC = ("pc1", "pc2")
+SQL_NB_PCA = (
+    "qcls AS (SELECT label AS c, count(*) AS nc, "
+    + ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in _PC)
+    + " FROM pcs WHERE NOT is_test GROUP BY label),"
+    " qtot AS (SELECT count(*) AS n, 1e-9 * greatest(var_pop(pc1), var_pop(pc2)) AS eps FROM pcs WHERE NOT is_test),"
+    " qj AS (SELECT p.year, p.posteam, p.label, q.c, ln(q.nc / n) - 0.5 * ("
+    + " + ".join(f"ln(2 * pi() * (v_{c} + eps))" for c in _PC)
+    + ") - 0.5 * ("
+    + " + ".join(f"(p.{c} - m_{c}) * (p.{c} - m_{c}) / (v_{c} + eps)" for c in _PC)
+    + ") AS j FROM pcs p CROSS JOIN qcls q CROSS JOIN qtot WHERE p.is_test),"
+    " qnb AS (SELECT year, posteam, label, 1.0 / (1.0 + exp(max(CASE WHEN c = 0 THEN j END) - max(CASE WHEN c = 1 THEN j END))) AS p1"
+    " FROM qj GROUP BY year, posteam, label)"
+)
+SQL_EIGHT = ",\n".join(
+    [
+        SQL_SEASON_CTES, SQL_SPLIT, SQL_NB, SQL_KNN, _sql_logistic(), _sql_tree(), SQL_PCA, _sql_newton(),
+        "lp AS (SELECT year, posteam, label, b + w1 * pc1 + w2 * pc2 AS z FROM pcs CROSS JOIN n12 WHERE is_test)",
+        SQL_KNN_PCA, SQL_NB_PCA, _sql_tree("pcs", _PC, "label", "u_"),
+        # probabilities on the 2**-20 grid, as the queries have them: a cut-off never falls between two engines' last digits
+        "sc AS MATERIALIZED (SELECT model, model_ord, year, posteam, label, " + sql_round6("p1") + " AS p1, prediction FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{m}' AS model, {o} AS model_ord, year, posteam, label, {p} AS p1, CAST(CASE WHEN {d} THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM {t}"
+            for m, o, t, p, d in (
+                ("logit", 1, "lt", "1 / (1 + exp(-z))", "z > 0"), ("naive bayes", 2, "nb", "p1", "p1 > 0.5"), ("KNN", 6, "kn", "p1", "p1 > 0.5"),
+                ("CART", 7, "tv", "p1", "p1 > 0.5"), ("NB-PCA", 11, "qnb", "p1", "p1 > 0.5"), ("Logit-PCA", 12, "lp", "1 / (1 + exp(-z))", "z > 0"),
+                ("KNN-PCA", 13, "(SELECT * FROM kd WHERE rn = 1)", "p1", "p1 > 0.5"), ("CART-PCA", 17, "u_v", "p1", "p1 > 0.5"),
+            )
+        )
+        + "))",
+        "scr AS (SELECT *, p1 AS score FROM sc)",
+    ]
+)
+SQL_MODELS = ("logit", "naive bayes", "KNN", "CART", "NB-PCA", "Logit-PCA", "KNN-PCA", "CART-PCA")
+
+
+def sql_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score table of the eight models, fitted anew, with probabilities on the grid."""
+    from functools import reduce
+
+    from .plans.leaderboard import FULL_NAMES, ORDER, PCA_NAMES
+    from .plans.learners import fit_score
+
+    full = split_seasons(spark, sf_dir)
+    both = component_seasons(*full)
+    kinds = {n: (k, full, FEATURES) for k, n in FULL_NAMES.items()} | {n: (k, both, _PC) for k, n in PCA_NAMES.items()}
+    parts = [fit_score(kinds[n][0], *kinds[n][1], kinds[n][2], KEYS, n, ORDER[n]) for n in SQL_MODELS]
+    out = reduce(DataFrame.unionByName, parts)
+    return materialize(out.withColumn("p1", round6("p1")).withColumn("score", F.col("p1")), "sql-model-scores")
+
+
+@register(
+    "leaderboard_sql_models",
+    f"WITH {SQL_EIGHT}, {SQL_THRESHOLDS} SELECT model, CAST(model_ord AS BIGINT) AS model_ord, threshold, {_SQL_ACC} AS accuracy FROM cc",
+)
+def q_leaderboard_sql_models(spark, sf_dir):
+    from .operators.evaluate import threshold_sweep
+
+    lb = threshold_sweep(sql_model_scores(spark, sf_dir))
+    return lb.select("model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"))
+
+
+@register("reports_sql_models", f"WITH {SQL_EIGHT}, {_SQL_CUT}, " + _sql_report("ccut"))
+def q_reports_sql_models(spark, sf_dir):
+    """Each of the eight models at its chosen cut-off."""
+    from .operators.evaluate import cutoff_table, report_at_cutoffs
+
+    return _report_out(report_at_cutoffs(sql_model_scores(spark, sf_dir), cutoff_table(spark)))
+
+
+@register("prediction_reports_sql_models", f"WITH {SQL_EIGHT}, {_SQL_PRED}, " + _sql_report("pc"))
+def q_prediction_reports_sql_models(spark, sf_dir):
+    """Each of the eight models by its own decision."""
+    from .operators.evaluate import prediction_report
+
+    return _report_out(prediction_report(sql_model_scores(spark, sf_dir)))
+
+
+@register(
+    "winner_sql_models",
+    f"WITH {SQL_EIGHT}, {SQL_THRESHOLDS}, {_SQL_LB} SELECT model, CAST(model_ord AS BIGINT) AS model_ord,"
+    f" threshold, {sql_round6('accuracy')} AS accuracy, round_even(accuracy * 100.0, 2) AS accuracy_pct FROM lb"
+    " ORDER BY lb.accuracy DESC, model_ord, threshold LIMIT 1",
+)
+def q_winner_sql_models(spark, sf_dir):
+    from .operators.evaluate import best_overall, threshold_sweep
+
+    b = best_overall(threshold_sweep(sql_model_scores(spark, sf_dir)))
+    return b.select("model", F.col("model_ord").cast("bigint"), "threshold", round6("accuracy").alias("accuracy"), "accuracy_pct")
+
+
+@register(
+    "roc_points_sql_models",
+    f"WITH {SQL_EIGHT}, {_SQL_ROC} SELECT model, CAST(model_ord AS BIGINT) AS model_ord, score AS threshold,"
+    f" {sql_round6('CASE WHEN tn_all > 0 THEN cn / tn_all END')} AS fpr,"
+    f" {sql_round6('CASE WHEN tp_all > 0 THEN cp / tp_all END')} AS tpr FROM rc"
+    " WHERE k = 1 OR np_ IS NULL OR np_ <> pos OR nn_ <> neg"
+    " UNION ALL SELECT model, CAST(model_ord AS BIGINT), NULL, CASE WHEN tn_all > 0 THEN 0.0 END,"
+    " CASE WHEN tp_all > 0 THEN 0.0 END FROM rc WHERE k = 1",
+)
+def q_roc_points_sql_models(spark, sf_dir):
+    from .operators.curves import roc_points
+
+    r = roc_points(sql_model_scores(spark, sf_dir))
+    return r.select("model", F.col("model_ord").cast("bigint"), "threshold", *_r(("fpr", "tpr")))
+
+
 # ---------------------------------------------------------------------------
 # 6. Cut-offs chosen on training seasons
 # ---------------------------------------------------------------------------
