@@ -962,26 +962,6 @@ register(
 )(_learner_query("knn", "knn_pca", pca=True))
 
 
-@register("decision_grid_pca")
-def q_decision_grid_pca(spark, sf_dir):
-    """Decision regions of all ten two-component models over the mesh (step 0.5) spanning the projected training seasons."""
-    from functools import reduce
-
-    from .operators.explain import decision_grid
-    from .plans.leaderboard import PCA_NAMES
-    from .plans.learners import Settings, fit
-    from .schema import RBF_GAMMA_PCA
-
-    train, _ = component_seasons(*split_seasons(spark, sf_dir))
-    s = Settings(rbf_gamma=RBF_GAMMA_PCA)
-    grids = []
-    for kind, name in PCA_NAMES.items():
-        fitted = fit(kind, train, ("pc1", "pc2"), KEYS, s)
-        grid = decision_grid(train, "pc1", "pc2", lambda pts, f=fitted: f.score(pts, ["pc1", "pc2"]))
-        grids.append(grid.select(F.lit(name).alias("model"), *_r(("pc1", "pc2")), "predicted"))
-    return reduce(DataFrame.unionByName, grids)
-
-
 @register(
     "pca_2d",
     f"WITH {SQL_SEASON_CTES}, {SQL_SPLIT}, {SQL_PCA} SELECT year, CAST(posteam AS BIGINT) AS posteam, is_test,"
@@ -1280,6 +1260,62 @@ def q_roc_points_sql_models(spark, sf_dir):
     return r.select("model", F.col("model_ord").cast("bigint"), "threshold", *_r(("fpr", "tpr")))
 
 
+SQL_GRID_PCA = (
+    "pgb AS (SELECT min(pc1) AS x0, max(pc1) AS x1, min(pc2) AS y0, max(pc2) AS y1 FROM pcs WHERE NOT is_test),"
+    " pgn AS (SELECT x0, y0, CAST(ceil((x1 - x0) / 0.5) AS BIGINT) AS nx, CAST(ceil((y1 - y0) / 0.5) AS BIGINT) AS ny FROM pgb),"
+    " pgx AS (SELECT x0 + CAST(unnest(range(nx)) AS DOUBLE) * 0.5 AS pc1 FROM pgn),"
+    " pgy AS (SELECT y0 + CAST(unnest(range(ny)) AS DOUBLE) * 0.5 AS pc2 FROM pgn),"
+    " pg AS MATERIALIZED (SELECT * FROM pgx CROSS JOIN pgy),"
+    " pgj AS (SELECT pg.*, q.c, ln(q.nc / n) - 0.5 * ("
+    + " + ".join(f"ln(2 * pi() * (v_{c} + eps))" for c in _PC)
+    + ") - 0.5 * ("
+    + " + ".join(f"(pg.{c} - m_{c}) * (pg.{c} - m_{c}) / (v_{c} + eps)" for c in _PC)
+    + ") AS j FROM pg CROSS JOIN qcls q CROSS JOIN qtot),"
+    " pgk AS (SELECT g.pc1, g.pc2, arg_min(t.label, {'d': (g.pc1 - t.pc1) * (g.pc1 - t.pc1) + (g.pc2 - t.pc2) * (g.pc2 - t.pc2),"
+    " 'y': t.year, 'p': t.posteam}) AS y FROM pg g CROSS JOIN pcs t WHERE NOT t.is_test GROUP BY g.pc1, g.pc2),"
+    " regions AS (SELECT 'NB-PCA' AS model, pc1, pc2, CASE WHEN max(CASE WHEN c = 1 THEN j END) > max(CASE WHEN c = 0 THEN j END) THEN 1 ELSE 0 END AS predicted"
+    " FROM pgj GROUP BY pc1, pc2 UNION ALL SELECT 'Logit-PCA', pc1, pc2, CASE WHEN b + w1 * pc1 + w2 * pc2 > 0 THEN 1 ELSE 0 END FROM pg CROSS JOIN n12"
+    " UNION ALL SELECT 'KNN-PCA', pc1, pc2, y FROM pgk)"
+)
+
+
+def component_grids(train: DataFrame, names) -> DataFrame:
+    """(model, pc1, pc2, predicted) of two-component models over the mesh (step 0.5) spanning the projected training seasons."""
+    from functools import reduce
+
+    from .operators.explain import decision_grid
+    from .plans.leaderboard import PCA_NAMES
+    from .plans.learners import Settings, fit
+    from .schema import RBF_GAMMA_PCA
+
+    s = Settings(rbf_gamma=RBF_GAMMA_PCA)
+    grids = []
+    for kind, name in PCA_NAMES.items():
+        if name in names:
+            fitted = fit(kind, train, _PC, KEYS, s)
+            grid = decision_grid(train, *_PC, lambda pts, f=fitted: f.score(pts, list(_PC)))
+            grids.append(grid.select(F.lit(name).alias("model"), *_r(_PC), "predicted"))
+    return reduce(DataFrame.unionByName, grids)
+
+
+@register("decision_grid_pca")
+def q_decision_grid_pca(spark, sf_dir):
+    """Decision regions of all ten two-component models."""
+    from .plans.leaderboard import PCA_NAMES
+
+    return component_grids(component_seasons(*split_seasons(spark, sf_dir))[0], set(PCA_NAMES.values()))
+
+
+@register(
+    "decision_grid_sql_models",
+    f"WITH {SQL_LOGIT_PCA}, {SQL_NB_PCA}, {SQL_GRID_PCA} SELECT model, {sql_round6('pc1')} AS pc1, {sql_round6('pc2')} AS pc2,"
+    " CAST(predicted AS DOUBLE) AS predicted FROM regions",
+)
+def q_decision_grid_sql_models(spark, sf_dir):
+    """The three of them that SQL can fit and score."""
+    return component_grids(component_seasons(*split_seasons(spark, sf_dir))[0], {"NB-PCA", "Logit-PCA", "KNN-PCA"})
+
+
 # ---------------------------------------------------------------------------
 # 6. Cut-offs chosen on training seasons
 # ---------------------------------------------------------------------------
