@@ -70,7 +70,7 @@ def _hashed(df: DataFrame, n_features: int) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> tuple[DataFrame, float]:
-    """(text, label) of at most about ``max_rows`` labelled rows outside the held-out part, and the
+    """(text, label, _deal) of at most about ``max_rows`` labelled rows outside the held-out part, and the
     sampling rate of toxic rows over that of the others.
 
     Each class keeps the ids whose hash falls under its share, so the choice does not
@@ -91,7 +91,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
     u = F.pmod(F.xxhash64("doc_id", F.lit(SEED).cast("long")), F.lit(1_000_000)) / 1_000_000.0
     chosen = known.filter(u < F.when(F.col("_toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
     # broadcast: at most about ``max_rows`` rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("_toxic").cast("double").alias("label"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.select("text", F.col("_toxic").cast("double").alias("label"), F.xxhash64("doc_id", "text").alias("_deal"))
     rate = {k: min(1.0, v) for k, v in share.items()}
     return rows, rate[1] / rate[0] if rate[0] and rate[1] else 1.0
 
@@ -106,7 +107,8 @@ def fit_toxicity(
 ) -> Fitted:
     """The fitted machine, or the share of the class when there are not two classes."""
     chosen, ratio = training_rows(docs, labels, max_train_rows)
-    chosen = chosen.repartition(TRAIN_PARTITIONS, F.xxhash64("text"))
+    # dealt by id, so that copies of one text do not share a part; the parts of a bounded sample are bounded too
+    chosen = chosen.repartition(TRAIN_PARTITIONS, "_deal").coalesce(TRAIN_PARTITIONS)
     train = _hashed(chosen, n_features).select("_features", "label").persist()
     try:
         seen = train.groupBy("label").count().collect()
