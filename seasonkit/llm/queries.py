@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, owns_tables
 from . import bucket_pointer, decontamination, embedding_dedup, filter_audit, kneser_ney, line_dedup, minhash, packing, pii, secret_scan, sharding, token_pairs, toxicity
 from .common import table
 
@@ -20,10 +20,10 @@ def register(name: str, sql: str | None = None):
             ensure_checkpoint_dir(spark)
             return fn(spark, sf_dir)
 
-        QUERIES[name] = query
+        QUERIES[name] = owns_tables(query)
         if sql is not None:
             ORACLE[name] = sql
-        return query
+        return QUERIES[name]
 
     return deco
 
