@@ -151,9 +151,41 @@ def season_features(games: DataFrame, features: Sequence[str] = FEATURES, label:
     return games.groupBy(*SEASON_KEYS).agg(*aggs)
 
 
-def season_table(plays: DataFrame, features: Sequence[str] = FEATURES, prepared: bool = False) -> DataFrame:
-    """Full chain: prepared plays → labelled games → season means."""
-    return season_features(game_table(plays, features, prepared=prepared), features)
+def season_table(
+    plays: DataFrame,
+    features: Sequence[str] = FEATURES,
+    prepared: bool = False,
+    mean_columns: Sequence[str] = GAME_MEAN_COLUMNS,
+    label: str = "playoffs",
+) -> DataFrame:
+    """Full chain in one scan and two exchanges: plays → team-games → team-seasons with their label.
+
+    Equals ``season_features(game_table(plays))``. A regular-season play counts for its team-game; a post-season play
+    marks its two teams, as a group without a game. So the season aggregate meets a team's games and its
+    mark under one key, and neither a second scan nor a join is needed.
+    """
+    p = plays if prepared else prepare_plays(plays)
+    regular = (F.col("season_type") == "REG") & F.col("week").isNotNull() & F.col("game_id").isNotNull()
+
+    def role(week, game, team, post: bool):
+        return F.struct(week.alias("week"), game.alias("game_id"), team.alias("posteam"), F.lit(post).alias("post"))
+
+    none = [F.lit(None).cast(p.schema[c].dataType) for c in ("week", "game_id")]
+    roles = F.when(regular, F.array(role(F.col("week"), F.col("game_id"), F.col("posteam"), False))).when(
+        F.col("season_type") == "POST", F.array(*[role(*none, F.col(c), True) for c in ("home_team", "away_team")])
+    )
+    values = [nan_to_null(c).alias(c) for c in features]
+    rows = p.filter(F.col("season_type").isin("REG", "POST") & F.col("year").isNotNull())
+    rows = rows.select("year", *values, F.explode(roles).alias("_r")).filter(F.col("_r.posteam").isNotNull())
+    rows = rows.select("year", "_r.*", *features)
+    aggs = [(mean_(c) if c in mean_columns else sum0(c)).alias(c) for c in features]
+    games = rows.groupBy("year", "week", "game_id", "posteam", "post").agg(*aggs)
+    of_games = lambda c: F.avg(F.when(~F.col("post"), F.col(c))).alias(c)
+    seasons = games.groupBy(*SEASON_KEYS).agg(
+        of_games("week"), *[of_games(c) for c in features],
+        F.max(F.col("post").cast("double")).alias(label), F.count_if(~F.col("post")).alias("_games"),
+    )
+    return seasons.filter("_games > 0").drop("_games")
 
 
 def season_features_direct(

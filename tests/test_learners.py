@@ -25,7 +25,7 @@ def _acc(scores):
     return scores.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
 
 
-@pytest.mark.parametrize("kind", ["logit", "naive_bayes", "svm", "cart", "adaboost", "gbt", "mlp", "knn", "random_forest"])
+@pytest.mark.parametrize("kind", ["logit", "naive_bayes", "svm", "kernel_svm", "cart", "adaboost", "gbt", "mlp", "knn", "random_forest"])
 def test_learner_beats_chance_by_far(spark, split, kind):
     tr, te = split
     sc = fit_score(kind, tr, te, EMBED_FEATURES, ["vec_id"], kind, 1, FAST)
