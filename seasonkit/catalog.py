@@ -1134,7 +1134,7 @@ def q_learners_on_signal(spark, sf_dir):
     from .sources import EMBED_FEATURES, labelled_embeddings
 
     table = materialize(labelled_embeddings(spark, sf_dir), "signal")
-    scores = run_models(table.filter("NOT is_test"), table.filter("is_test"), EMBED_FEATURES, ["vec_id"], with_pca=False)
+    scores = run_models(table.filter("NOT is_test"), table.filter("is_test"), EMBED_FEATURES, ["vec_id"], with_pca=False, gammas=(2.0, 2.0))
     return scores.select("model", "model_ord", "vec_id", "label", *_r(("p1", "margin")), "prediction")
 
 

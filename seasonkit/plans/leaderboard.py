@@ -62,8 +62,10 @@ def run_models(
     kinds: Sequence[str] | None = None,
     with_pca: bool = True,
     timings: dict | None = None,
+    gammas: tuple[float, float] = (RBF_GAMMA_FULL, RBF_GAMMA_PCA),
 ) -> DataFrame:
-    """Fit every learner, score the test rows, return the written score table."""
+    """Fit every learner, score the test rows, return the written score table. ``gammas``: the kernel's width on
+    all features and on two components."""
     s = settings or Settings()
     kinds = list(kinds or FULL_NAMES)
     timings = timings if timings is not None else {}
@@ -77,7 +79,7 @@ def run_models(
         timings[name] = round(time.time() - t0, 3)
         return sc
 
-    jobs = [(k, train, test, tuple(features), FULL_NAMES[k], replace(s, rbf_gamma=RBF_GAMMA_FULL)) for k in kinds]
+    jobs = [(k, train, test, tuple(features), FULL_NAMES[k], replace(s, rbf_gamma=gammas[0])) for k in kinds]
     if with_pca:
         t0 = time.time()
         pca = fit_pca(train, features, 2)
@@ -85,7 +87,7 @@ def run_models(
         trp = materialize(pca.transform(train, keep), "pca-train")
         tep = materialize(pca.transform(test, keep), "pca-test")
         timings["pca_2d"] = round(time.time() - t0, 3)
-        jobs += [(k, trp, tep, ("pc1", "pc2"), PCA_NAMES[k], replace(s, rbf_gamma=RBF_GAMMA_PCA)) for k in kinds]
+        jobs += [(k, trp, tep, ("pc1", "pc2"), PCA_NAMES[k], replace(s, rbf_gamma=gammas[1])) for k in kinds]
     # independent fits run as concurrent Spark jobs (as CrossValidator's
     # parallelism does); the slowest learners are submitted first
     slow_first = sorted(jobs, key=lambda j: SLOW_RANK.get(j[0], 99))

@@ -70,7 +70,7 @@ class Settings:
     platt_folds: int = 5
     kernel_map: str = "nystroem"  # or "fourier"
     kernel_features: int = 512  # landmarks at most
-    kernel_error: float = 0.05  # landmarks are added until no sampled kernel value is off by more
+    kernel_error: float = 1e-6  # landmarks are added until no sampled kernel value is off by more: a flat kernel's signal is small
     rff_features: int = 4096
     rbf_gamma: float = RBF_GAMMA_FULL
     mlp_hidden: tuple[int, ...] = (20, 10)

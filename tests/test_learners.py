@@ -1,5 +1,7 @@
 """Learner properties on the embeddings fixture (its label depends on the features)."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -28,7 +30,9 @@ def _acc(scores):
 @pytest.mark.parametrize("kind", ["logit", "naive_bayes", "svm", "kernel_svm", "cart", "adaboost", "gbt", "mlp", "knn", "random_forest"])
 def test_learner_beats_chance_by_far(spark, split, kind):
     tr, te = split
-    sc = fit_score(kind, tr, te, EMBED_FEATURES, ["vec_id"], kind, 1, FAST)
+    # the season table's kernel width is far too flat for these short vectors: every margin would be the majority's
+    settings = replace(FAST, rbf_gamma=2.0) if kind == "kernel_svm" else FAST
+    sc = fit_score(kind, tr, te, EMBED_FEATURES, ["vec_id"], kind, 1, settings)
     assert sc.count() == te.count()
     # 1-NN in 8 dimensions on 400 points is exact (see test_nearest) but weaker
     assert _acc(sc) > (0.75 if kind == "knn" else 0.85)
