@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,8 @@ from .shingles import batches, distinct_shingles, mix, shingle_hashes
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
-IDF_BUCKETS = 1 << 18
+IDF_BUCKETS = 1 << 20
+SLICE_BUCKETS = 1 << 16
 IDF_SHARE = 0.1
 #: Agreeing samples of 48 that let a pair of two classes go on to the exact comparison.
 NEAR_SAMPLES = 28
@@ -70,7 +72,11 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def document_frequencies(texts: DataFrame, buckets: int = IDF_BUCKETS) -> tuple[np.ndarray, int]:
-    """(texts holding a shingle of each bucket, texts) over all rows of ``texts.text``."""
+    """(texts holding a shingle of each bucket, texts) over all rows of ``texts.text``.
+
+    Counters travel as compressed slices of ``SLICE_BUCKETS``, added by slice before they reach the driver: a row a slice.
+    """
+    width = min(buckets, SLICE_BUCKETS)
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, n = np.zeros(buckets, dtype=np.int64), 0
@@ -79,15 +85,31 @@ def document_frequencies(texts: DataFrame, buckets: int = IDF_BUCKETS) -> tuple[
             for a, b in batches(pdf["text"].map(len)):
                 owner, hashes, _ = distinct_shingles(*shingle_hashes(_encoded(pdf["text"].iloc[a:b])))
                 seen += np.bincount(_bucket(hashes, buckets), minlength=buckets)
-        at = np.flatnonzero(seen)
-        yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(seen[at], n)})
-
-    summed = texts.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    got = summed.toPandas()  # at most ``buckets`` + 1 rows
-    df = np.zeros(buckets, dtype=np.int64)
-    real = got["bucket"].to_numpy() >= 0
-    df[got["bucket"].to_numpy()[real]] = got["n"].to_numpy()[real]
-    return df, int(got["n"].to_numpy()[~real].sum())
+        if n:
+            cut = seen.reshape(-1, width)
+            yield pd.DataFrame({"slice": np.arange(len(cut)), "n": n, "counts": [_squeezed(c) for c in cut]})
+
+    def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(width, dtype=np.int64), 0
+        for part in parts:
+            n += int(part["n"].sum())
+            for c in part["counts"]:
+                total += _spread(c, width)
+        yield pd.DataFrame({"slice": [key[0]], "n": [n], "counts": [_squeezed(total)]})
+
+    schema = "slice long, n long, counts binary"
+    df, n = np.zeros((buckets // width, width), dtype=np.int64), 0
+    for row in texts.select("text").mapInPandas(count, schema).groupBy("slice").applyInPandas(add, schema).collect():
+        df[row["slice"]], n = _spread(bytes(row["counts"]), width), row["n"]
+    return df.ravel(), n
+
+
+def _squeezed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+
+
+def _spread(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, decompressed_size=8 * width, codec="zstd", asbytes=True), dtype=np.int64)
 
 
 def idf_weights(df: np.ndarray, n: int, share: float = IDF_SHARE) -> np.ndarray:
