@@ -15,8 +15,8 @@ words are 64-bit keys, and no table of them reaches the driver or is broadcast w
 
    where keys without trusted text weigh nothing. The last weight is the log of p(w | v)
    over its share by interpolation alone.
-3. Texts send (key, text, count) to the shard of the key, where the model's weights meet them; the
-   sums return by text. This is done in ``ROUNDS`` slices of the keys, each written when done, so that
+3. Texts send (key, text, count) to the shard of the key, where the model's weights meet them; a block of texts sends each
+   shard one packed row and gets one back, whose sums are added to the block's. This is done in ``ROUNDS`` slices of the keys, each written when done, so that
    the shuffles of one slice alone stand on disk at a time.
 4. A language's thresholds are quantiles of the perplexities of its trusted texts: the high one of those
    that were not counted, the low one of all, so that no counted text is taken for a repetitive one.
@@ -37,11 +37,13 @@ null, and without them or quantiles everything with a word is kept; repeated row
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import zstandard
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,8 @@ ROUNDS = 4
 BLOCK_CHARS = 1 << 23
 SHARE = 2.0**-15
 SHARD_ENTRIES = 1_000_000
+#: log2 of the counters that a block's keys are hashed into before the frequent ones are sorted.
+COUNTERS = 20
 LEAST_SHARDS = 12
 LOW_QUANTILE, HIGH_QUANTILE = 0.005, 0.99
 BROADCAST_ROWS = 1_000_000
@@ -140,8 +144,18 @@ def _times(column: str, prefix: str) -> list[Column]:
     return [F.count_if(F.col(column) == k).alias(f"{prefix}{k}") for k in range(5)]
 
 
-def build_model(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of (seed, v, w, c): the weights (key, weight) and, by seed, the log probability of an unknown word."""
+class Weights(NamedTuple):
+    """(key, weight) of the words, and of the pairs by slice of their keys."""
+
+    of_words: DataFrame
+    of_pairs: list[DataFrame]
+
+    def slice(self, r: int) -> DataFrame:
+        return self.of_words.filter(F.col("key").bitwiseAND(ROUNDS - 1) == r).unionByName(self.of_pairs[r])
+
+
+def build_model(pairs: DataFrame) -> tuple[Weights, DataFrame]:
+    """Of (seed, v, w, c): the weights and, by seed, the log probability of an unknown word."""
     follows = pairs.groupBy("seed", F.col("v").alias("key")).agg(
         F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("f1"), F.count_if(F.col("c") == 2).alias("f2"),
         F.count_if(F.col("c") > 2).alias("f3"),
@@ -159,26 +173,27 @@ def build_model(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "seed", "all_k", *[x.alias(f"d{i}") for i, x in enumerate(d)], *[x.alias(f"e{i}") for i, x in enumerate(t)],
         F.log(held / (F.col("size") + 1)).alias("unknown"),
     )
-    stats = written(stats, "model-stats")
+    stats = written(stats, "model-stats")  # a row for each language
+    languages = stats.count()
     d, t = ([F.col(f"{x}{i}") for i in range(3)] for x in "de")
-    # a row for each language
-    types = types.join(F.broadcast(stats), "seed")
+    types = types.join(small_side(stats, languages, BROADCAST_ROWS), "seed")
     seen = (F.col("k") - _of(F.col("k"), t)) / F.col("all_k") + F.exp("unknown")
     gamma = (d[0] * F.col("f1") + d[1] * F.col("f2") + d[2] * F.col("f3")) / F.col("total")
     types = types.select("key", "total", "unknown", F.log(seen).alias("alone"), F.log(gamma).alias("back"))
     types = written(types, "word-weights")
-    weights = [types.select("key", (F.col("alone") - F.col("unknown") + F.col("back")).cast("float").alias("weight"))]
+    of_words = types.select("key", (F.col("alone") - F.col("unknown") + F.col("back")).cast("float").alias("weight"))
+    of_pairs = []
     v = types.select(F.col("key").alias("v"), "total", "back")
     w = types.select(F.col("key").alias("w"), "alone")
     for r in range(ROUNDS):
         own = pairs.filter(pair_key(F.col("v"), F.col("w")).bitwiseAND(ROUNDS - 1) == r)
-        own = own.join(F.broadcast(stats.select("seed", "d0", "d1", "d2")), "seed")
+        own = own.join(small_side(stats.select("seed", "d0", "d1", "d2"), languages, BROADCAST_ROWS), "seed")
         own = own.select("v", "w", (F.col("c") - _of(F.col("c"), d)).alias("kept")).join(v, "v")
         own = own.select("v", "w", (F.col("kept") / F.col("total")).alias("alpha"), "back").join(w, "w")
         share = F.exp(F.col("back") + F.col("alone"))
         gain = F.log1p(F.col("alpha") / share).cast("float")
-        weights.append(written(own.select(pair_key(F.col("v"), F.col("w")).alias("key"), gain.alias("weight")), "pair-weights"))
-    return _union(weights), stats.select("seed", "unknown")
+        of_pairs.append(written(own.select(pair_key(F.col("v"), F.col("w")).alias("key"), gain.alias("weight")), "pair-weights"))
+    return Weights(of_words, of_pairs), stats.select("seed", "unknown")
 
 
 def frequent_keys(texts: DataFrame) -> tuple[DataFrame, int]:
@@ -193,8 +208,11 @@ def frequent_keys(texts: DataFrame) -> tuple[DataFrame, int]:
         for b in blocks(parts):
             yield pd.DataFrame({"key": [None], "c": [len(b.key)]}, dtype="Int64")
             for keys in (b.key, b.pair):
-                u, c = np.unique(keys, return_counts=True)
-                often = c >= max(4, SHARE * len(keys))
+                # keys that share a counter below the bound are below it themselves: only the others are sorted
+                at = (keys >> np.uint64(64 - COUNTERS)).astype(np.int64)
+                least = max(4, SHARE * len(keys))
+                u, c = np.unique(keys[np.bincount(at, minlength=1 << COUNTERS)[at] >= least], return_counts=True)
+                often = c >= least
                 yield pd.DataFrame({"key": u[often].view(np.int64), "c": c[often]})
 
     sums = texts.mapInPandas(work, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
@@ -205,21 +223,32 @@ def frequent_keys(texts: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Bytes of like weight together, compressed."""
+    """Bytes of like weight together, compressed; the length is put in front."""
     planes = x.view(np.uint8).reshape(-1, x.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return x.nbytes.to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(raw: bytes, kind: type) -> np.ndarray:
-    got = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
-    return np.ascontiguousarray(got.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    got = pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(got, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-_SENT = "shard int, rid binary, total binary, n binary, copies binary, key binary, doc binary, times binary"
+#: Of a block for a shard: the texts that ask (numbers within the block), their keys, the text of each key and how often it has it.
+_ASKED = ("block", "shard", "used", "key", "doc", "times")
+#: Of a block for itself, by way of any shard: its texts, the sums of their frequent keys, their lengths, how many they are.
+_OWN = ("block", "shard", "rid", "total", "n", "copies")
+_SENT = "block long, shard int, used binary, key binary, doc binary, times binary, rid binary, total binary, n binary, copies binary"
+#: Of a shard for a block: the sums of the texts that asked and have any; and what the block sent for itself.
+_ANSWER = "block long, used binary, rid binary, total binary, n binary, copies binary"
 
 
-def _requests(b: Block, r: int, shards: int, often: np.ndarray, weight: np.ndarray) -> pd.DataFrame:
-    """The keys of slice ``r`` by shard; weights of the frequent keys are summed here."""
+def _block_id(b: Block) -> int:
+    """The hash of the block's texts: blocks of equal texts may share it, as their sums are added in the end anyway."""
+    return int.from_bytes(hashlib.blake2b(b.rid.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _requests(b: Block, r: int, shards: int, often: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, pd.DataFrame]:
+    """(the summed weights of each text's frequent keys, the other keys of slice ``r`` by shard)."""
     held, left = np.zeros(len(b.rid)), []
     for keys in (b.key, b.pair):
         here = np.flatnonzero(keys % np.uint64(ROUNDS) == r)
@@ -231,57 +260,71 @@ def _requests(b: Block, r: int, shards: int, often: np.ndarray, weight: np.ndarr
             key, doc = key[~hit], doc[~hit]
         left.append((key, doc))
     key, doc = (np.concatenate(x) for x in zip(*left, strict=True))
-    order = np.argsort(key, kind="stable")
-    order = order[np.argsort(((key[order] >> np.uint64(20)) % np.uint64(shards)).astype(np.uint32), kind="stable")]
+    order = np.argsort(key, kind="stable")  # shards are ranges of the key
     key, doc = key[order], doc[order].astype(np.uint32)
     first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))) if len(key) else np.zeros(0, int)
     times = np.diff(np.append(first, len(key))).astype(np.uint32)
     key, doc = key[first], doc[first]
-    shard = (key >> np.uint64(20)) % np.uint64(shards)
-    n = np.bincount(b.doc, minlength=len(b.rid)) if r == 0 else np.zeros(len(b.rid), dtype=np.int64)
-    copies = np.full(len(b.rid), int(r == 0), dtype=np.int64)
-    none = np.zeros(0, dtype=np.uint32)
-    # the sums of the block itself go to a shard that its texts decide
-    own = int(mix(b.rid[:1].view(np.uint64))[0] % np.uint64(shards))
-    rows = [(own, b.rid, held, n, copies, none.astype(np.uint64), none, none)]
-    edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else none
+    shard = (key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, dtype=np.int64)
+    block, rows = _block_id(b), []
     for lo, hi in zip(edges, np.append(edges[1:], len(shard)), strict=True):
         used, at = np.unique(doc[lo:hi], return_inverse=True)
         gaps = np.diff(key[lo:hi], prepend=np.uint64(0))
-        rows.append((int(shard[lo]), b.rid[used], none, none, none, gaps, at.astype(np.uint32), times[lo:hi]))
-    names = [x.split()[0] for x in _SENT.split(", ")]
-    return pd.DataFrame([(s, *map(_packed, rest)) for s, *rest in rows], columns=names)
+        rows.append((block, int(shard[lo]), *map(_packed, (np.diff(used, prepend=np.uint32(0)), gaps, at.astype(np.uint32), times[lo:hi]))))
+    return held, pd.DataFrame(rows, columns=_ASKED).assign(rid=None, total=None, n=None, copies=None)
+
+
+def _own(b: Block, r: int, held: np.ndarray, shards: int) -> pd.DataFrame:
+    n = np.bincount(b.doc, minlength=len(b.rid)) if r == 0 else np.zeros(len(b.rid), dtype=np.int64)
+    copies = np.full(len(b.rid), int(r == 0), dtype=np.int64)
+    block = _block_id(b)
+    row = (block, block % shards, *map(_packed, (b.rid, held, n, copies)))
+    return pd.DataFrame([row], columns=_OWN).assign(used=None, key=None, doc=None, times=None)
 
 
 def _answers(model: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
-    """(rid, total, n, copies) of one shard."""
+    """One row a block that asked the shard, whatever the number of its texts."""
     key = model["key"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(key)
     key, weight = key[order], model["weight"].to_numpy(dtype=np.float64)[order]
     out = []
     for row in sent.itertuples(index=False):
-        rid = _unpacked(row.rid, np.int64)
-        gaps = _unpacked(row.key, np.uint64)
-        if not len(gaps):
-            own = [_unpacked(x, k) for x, k in ((row.total, np.float64), (row.n, np.int64), (row.copies, np.int64))]
-            out.append(pd.DataFrame(dict(zip(("rid", "total", "n", "copies"), (rid, *own), strict=True))))
+        if row.key is None:
+            out.append((row.block, None, row.rid, row.total, row.n, row.copies))
         elif len(key):
-            asked = np.cumsum(gaps)
+            asked = np.cumsum(_unpacked(row.key, np.uint64))
+            used = np.cumsum(_unpacked(row.used, np.uint32), dtype=np.uint32)
             at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
             gain = np.where(key[at] == asked, weight[at], 0.0) * _unpacked(row.times, np.uint32)
-            total = np.bincount(_unpacked(row.doc, np.uint32), gain, len(rid))
-            some = total != 0
-            out.append(pd.DataFrame({"rid": rid[some], "total": total[some], "n": 0, "copies": 0}))
-    if not out:
-        return pd.DataFrame({"rid": [], "total": [], "n": [], "copies": []})
-    return pd.concat(out).groupby("rid", as_index=False).sum()
-
-
-def score(texts: DataFrame, weights: DataFrame) -> DataFrame:
+            total = np.bincount(_unpacked(row.doc, np.uint32), gain, len(used))
+            some = np.flatnonzero(total)
+            if len(some):
+                out.append((row.block, _packed(np.diff(used[some], prepend=np.uint32(0))), None, _packed(total[some]), None, None))
+    return pd.DataFrame(out, columns=[x.split()[0] for x in _ANSWER.split(", ")])
+
+
+def _summed(rows: pd.DataFrame) -> pd.DataFrame:
+    """(rid, total, n, copies) of one block: at most the texts of ``BLOCK_CHARS`` characters."""
+    mine = [row for row in rows.itertuples(index=False) if row.rid is not None]
+    rid = _unpacked(mine[0].rid, np.int64)
+    total, n, copies = np.zeros(len(rid)), np.zeros(len(rid), dtype=np.int64), np.zeros(len(rid), dtype=np.int64)
+    for row in mine:
+        total += _unpacked(row.total, np.float64)
+        n += _unpacked(row.n, np.int64)
+        copies += _unpacked(row.copies, np.int64)
+    for row in rows.itertuples(index=False):
+        if row.used is not None:
+            total[np.cumsum(_unpacked(row.used, np.uint32), dtype=np.uint32)] += _unpacked(row.total, np.float64)
+    out = pd.DataFrame({"rid": rid, "total": total, "n": n, "copies": copies})
+    return out.groupby("rid", as_index=False).sum()
+
+
+def score(texts: DataFrame, weights: Weights) -> DataFrame:
     """(rid, total, n, copies) over all rows of ``texts`` (rid, seed, text): log weights and keys of equal texts."""
     often, total = frequent_keys(texts)
     # at most 2 / SHARE keys
-    found = weights.join(F.broadcast(often), "key").toPandas()
+    found = _union([weights.of_words, *weights.of_pairs]).join(F.broadcast(often), "key").toPandas()
     known = set(found["key"])
     rest = [k for (k,) in often.collect() if k not in known]
     keys = np.array([*found["key"], *rest], dtype=np.int64).view(np.uint64)
@@ -290,19 +333,20 @@ def score(texts: DataFrame, weights: DataFrame) -> DataFrame:
         (keys[order], np.append(found["weight"].to_numpy(dtype=np.float64), np.zeros(len(rest)))[order])
     )
     shards = max(LEAST_SHARDS, -(-2 * total // (ROUNDS * SHARD_ENTRIES)))
-    model = weights.withColumn("shard", (F.shiftrightunsigned("key", 20) % shards).cast("int"))
+    shard = F.shiftright(F.shiftrightunsigned("key", 32) * shards, 32).cast("int").alias("shard")
     out = []
     for r in range(ROUNDS):
 
         def work(parts: Iterator[pd.DataFrame], r=r) -> Iterator[pd.DataFrame]:
             for b in blocks(parts):
-                yield _requests(b, r, shards, *held.value)
+                held_here, rows = _requests(b, r, shards, *held.value)
+                yield rows
+                yield _own(b, r, held_here, shards)[rows.columns]
 
         sent = texts.mapInPandas(work, _SENT)
-        own = model.filter(F.col("key").bitwiseAND(ROUNDS - 1) == r)
-        met = own.groupBy("shard").cogroup(sent.groupBy("shard"))
-        sums = met.applyInPandas(_answers, "rid long, total double, n long, copies long")
-        sums = sums.groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("total", "n", "copies")])
+        own = weights.slice(r).select("key", "weight", shard)
+        answers = own.groupBy("shard").cogroup(sent.groupBy("shard")).applyInPandas(_answers, _ANSWER)
+        sums = answers.groupBy("block").applyInPandas(_summed, "rid long, total double, n long, copies long")
         out.append(written(sums, "text-sums"))
     return _union(out).groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("total", "n", "copies")])
 
@@ -331,7 +375,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights, stats = build_model(count_pairs(own))
     sums = score(marked.select("rid", "seed", "text"), weights)
     n = F.coalesce(F.col("n") / F.col("copies") - 1, F.lit(0)).cast("long")
-    rows = marked.select("doc_id", "lang", "seed", "rid").join(sums, "rid", "left").join(F.broadcast(stats), "seed", "left")
+    rows = marked.select("doc_id", "lang", "seed", "rid").join(sums, "rid", "left").join(small_side(stats, stats.count(), BROADCAST_ROWS), "seed", "left")
     rows = rows.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-(F.col("total") / F.col("n") + F.col("unknown")))))
     rows = rows.select("doc_id", "lang", F.greatest(n, F.lit(0)).alias("n_words"), "perplexity")
     rows = rows.join(known, is_trusted, "left")
@@ -341,8 +385,8 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.percentile_approx(F.expr("CASE WHEN _sets THEN perplexity END"), F.lit(HIGH_QUANTILE), F.lit(10_000)).alias("high"),
     )
     pooled = bounds().first()
-    # a row for each language
-    judged = scored.join(F.broadcast(bounds("lang")), "lang", "left")
+    by_language = written(bounds("lang"), "quantiles")
+    judged = scored.join(small_side(by_language, by_language.count(), BROADCAST_ROWS), "lang", "left")
     low, high = (F.coalesce(F.col(c), F.lit(pooled[c]).cast("double")) for c in ("low", "high"))
     inside = F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return judged.select("doc_id", "lang", "n_words", "perplexity", low.alias("low"), high.alias("high")).withColumn(
