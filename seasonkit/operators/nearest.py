@@ -300,7 +300,8 @@ def nearest_neighbour(
     if tree.depth:
         pts, sizes, boxes = label_points(pts, tree, dim)
     else:
-        pts, sizes, boxes = pts.withColumn("cell", F.lit(0).cast("long")), {0: n}, None
+        # 0 for every row, but no literal: the planner would drop the join's key and plan a nested loop
+        pts, sizes, boxes = pts.withColumn("cell", F.pmod(F.xxhash64("x"), F.lit(1).cast("long"))), {0: n}, None
     tree_sent = spark.sparkContext.broadcast(tree)
 
     q = test.select(*key_names, _vec(features, key_names).alias("q"))
@@ -318,7 +319,8 @@ def nearest_neighbour(
 
     if not tree.depth:
         zero = F.lit(0).cast("long")
-        result = best_of(searched(q.withColumns({"own": zero, "bound": F.lit(float("inf")), "cell": zero})))
+        cell = F.pmod(F.xxhash64("q"), F.lit(1).cast("long"))
+        result = best_of(searched(q.withColumns({"own": zero, "bound": F.lit(float("inf")), "cell": cell})))
     else:
         boxes_sent = spark.sparkContext.broadcast((boxes, frozenset(sizes)))
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import required
 from ..operators.evaluate import best_per_model, report_at_cutoffs, threshold_sweep
 from ..schema import THRESHOLDS
+from ..session import materialize
 from .scores import score_rows
 
 #: The variance floor of Gaussian naive Bayes, as a share of the largest variance.
@@ -103,4 +104,6 @@ def chosen_cutoffs(validation: DataFrame, thresholds: Sequence[float] = THRESHOL
 
 def validated_report(validation: DataFrame, test_scores: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
     """Classification report on the test rows at cut-offs chosen on the validation rows."""
-    return report_at_cutoffs(test_scores, chosen_cutoffs(validation, thresholds))
+    # both written, as score tables are: a plan that knows the only model's name would drop the join's key
+    cutoffs = materialize(chosen_cutoffs(validation, thresholds), "cutoffs")
+    return report_at_cutoffs(materialize(test_scores, "test-scores"), cutoffs)
