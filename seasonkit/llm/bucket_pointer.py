@@ -1,10 +1,11 @@
 """Exact removal of repeated byte strings, by refining buckets of q-grams.
 
 A byte goes when it is covered by a ``LENGTH``-byte string that also starts in a document with a
-smaller id. As in bucket-pointer refinement of a suffix array, positions are first put into buckets
-by a short q-gram, buckets of one document are settled at once, and the others are refined by what
-stands at other offsets, until positions of one bucket agree in all ``LENGTH`` bytes. Identifiers
-found once are used for all further offsets:
+smaller id. By bucket-pointer refinement (Schürmann & Stoye 2005), cut down to what repeats need: positions are
+first put into buckets by a short q-gram, buckets of one document are settled at once, and the others are
+refined by the bucket pointers of other offsets, each found from the one before, until positions of one bucket agree in all
+``LENGTH`` bytes. Not every position is bucketed and no whole order is kept: a round that sends every position to its bucket at a
+later offset moves some 12 bytes a byte of text, several times the disk there is. Instead:
 
 1. Buckets are made only for anchors: the positions whose 16-byte hash is the least of the 35
    in some ``LENGTH``-byte string. Equal strings have equal anchors, so no repeat is lost, and about
@@ -13,8 +14,9 @@ found once are used for all further offsets:
    get back a bit for each: held by more than one document or not. (``_shared_bits``)
 3. An anchor of a shared bucket goes to its shard with the 34 bytes on each side, once for each
    distinct such context of a block and with the block's least document holding it. Contexts
-   equal as a whole settle all strings through the anchor together; the others are refined
-   string by string: rolling identifiers at the 35 offsets, each with its least document. (``_refine``)
+   equal as a whole settle all strings through the anchor together; the others are refined: the bucket pointer of each side of
+   the anchor, one byte farther a step, refines that of the step before; the pair of the two sides' pointers is
+   the bucket of a string, and each bucket has its least document. (``_refine``)
 4. Every block gets, for each context it sent, a bit for each of the 35 strings through it: starts in a
    smaller document or not, and marks the bytes. (``_marked``)
 
@@ -23,8 +25,8 @@ moves is packed identifiers, contexts of shared buckets, and bits. Shards grow i
 the text, so a task's share stays the same at any size. Block work is NumPy inside tasks.
 
 Identifiers are 64-bit hashes, of which 40 bits and the shard's number are compared in step 2 (a false
-hit there only costs work); strings count as equal when their bucket and their 64-bit rolling
-hash are.
+hit there only costs work). Contexts of one block count as equal when their 64-bit hashes are; strings of unlike
+contexts are compared byte by byte through their pointers.
 
 Defined cases: a null text has no bytes; texts under 50 bytes lose nothing; rows with one id are one
 document for the rule (none removes from another) but get a result each; a null id is larger than
@@ -43,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path
+from ..session import materialize, own_table, scratch_path
 from .shingles import mix
 
 LENGTH, Q = 50, 16
@@ -52,6 +54,8 @@ OFFSETS = SIDE + 1
 WIDTH = 2 * SIDE + Q
 BLOCK_BYTES = 2_000_000
 SHARD_BYTES = 8_000_000
+#: Contexts refined together: their pointers take 280 bytes each.
+TOGETHER = 20_000
 #: A byte that UTF-8 text never holds: it ends every document.
 END = 0xFF
 NO_ID = np.iinfo(np.int64).max
@@ -104,8 +108,9 @@ def _written_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     path = scratch_path(spark, "text-blocks")
     name = f"text_blocks_{path.rsplit('-', 1)[-1]}"
-    buckets = max(4, min(10_000, math.ceil(total / (8 * BLOCK_BYTES))))
-    blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    # as many as Spark allows by default; beyond that a task streams more blocks, one at a time
+    buckets = max(4, min(100_000, math.ceil(total / (8 * BLOCK_BYTES))))
+    blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(own_table(spark, name))
     return spark.table(name), total
 
 
@@ -244,25 +249,46 @@ def _block_contexts(row, shards: int):
     return joined, ends, ids, at, doc, context, h[first], doc[first], at[first]
 
 
-def _windows_repeated(h: np.ndarray, context: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _side_pointers(bucket: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """(rows, SIDE + 1): the bucket of each row after 0, 1, ... ``SIDE`` bytes of ``side``, one byte farther from the anchor each.
+
+    One sort orders the rows of every bucket by all their bytes; how far neighbours agree then tells the buckets of
+    every length, each a refinement of the one before.
+    """
+    wide = np.zeros((len(side), -(-SIDE // 8) * 8), dtype=np.uint8)
+    wide[:, :SIDE] = side
+    words = wide.view(">u8").astype(np.uint64)
+    order = np.lexsort((*words.T[::-1], bucket))
+    differ = side[order][1:] != side[order][:-1]
+    agree = np.where(differ.any(axis=1), differ.argmax(axis=1), SIDE)
+    agree[bucket[order][1:] != bucket[order][:-1]] = -1
+    out = np.zeros((len(side), OFFSETS), dtype=np.uint32)
+    out[order[1:]] = np.cumsum(agree[:, None] < np.arange(OFFSETS)[None], axis=0, dtype=np.uint32)
+    return out
+
+
+def _windows_repeated(context: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """For each context a bit for each of its strings: also starts in a smaller document.
 
-    Contexts come sorted by bucket identifier ``h``.
+    Contexts start in the buckets of their anchors' q-grams. A string ``s`` bytes into its context reaches ``SIDE - s`` bytes
+    to the anchor's left and ``s`` to its right, so its bucket is the pair of the pointers of these two sides.
     """
-    out = np.zeros(len(h), dtype=np.uint64)
+    out = np.zeros(len(context), dtype=np.uint64)
+    if not len(context):
+        return out
+    grams = np.ascontiguousarray(context[:, SIDE : SIDE + Q]).view(np.uint64)
+    order = np.lexsort(grams.T)
+    bucket = np.zeros(len(context), dtype=np.int64)
+    bucket[order[1:]] = np.cumsum((grams[order][1:] != grams[order][:-1]).any(axis=1))
+    left = _side_pointers(bucket, context[:, :SIDE][:, ::-1])
+    right = _side_pointers(bucket, context[:, SIDE + Q :])
     pad_left = (context[:, :SIDE] == END).sum(axis=1)
     pad_right = (context[:, SIDE + Q :] == END).sum(axis=1)
-    base, power = np.uint64(_BASE), np.uint64(pow(_BASE, LENGTH - 1, 1 << 64))
-    value = np.zeros(len(h), dtype=np.uint64)
-    for j in range(LENGTH):
-        value = value * base + context[:, j] + np.uint64(1)
     for s in range(OFFSETS):
-        if s:
-            value = (value - (context[:, s - 1] + np.uint64(1)) * power) * base + context[:, s + LENGTH - 1] + np.uint64(1)
         fits = np.flatnonzero((pad_left <= s) & (s + LENGTH <= WIDTH - pad_right))
         if not len(fits):
             continue
-        name = mix(h[fits] ^ mix(value[fits]))
+        name = left[fits, SIDE - s].astype(np.uint64) << np.uint64(32) | right[fits, s]
         order = np.lexsort((doc[fits], name))
         new = np.ones(len(order), dtype=bool)
         new[1:] = name[order][1:] != name[order][:-1]
@@ -281,12 +307,12 @@ def _refine(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(h, kind="stable")
     starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
     masks = np.zeros(len(h), dtype=np.uint64)
-    # whole buckets, about 100,000 contexts at a time
+    # whole buckets, about ``TOGETHER`` contexts at a time
     at, ends = 0, np.append(starts[1:], len(h))
     while at < len(order):
-        to = ends[min(np.searchsorted(ends, at + 100_000), len(ends) - 1)]
+        to = ends[min(np.searchsorted(ends, at + TOGETHER), len(ends) - 1)]
         rows = order[at:to]
-        masks[rows] = _windows_repeated(h[rows], context[rows], doc[rows])
+        masks[rows] = _windows_repeated(context[rows], doc[rows])
         at = to
     cut = np.split(masks, np.cumsum(sizes)[:-1])
     return pdf[["block", "shard", "n"]].assign(masks=[_pack(m) for m in cut])
