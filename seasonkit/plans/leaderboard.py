@@ -49,7 +49,7 @@ PCA_NAMES = {
     "adaboost": "Adaboost-PCA",
     "gbt": "Gradient Boosting-PCA",
 }
-SLOW_RANK = {"adaboost": 0, "gbt": 1, "svm": 2, "kernel_svm": 3, "random_forest": 4, "mlp": 5, "logit": 6}
+SLOW_RANK = {"gbt": 0, "kernel_svm": 1, "mlp": 2, "adaboost": 3, "svm": 4, "random_forest": 5, "knn": 6}
 ORDER = {name: i + 1 for i, (name, _) in enumerate(MODEL_CUTOFFS)}
 
 
