@@ -8,10 +8,11 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 from functools import wraps
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
@@ -110,8 +111,9 @@ def _of_session(spark: SparkSession) -> WrittenTables:
         _SESSIONS[app] = WrittenTables(spark)
 
         def end() -> None:
-            if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-                _SESSIONS[app].release()
+            with suppress(Py4JError, OSError):  # the session may have ended already
+                if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+                    _SESSIONS[app].release()
 
         atexit.register(end)
     return _SESSIONS[app]
