@@ -67,6 +67,27 @@ def test_sums_do_not_depend_on_partitions(spark, noisy):
     assert np.allclose(a.weights, b.weights, rtol=1e-6) and a.intercept == pytest.approx(b.intercept, rel=1e-6)
 
 
+def test_wide_systems_are_solved_in_tasks(spark, monkeypatch):
+    """What a step of six models sends to the driver is a few vectors a model, not their Hessians task by task; the fit is the same."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 90))
+    rows = rows_of(spark, x, (x[:, 0] + rng.normal(size=300) > 0).astype(float), 9)
+    frame, sent = type(rows), []
+    collect = frame.collect
+
+    def counted(self):
+        got = collect(self)
+        sent.append(sum(len(v) for r in got for v in r if isinstance(v, bytes | bytearray)))
+        return got
+
+    monkeypatch.setattr(frame, "collect", counted)
+    apart = newton.fit_linear(rows, 90, "hinge", folds=5)
+    assert max(sent) <= 6 * (3 + 2 * 91) * 8
+    monkeypatch.setattr(newton, "block_sums", lambda r, fn, m, size, end: np.stack([end(k, v) for k, v in enumerate(newton.tree_sum(r, fn, m * size).reshape(m, size))]))
+    for a, b in zip(apart, newton.fit_linear(rows, 90, "hinge", folds=5), strict=True):
+        assert np.allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12) and a.steps == b.steps
+
+
 def test_a_fit_that_ends_at_its_limit_fails(spark, noisy):
     for loss in ("logistic", "hinge"):
         with pytest.raises(newton.NotConverged, match=loss):
