@@ -9,9 +9,9 @@ task. The class histogram at every value is a running sum over the sorted values
 whole attribute: quantile buckets first, values within a bucket second. The best cut is a ``max`` aggregate; one row a
 node reaches the driver. A row's node is found by walking the open tree, so rows are never rewritten.
 
-**Small nodes.** Rows go to the task of their (tree, node), at most ``local_rows`` each, where NumPy sorts all attributes at once. The
+**Small nodes.** Rows go to the task of their (tree, node), at most ``local_rows`` each, where NumPy cuts all nodes of a level at once. The
 packed subtree is one row of the model's table, so a model may be larger than any one machine. Scoring broadcasts the
-subtrees up to ``BROADCAST`` bytes; beyond that rows meet their subtree in a cogroup, in chunks.
+subtrees up to ``BROADCAST`` bytes; beyond that chunks of rows meet groups of subtrees in a cogroup, each answering by one sum a row.
 
 **Forests.** Each tree weights each row by a Poisson(1) draw from the hash of (row key, tree, seed) (Oza & Russell 2001), and looks for each node's cut among
 ``subset`` attributes ranked by the hash of (seed, tree, node); where none of them can cut, the others follow. Weights, attributes and class
@@ -36,12 +36,12 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .sums import matrix
 
-LOCAL_ROWS = 1 << 16
+LOCAL_ROWS = 1 << 19
 BUCKETS = 256
-#: Bytes of packed subtrees that are broadcast for scoring.
-BROADCAST = 1 << 26
-#: Rows that meet one subtree in one task, beyond that.
-CHUNK = 1 << 16
+#: Bytes of packed subtrees that are broadcast for scoring, and that meet a chunk of rows in one task beyond that.
+BROADCAST = 1 << 25
+#: Rows of a chunk, about.
+CHUNK = 1 << 18
 LEAF, OPEN, SMALL = 0, 1, 2
 
 
@@ -116,53 +116,84 @@ def middle(a, b):
     return np.where(m < b, m, a)
 
 
-def _cut(x: np.ndarray, t: np.ndarray, w: np.ndarray) -> tuple[int, float] | None:
-    """(column, threshold) of the best cut of these rows, None where no column has two values."""
-    order = np.argsort(x, axis=0, kind="stable")
-    xs = np.take_along_axis(x, order, axis=0)
-    n, p = np.cumsum(w[order], axis=0), np.cumsum((w * t)[order], axis=0)
-    ok = xs[:-1] < xs[1:]
-    if not ok.any():
-        return None
-    ln, lp = n[:-1], p[:-1]
-    rn, rp = n[-1] - ln, p[-1] - lp
-    gain = np.where(ok, lp * lp / ln + rp * rp / rn, -np.inf)
-    best = gain.max(axis=0)
-    f = int(best.argmax())
-    i = int(gain[:, f].argmax())
-    return f, float(middle(xs[i, f], xs[i + 1, f]))
+def _ranked_all(dim: int, subset: int, seed: int, tree: int, paths: np.ndarray) -> np.ndarray:
+    """``ranked`` of every path, a row each."""
+    if subset >= dim:
+        return np.tile(np.arange(dim), (len(paths), 1))
+    at = mix(np.uint64(seeded(seed + 1, tree)) ^ paths)
+    return np.argsort(mix(np.arange(dim).astype(np.uint64)[None] ^ at[:, None]), axis=1, kind="stable")
+
+
+def _cuts(x: np.ndarray, w: np.ndarray, wt: np.ndarray, rows: np.ndarray, first: np.ndarray, columns: np.ndarray):
+    """For each node, whose ``rows`` begin at ``first`` (none is empty): (gain, column, threshold) of the best cut on its own
+    ``columns``; the gain is -inf where none of them has two values."""
+    many = len(first)
+    node = np.repeat(np.arange(many), np.diff(np.append(first, len(rows))))
+    last = np.append(first[1:], len(rows)) - 1
+    best, feature, threshold = np.full(many, -np.inf), np.full(many, -1), np.zeros(many)
+    for j in range(columns.shape[1]):
+        v = x[rows, columns[node, j]]
+        order = np.lexsort((v, node))
+        v, at = v[order], rows[order]
+        n, p = np.cumsum(w[at]), np.cumsum(wt[at])  # integers: exact
+        n0, p0 = n[first] - w[at[first]], p[first] - wt[at[first]]
+        i = np.flatnonzero((v[:-1] < v[1:]) & (node[:-1] == node[1:]))
+        if not len(i):
+            continue
+        of = node[i]
+        ln, lp = n[i] - n0[of], p[i] - p0[of]
+        rn, rp = n[last][of] - n[i], p[last][of] - p[i]
+        gain = lp * lp / ln + rp * rp / rn
+        start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        top = np.maximum.reduceat(gain, start)
+        where = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(start, len(i)))))
+        where = where[np.append(True, of[where[1:]] != of[where[:-1]])]  # the lowest of equally good cuts
+        better = top > best[of[start]]
+        where, k = where[better], of[start][better]
+        best[k], feature[k], threshold[k] = gain[where], columns[k, j], middle(v[i[where]], v[i[where] + 1])
+    return best, feature, threshold
 
 
 def grow(x: np.ndarray, t: np.ndarray, w: np.ndarray, subset: int, seed: int, tree: int, path: int) -> Nodes:
-    """The whole tree over these rows, pure or uncuttable at every leaf."""
-    dim = x.shape[1]
-    feature, threshold, left, right, value = [], [], [], [], []
-
-    def new() -> int:
-        for a, v in ((feature, -1), (threshold, 0.0), (left, -1), (right, -1), (value, 0.0)):
-            a.append(v)
-        return len(feature) - 1
-
-    stack = [(new(), np.arange(len(x)), path)]
-    while stack:
-        node, rows, at = stack.pop()
-        n, p = w[rows].sum(), (w[rows] * t[rows]).sum()
-        value[node] = p / n if n else 0.0
-        if p <= 0 or p >= n:
-            continue
-        tried, found, columns = ranked(dim, subset, seed, tree, at), None, None
+    """The whole tree over these rows, pure or uncuttable at every leaf: all nodes of a level together."""
+    dim, wt = x.shape[1], w * t
+    levels: list[tuple[np.ndarray, ...]] = []
+    rows, first, paths, size = np.arange(len(x)), np.zeros(1, dtype=np.int64), np.array([path], dtype=np.uint64), 1
+    while len(first):
+        many = len(first)
+        n, p = np.add.reduceat(w[rows], first), np.add.reduceat(wt[rows], first)
+        feature, threshold = np.full(many, -1), np.zeros(many)
+        left, right = np.full(many, -1), np.full(many, -1)
+        counts = np.diff(np.append(first, len(rows)))
+        # rows of the nodes that are still looking for a cut, and where each node's begin
+        asked = np.flatnonzero((p > 0) & (p < n))
+        tried = _ranked_all(dim, subset, seed, tree, paths[asked])
         for k in range(0, dim, subset):
-            columns = np.sort(tried[k : k + subset])
-            found = _cut(x[np.ix_(rows, columns)], t[rows], w[rows])
-            if found is not None:
+            if not len(asked):
                 break
-        if found is None:
-            continue
-        f, cut = int(columns[found[0]]), found[1]
-        goes = x[rows, f] <= cut
-        feature[node], threshold[node], left[node], right[node] = f, cut, new(), new()
-        stack += [(right[node], rows[~goes], child_path(at, 1)), (left[node], rows[goes], child_path(at, 0))]
-    return Nodes(*(np.array(a) for a in (feature, threshold, left, right, value)))
+            here = np.zeros(many, dtype=bool)
+            here[asked] = True
+            begin = np.append(0, np.cumsum(counts[asked])[:-1])
+            gain, f, cut = _cuts(x, w, wt, rows[np.repeat(here, counts)], begin, np.sort(tried[:, k : k + subset], axis=1))
+            found = gain > -np.inf
+            feature[asked[found]], threshold[asked[found]] = f[found], cut[found]
+            asked, tried = asked[~found], tried[~found]
+        cutting = np.flatnonzero(feature >= 0)
+        left[cutting] = size + 2 * np.arange(len(cutting))
+        right[cutting] = left[cutting] + 1
+        levels.append((feature, threshold, left, right, p / n))
+        size += 2 * len(cutting)
+        node = np.repeat(np.arange(many), counts)
+        inner = feature[node] >= 0
+        rows, node = rows[inner], node[inner]
+        goes = x[rows, feature[node]] > threshold[node]
+        child = left[node] + goes
+        order = np.argsort(child, kind="stable")
+        rows, child = rows[order], child[order]
+        first = np.flatnonzero(np.append(True, child[1:] != child[:-1])) if len(rows) else np.zeros(0, dtype=np.int64)
+        base = mix(paths[cutting])
+        paths = np.column_stack([mix(base), mix(base ^ np.uint64(1))]).ravel()
+    return Nodes(*(np.concatenate(a) for a in zip(*levels, strict=True)))
 
 
 @dataclass
@@ -230,30 +261,47 @@ class Trees:
 
             return asked.mapInArrow(whole, T.StructType([*key_fields, T.StructField("p1", T.DoubleType())]))
 
-        def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                x = np.stack(b["_x"].to_numpy()) if len(b) else np.zeros((0, dim))
+        # rows in chunks meet the subtrees in groups of about BROADCAST bytes: a row travels once a group, not once a tree
+        sizes = self.subtrees.select("tree", "node", F.octet_length("nodes").alias("bytes")).orderBy("tree", "node").collect()  # one row a subtree
+        ends = np.cumsum([r["bytes"] for r in sizes])
+        numbers = np.unique((ends - 1) // max(1, BROADCAST), return_inverse=True)[1].tolist()
+        groups = max(numbers) + 1
+        member = spark.createDataFrame([(r["tree"], r["node"], g) for r, g in zip(sizes, numbers, strict=True)], "tree int, node int, group int")
+        mine: list[list[tuple[int, int]]] = [[] for _ in range(groups)]
+        for r, g in zip(sizes, numbers, strict=True):
+            mine[g].append((r["tree"], r["node"]))
+        mine_sent = spark.sparkContext.broadcast(mine)
+        asked = materialize(asked, "tree-asked")
+        chunks = max(1, -(-asked.count() // CHUNK))
+        every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+        ask = asked.withColumn("chunk", F.pmod(F.xxhash64(*keys), F.lit(chunks)).cast("int")).withColumn("group", every(groups))
+        have = self.subtrees.join(F.broadcast(member), ["tree", "node"]).withColumn("chunk", every(chunks))
+
+        def answer(qs: pa.Table, subs: pa.Table) -> pa.Table:
+            """The sum over the group's subtrees of what the rows that reach them get; the first group adds the leaves above all subtrees."""
+            x = matrix(qs.column("_x").combine_chunks(), dim)
+            total = np.zeros(len(x))
+            if len(x):
+                group = qs.column("group")[0].as_py()
+                where = {k: i for i, k in enumerate(zip(subs.column("tree").to_pylist(), subs.column("node").to_pylist(), strict=True))}
+                by_tree: dict[int, list[int]] = {}
+                for k, node in mine_sent.value[group]:
+                    by_tree.setdefault(k, []).append(node)
                 for k, (nodes, state) in enumerate(tops.value):
+                    if group and k not in by_tree:
+                        continue
                     at = nodes.walk(x)
-                    yield b.assign(tree=k, node=np.where(state[at] == SMALL, at, -1), p=nodes.value[at])
-
-        more = [T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()), T.StructField("p", T.DoubleType())]
-        routes = materialize(asked.mapInPandas(routed, T.StructType([*asked.schema.fields, *more])), "tree-routes")
-        chunks = routes.filter("node >= 0").groupBy("tree", "node").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(CHUNK))).cast("int").alias("chunks"))
-        chunk = F.pmod(F.xxhash64(*keys), F.col("chunks")).cast("int")
-        ask = routes.join(chunks, ["tree", "node"]).withColumn("chunk", chunk).select(*keys, "_x", "tree", "node", "chunk")
-        have = self.subtrees.join(chunks, ["tree", "node"]).select("tree", "node", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "nodes")
-
-        def answer(qs: pd.DataFrame, subs: pd.DataFrame) -> pd.DataFrame:
-            if subs.empty:
-                return qs[list(keys)].assign(p=0.0)
-            sub = Nodes.unpacked(subs["nodes"].iloc[0])
-            return qs[list(keys)].assign(p=sub.value[sub.walk(np.stack(qs["_x"].to_numpy()))])
+                    if not group:
+                        total += np.where(state[at] == SMALL, 0.0, nodes.value[at])
+                    for node in by_tree.get(k, ()):
+                        rows = np.flatnonzero(at == node)
+                        sub = Nodes.unpacked(subs.column("nodes")[where[k, node]].as_buffer())
+                        total[rows] += sub.value[sub.walk(x[rows])]
+            return pa.table([*(qs.column(k) for k in keys), pa.array(total)], [*keys, "p"])
 
-        group = ["tree", "node", "chunk"]
-        found = ask.groupBy(*group).cogroup(have.groupBy(*group)).applyInPandas(answer, T.StructType([*key_fields, T.StructField("p", T.DoubleType())]))
-        every = routes.filter("node < 0").select(*keys, "p").unionByName(found)
-        return every.groupBy(*keys).agg((F.sum("p") / F.lit(len(self.tops))).alias("p1"))
+        meet = ["group", "chunk"]
+        found = ask.groupBy(*meet).cogroup(have.groupBy(*meet)).applyInArrow(answer, T.StructType([*key_fields, T.StructField("p", T.DoubleType())]))
+        return found.groupBy(*keys).agg((F.sum("p") / F.lit(len(self.tops))).alias("p1"))
 
 
 def _histograms(rows: DataFrame, tops: list[Top], dim: int, bounds: list[np.ndarray], weigh, subset: int, seed: int) -> DataFrame:
@@ -362,21 +410,24 @@ def fit_trees(
     sent = spark.sparkContext.broadcast([(t.nodes(), np.array(t.state)) for t in tops])
     paths = spark.sparkContext.broadcast([t.path for t in tops])
 
-    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.stack(b["x"].to_numpy()) if len(b) else np.zeros((0, dim))
+            x, rid = matrix(b.column(1), dim), b.column(0).to_numpy(zero_copy_only=False)
             for k, (nodes, state) in enumerate(sent.value):
-                w, at = weigh(b["rid"].to_numpy(), k), nodes.walk(x)
-                mine = (state[at] == SMALL) & (w > 0)
-                yield b[mine].assign(tree=k, node=at[mine], w=w[mine])
+                w, at = weigh(rid, k), nodes.walk(x)
+                mine = np.flatnonzero((state[at] == SMALL) & (w > 0))
+                if len(mine):
+                    place = [pa.array(np.full(len(mine), k, dtype=np.int32)), pa.array(at[mine].astype(np.int32)), pa.array(w[mine])]
+                    yield pa.RecordBatch.from_arrays([*b.take(pa.array(mine)).columns, *place], ["rid", "x", "t", "tree", "node", "w"])
 
-    def subtree(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def subtree(key: tuple, part: pa.Table) -> pa.Table:
         """At most about ``local_rows`` rows. Sorted, so that equal sums are equal to the last bit."""
-        tree, node = int(key[0]), int(key[1])
-        part = part.sort_values("rid", kind="mergesort")
-        grown = grow(np.stack(part["x"].to_numpy()), part["t"].to_numpy(), part["w"].to_numpy(), subset, seed, tree, paths.value[tree][node])
-        return pd.DataFrame({"tree": [tree], "node": [node], "nodes": [grown.packed()]})
-
-    small = rows.select("rid", "x", "t").mapInPandas(dealt, "rid long, x array<double>, t double, tree int, node int, w double")
-    subtrees = small.groupBy("tree", "node").applyInPandas(subtree, "tree int, node int, nodes binary")
+        tree, node = key[0].as_py(), key[1].as_py()
+        part = part.take(pa.array(np.argsort(part.column("rid").to_numpy(), kind="stable"))).combine_chunks()
+        x = matrix(part.column("x").chunk(0), dim)
+        grown = grow(x, part.column("t").to_numpy(), part.column("w").to_numpy(), subset, seed, tree, paths.value[tree][node])
+        return pa.table([pa.array([tree], pa.int32()), pa.array([node], pa.int32()), pa.array([grown.packed()], pa.binary())], ["tree", "node", "nodes"])
+
+    small = rows.select("rid", "x", "t").mapInArrow(dealt, "rid long, x array<double>, t double, tree int, node int, w double")
+    subtrees = small.groupBy("tree", "node").applyInArrow(subtree, "tree int, node int, nodes binary")
     return Trees(tops, materialize(subtrees, "subtrees"), dim)

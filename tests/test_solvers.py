@@ -229,6 +229,32 @@ def test_forest_does_not_depend_on_the_layout(spark, monkeypatch):
     assert np.allclose(tree_scores(spark, fit_one(4, 60), x), first)
 
 
+def test_nodes_of_a_level_are_cut_together(monkeypatch):
+    """A level of a tree is a few NumPy passes, however many nodes it has."""
+    rng = np.random.default_rng(9)
+    x, t = rng.normal(size=(3000, 4)), rng.integers(0, 2, 3000).astype(float)
+    calls, cuts = [], exact_trees._cuts
+    monkeypatch.setattr(exact_trees, "_cuts", lambda *a: calls.append(len(a[4])) or cuts(*a))
+    tree = exact_trees.grow(x, t, np.ones(3000), 2, 1, 0, 5)
+    assert (tree.value[tree.walk(x)] == t).all()
+    assert sum(calls) > 500 and len(calls) < 100
+
+
+def test_scoring_a_large_forest_sends_a_row_once_a_group(spark, monkeypatch):
+    """Beyond the broadcast, rows meet groups of trees: nothing written or added up has a row for each row and tree."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(300, 3))
+    t = (x[:, 0] + rng.normal(size=300) > 0).astype(float)
+    trees = exact_trees.fit_trees(tree_rows(spark, x, t, 4), 3, 20, 2, True, 1)
+    first = tree_scores(spark, trees, x)
+    bytes_ = trees.subtrees.agg(F.sum(F.octet_length("nodes"))).first()[0]
+    monkeypatch.setattr(exact_trees, "BROADCAST", bytes_ // 2)
+    written, write = [], exact_trees.materialize
+    monkeypatch.setattr(exact_trees, "materialize", lambda df, name="table": written.append((got := write(df, name)).count()) or got)
+    assert np.allclose(tree_scores(spark, trees, x), first)
+    assert all(n <= 300 for n in written)
+
+
 # --- boosting ---
 
 
