@@ -20,11 +20,12 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.sums import matrix
 from ..session import materialize
 from .nearest import Tree, _matrix, _vec, best_found, distinct_points, nearest_neighbour, search_cells
 
@@ -33,6 +34,8 @@ SAMPLE = 1 << 11
 #: Points that a key should bring together with a query, about, all tables taken together.
 MEET = 512
 MOST_TABLES = 64
+#: Rows whose keys in all tables are computed at once.
+PIECE = 256
 
 
 def collision(distance: np.ndarray | float, width: float) -> np.ndarray:
@@ -103,32 +106,35 @@ def approximate_neighbour(
         mixed = (steps * odd[None]).sum(axis=2, dtype=np.uint64) + np.arange(1, len(odd) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed ^ (mixed >> np.uint64(31))).view(np.int64)
 
-    def dealt(column: str):
-        def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if len(b):
-                    cell = keys(_matrix(b[column], dim))
-                    out = b.iloc[np.repeat(np.arange(len(b)), cell.shape[1])].reset_index(drop=True)
-                    yield out.assign(cell=cell.ravel(), first=np.tile(np.arange(cell.shape[1]) == 0, len(b)))
+    def dealt(at: int):
+        def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                # a batch's keys and copies are many times the batch: a piece of it at a time
+                for start in range(0, whole.num_rows, PIECE):
+                    b = whole.slice(start, PIECE)
+                    cell = keys(matrix(b.column(at), dim))
+                    out = b.take(pa.array(np.repeat(np.arange(b.num_rows), cell.shape[1])))
+                    first = np.tile(np.arange(cell.shape[1]) == 0, b.num_rows)
+                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cell.ravel()), pa.array(first)], [*b.schema.names, "cell", "first"])
 
         return fn
 
     placed = [T.StructField("cell", T.LongType()), T.StructField("first", T.BooleanType())]
-    points = materialize(pts.mapInPandas(dealt("x"), T.StructType([*pts.schema.fields, *placed])), "lsh-points").drop("first")
-    asked = materialize(q.mapInPandas(dealt("q"), T.StructType([*q.schema.fields, *placed])), "lsh-queries")
+    points = materialize(pts.mapInArrow(dealt(pts.columns.index("x")), T.StructType([*pts.schema.fields, *placed])), "lsh-points").drop("first")
+    asked = materialize(q.mapInArrow(dealt(q.columns.index("q")), T.StructType([*q.schema.fields, *placed])), "lsh-queries")
     asked = asked.withColumn("own", F.lit(0).cast("long"))
     blocks = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_points))).cast("int").alias("blocks"))
     axes = np.linalg.eigh((x - mean).T @ (x - mean))[1] if len(x) else np.eye(dim)
     tree = spark.sparkContext.broadcast(Tree(mean, axes, 0, np.zeros(1, dtype=np.int64), np.zeros(1)))
-    search = lambda a: search_cells(a, points, blocks, tree, tk_names, key_names, dim, leaf_size, query_chunk)
+    search = lambda a: search_cells(a, points, blocks, tree, tk_names, key_names, dim, leaf_size, query_chunk, few=False)
     inf = F.lit(float("inf"))
     once = materialize(best_found(search(asked.filter("first").withColumn("bound", inf)), tk_names, key_names), "lsh-first")
     bound = once.select(*key_names, F.col("d2").alias("bound"))
-    again = asked.filter("NOT first").join(bound, key_names, "left").withColumn("bound", F.coalesce("bound", inf))
+    again = asked.filter("NOT first").join(bound.hint("merge"), key_names, "left").withColumn("bound", F.coalesce("bound", inf))
     found = best_found(once.unionByName(search(again)), tk_names, key_names)
     found = materialize(found.filter("d2 < double('infinity')"), "lsh-found")
     result = found.select(*key_names, F.col("y").alias("nn_label"), F.sqrt("d2").alias("nn_dist"), F.col("checked").alias("nn_checked"))
-    lost = test.join(found.select(*key_names), key_names, "left_anti")
+    lost = test.join(found.select(*key_names).hint("merge"), key_names, "left_anti")
     exact = nearest_neighbour(train, lost, features, label, train_keys, key_names, leaf_size, query_chunk, counts=True)
     both = result.unionByName(exact)
     return both if counts else both.drop("nn_checked")
