@@ -154,3 +154,27 @@ def test_collision_probability():
     a, b = rng.normal(size=50_000), rng.uniform(0, 3, 50_000)
     met = np.floor(b / 3.0) == np.floor((b + 1.5 * a) / 3.0)
     assert lsh.collision(1.5, 3.0) == pytest.approx(met.mean(), abs=0.01)
+
+
+def test_joins_back_to_rows_are_not_broadcast(spark):
+    """A row for each scored row, and points and queries, never pass through the driver; the few cells may."""
+    from seasonkit.plans.learners import fit
+
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, float(a), float(b), float(a > 0)) for i, (a, b) in enumerate(rng.normal(size=(60, 2)))], "id long, f0 double, f1 double, label double")
+    for kind in ("knn", "cart"):
+        plan = fit(kind, rows, ["f0", "f1"], ["id"]).score(rows, ["id"])._jdf.queryExecution().executedPlan().toString()
+        ends = [line for line in plan.splitlines() if "Join" in line and "id#" in line]
+        assert ends and not any("Broadcast" in line for line in ends)
+
+
+def test_probing_keys_a_piece_at_a_time(spark, monkeypatch):
+    """What a task holds of the copies for all tables is bounded by ``PIECE`` rows; the answers are the same."""
+    from seasonkit.operators import lsh
+
+    rng = np.random.default_rng(4)
+    train = spark.createDataFrame([(i, float(a), float(b), 1.0) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))], "id long, f0 double, f1 double, label double")
+    ask = lambda: {r.id: r.nn_dist for r in approximate_neighbour(train, train, ["f0", "f1"], "label", ["id"], ["id"]).collect()}
+    whole = ask()
+    monkeypatch.setattr(lsh, "PIECE", 7)
+    assert ask() == whole and set(whole.values()) == {0.0}
