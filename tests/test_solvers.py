@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seasonkit.catalog import split_seasons
-from seasonkit.plans import boosted_trees, exact_trees, newton, nystroem, perceptron
+from seasonkit.plans import boosted_stumps, boosted_trees, exact_trees, newton, nystroem, perceptron, sums
 from seasonkit.plans.learners import Settings, design, fit, fit_calibrated_svm
 from seasonkit.schema import FEATURES
 
@@ -88,6 +88,36 @@ def test_wide_systems_are_solved_in_tasks(spark, monkeypatch):
         assert np.allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12) and a.steps == b.steps
 
 
+def test_a_table_is_planned_once_for_its_sums(spark, monkeypatch):
+    """Each step is a job over the table planned before; one task reads a small table, and many tasks send one vector in all."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 3))
+    rows = rows_of(spark, x, np.zeros(500), 6).select("x")
+    frame, planned, sent = type(rows), [], []
+    plan, collect = frame.mapInArrow, sums.RDD.collect
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: planned.append(1) or plan(self, *a, **k))
+
+    def counted(self):
+        got = collect(self)
+        sent.append(sum(len(v[1]) for v in got))
+        return got
+
+    wide = lambda b: np.tile(sums.matrix(b.column(0), 3).sum(axis=0), 10_000)
+    for packed, tasks in ((sums.PACKED, 1), (1 << 8, 6)):
+        monkeypatch.setattr(sums, "PACKED", packed)
+        table = rows.select("x")
+        planned.clear()
+        for size in (3, 30_000, 30_000):
+            monkeypatch.setattr(sums.RDD, "collect", counted)
+            sent.clear()
+            assert np.allclose(sums.tree_sum(table, wide if size > 3 else lambda b: sums.matrix(b.column(0), 3).sum(axis=0), size), np.tile(x.sum(axis=0), size // 3))
+            assert size == 3 or sent[-1] == size * 8
+            monkeypatch.setattr(sums.RDD, "collect", collect)
+        ends = sums.block_sums(table, wide, 3, 10_000, lambda k, v: np.array([k, v.sum()]))
+        assert ends.shape == (3, 2) and ends[:, 1].sum() == pytest.approx(10_000 * x.sum()) and list(ends[:, 0]) == [0, 1, 2]
+        assert len(planned) == 1 and sums._batches(table)[1] == tasks
+
+
 def test_a_fit_that_ends_at_its_limit_fails(spark, noisy):
     for loss in ("logistic", "hinge"):
         with pytest.raises(newton.NotConverged, match=loss):
@@ -283,6 +313,28 @@ def test_boosting_of_one_class_is_the_share(spark):
     assert same.trees == [] and 1 / (1 + np.exp(-same.score(x)[0])) == pytest.approx(0.6)
 
 
+@pytest.mark.parametrize("algorithm", ["SAMME.R", "SAMME"])
+def test_boosted_stumps_reweigh_in_tasks(spark, monkeypatch, algorithm):
+    """Errors as a plain loop over the rows gives them, across rewrites; a round is a job over a table planned before."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 3)).round(1)
+    t = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=400) > 0).astype(float)
+    rows = spark.createDataFrame([(*map(float, r), float(y)) for r, y in zip(x, t, strict=True)], "a double, b double, c double, label double").repartition(4)
+    frame, planned = type(rows), []
+    plan = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: planned.append(1) or plan(self, *a, **k))
+    model = boosted_stumps.fit_boosted_stumps(rows, ["a", "b", "c"], 9, algorithm, checkpoint_every=4)
+    assert 1 <= len(planned) <= 5  # three tables, rewritten twice
+    w = np.full(400, 1 / 400)
+    for i, (st, err) in enumerate(zip(model.stumps, model.errors, strict=False)):
+        right = x[:, st.feature] > st.threshold
+        leaves = [[w[(right == s) & (t == c)].sum() / w.sum() for c in (0, 1)] for s in (False, True)]
+        assert err == pytest.approx(sum(map(min, leaves)))
+        lv, rv = model.values(i)
+        value = np.where(right, rv, lv)
+        w = w / w.sum() * (np.exp(-0.5 * (2 * t - 1) * value) if algorithm == "SAMME.R" else np.exp(model.alphas[i] * ((value > 0) != (t > 0))))
+
+
 # --- the layout of a table of more than 10,000 rows ---
 
 
