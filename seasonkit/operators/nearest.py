@@ -36,8 +36,10 @@ from ..session import materialize
 MAX_DEPTH = 12
 #: Points of the sample that places axes and splits, about.
 SAMPLE = 1 << 15
-#: Doubles of a NumPy work array, at most (32 MB).
-BLOCK_CELLS = 4_000_000
+#: Doubles of a NumPy work array, about (8 MB).
+BLOCK_CELLS = 1 << 20
+#: (query, cell) pairs that a task makes at once.
+PAIRS = 1 << 17
 #: Turned coordinates are rounded: boxes are compared with this much room, so no leaf is left out wrongly.
 ROOM = 1e-9
 
@@ -128,9 +130,14 @@ def label_points(points: DataFrame, tree: Tree, dim: int) -> tuple[DataFrame, di
 
 
 def _mindist(z: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distance of each point of ``z`` (q, d) to each box (l, d)."""
-    gap = np.maximum(np.maximum(low[None] - z[:, None], z[:, None] - high[None]), 0.0)
-    return (gap * gap).sum(-1)
+    """Squared distance of each point of ``z`` (q, d) to each box (l, d), a dimension at a time: what is held is q x l."""
+    out = np.zeros((len(z), len(low)))
+    for at, lowest, highest in zip(z.T, low.T, high.T, strict=True):
+        gap = np.maximum(lowest[None] - at[:, None], at[:, None] - highest[None])
+        np.maximum(gap, 0.0, out=gap)
+        gap *= gap
+        out += gap
+    return out
 
 
 def _room(best: np.ndarray, scale: float) -> np.ndarray:
@@ -181,7 +188,7 @@ def search_block(x: np.ndarray, z: np.ndarray, q: np.ndarray, zq: np.ndarray, bo
     low, high = np.stack([z[p].min(axis=0) for p in parts]), np.stack([z[p].max(axis=0) for p in parts])
     scale = float(np.abs(z).max(initial=0.0) + np.abs(zq).max(initial=0.0))
     best, at, checked = bound.copy(), np.full(len(q), -1, dtype=np.int64), np.zeros(len(q), dtype=np.int64)
-    step = max(1, BLOCK_CELLS // (max(len(parts), width) * dim))
+    step = max(1, BLOCK_CELLS // max(len(parts), width * dim))
     for s in range(0, len(q), step):
         block = np.arange(s, min(s + step, len(q)))
         far = _mindist(zq[block], low, high)
@@ -337,12 +344,12 @@ def nearest_neighbour(
                     yield b.assign(own=cell, bound=np.inf, cell=cell)
 
         def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if len(b):
-                    z, bound = tree_sent.value.turned(_matrix(b["q"], dim)), b["d2"].to_numpy()
-                    who, cell = near_cells(z, b["own"].to_numpy(), bound, tree_sent.value, boxes_sent.value[0])
-                    out = b.iloc[who][[*key_names, "q", "own"]].reset_index(drop=True)
-                    yield out.assign(bound=bound[who], cell=cell)
+            step = max(1, PAIRS >> tree_sent.value.depth)
+            for b in (whole.iloc[at : at + step] for whole in batches for at in range(0, len(whole), step)):
+                z, bound = tree_sent.value.turned(_matrix(b["q"], dim)), b["d2"].to_numpy()
+                who, cell = near_cells(z, b["own"].to_numpy(), bound, tree_sent.value, boxes_sent.value[0])
+                out = b.iloc[who][[*key_names, "q", "own"]].reset_index(drop=True)
+                yield out.assign(bound=bound[who], cell=cell)
 
         schema = T.StructType(asked_fields)
         # each written once: it feeds the counts of the chunks as well as the search

@@ -1,5 +1,7 @@
 """Exact 1-NN join against brute force."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -178,3 +180,27 @@ def test_probing_keys_a_piece_at_a_time(spark, monkeypatch):
     whole = ask()
     monkeypatch.setattr(lsh, "PIECE", 7)
     assert ask() == whole and set(whole.values()) == {0.0}
+
+
+def test_distances_to_boxes_hold_no_array_of_every_dimension():
+    rng = np.random.default_rng(5)
+    z, low = rng.normal(size=(200, 20)), rng.normal(size=(300, 20))
+    high = low + rng.uniform(size=(300, 20))
+    gap = np.maximum(np.maximum(low[None] - z[:, None], z[:, None] - high[None]), 0.0)
+    tracemalloc.start()
+    got = nearest._mindist(z, low, high)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, (gap * gap).sum(-1), rtol=1e-12) and most < 6 * got.nbytes
+
+
+def test_pairs_of_queries_and_cells_come_a_few_at_a_time(spark, monkeypatch):
+    """Far queries have every cell within their bound; a task makes ``PAIRS`` of these rows at once, and answers stay exact."""
+    monkeypatch.setattr(nearest, "PAIRS", 64)
+    rng = np.random.default_rng(6)
+    xs, qs = rng.normal(size=(400, 3)), rng.normal(size=(80, 3)) * 50
+    tr = spark.createDataFrame([(i, *map(float, x), float(i % 2)) for i, x in enumerate(xs)], "rid int, a double, b double, c double, label double")
+    te = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(qs)], "qid int, a double, b double, c double")
+    got = nearest_neighbour(tr, te, ["a", "b", "c"], "label", ["rid"], ["qid"], cell_points=20).collect()
+    want = _brute([(i, x, float(i % 2)) for i, x in enumerate(xs)], list(enumerate(qs)))
+    assert len(got) == 80 and all((r.nn_label, r.nn_dist) == (want[r.qid][0], pytest.approx(want[r.qid][1])) for r in got)
