@@ -99,7 +99,7 @@ def test_a_table_is_planned_once_for_its_sums(spark, monkeypatch):
 
     def counted(self):
         got = collect(self)
-        sent.append(sum(len(v[1]) for v in got))
+        sent.append(sum(len(v[1]) for v in got if isinstance(v, tuple)))
         return got
 
     wide = lambda b: np.tile(sums.matrix(b.column(0), 3).sum(axis=0), 10_000)
