@@ -143,3 +143,32 @@ def block_sums(
         sums = _over_tasks(rows, fn, blocks, size).map(lambda x: (x[0][0], (x[0][1], x[1])))
         got = sums.groupByKey(blocks).map(lambda x: end(*x)).collect()
     return np.stack([np.frombuffer(total) for _, total in sorted(got)])
+
+
+def merged(rows: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray], merge: Callable[[np.ndarray, np.ndarray], np.ndarray], none: np.ndarray) -> np.ndarray:
+    """``merge`` over all batches of the few doubles that ``fn`` returns for a batch; ``none`` without rows. ``merge`` must not depend on the order."""
+
+    def own(part: Iterable[Row]) -> Iterator[np.ndarray]:
+        total = none
+        for b in _unpacked(part):
+            if b.num_rows:
+                total = merge(total, fn(b))
+        return iter([total])
+
+    return _batches(rows)[0].mapPartitions(own).treeReduce(merge)
+
+
+def grouped_answers(
+    rows: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[tuple[tuple, bytes]]], finish: Callable[[tuple, list[bytes]], bytes]
+) -> list[bytes]:
+    """``finish(key, parts)`` of each key, in the tasks; the parts that ``fn`` gives it for the batches come in the order of tasks and batches."""
+    batches, tasks = _batches(rows)
+
+    def own(task: int, part: Iterable[Row]) -> Iterator[tuple[tuple, tuple[int, int, bytes]]]:
+        for i, b in enumerate(_unpacked(part)):
+            if b.num_rows:
+                for key, data in fn(b):
+                    yield key, (task, i, data)
+
+    found = batches.mapPartitionsWithIndex(own).groupByKey(tasks).map(lambda x: (x[0], finish(x[0], [d for _, _, d in sorted(x[1])])))
+    return [answer for _, answer in sorted(found.collect())]  # one short answer a key
