@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seasonkit.catalog import split_seasons
-from seasonkit.plans import boosted_stumps, boosted_trees, exact_trees, newton, nystroem, perceptron, sums
+from seasonkit.plans import boosted_stumps, boosted_trees, exact_trees, newton, nystroem, perceptron, sums, svm
 from seasonkit.plans.learners import Settings, design, fit, fit_calibrated_svm
 from seasonkit.schema import FEATURES
 
@@ -118,6 +118,22 @@ def test_a_table_is_planned_once_for_its_sums(spark, monkeypatch):
         assert len(planned) == 1 and sums._batches(table)[1] == tasks
 
 
+def test_kernel_features_are_never_written(spark, noisy, monkeypatch):
+    """Every step maps the rows anew, some at a time: the models are those of a table of features, and written rows stay short."""
+    x, t = noisy
+    x = (x - x.mean(0)) / x.std(0)
+    phi = nystroem.pivoted_cholesky(x[:200], 0.3, 40, 1e-6)
+    written, write = [], svm.materialize
+    monkeypatch.setattr(svm, "materialize", lambda df, name="table": written.append((got := write(df, name)).agg(F.max(F.size("x"))).first()[0]) or got)
+    monkeypatch.setattr(newton, "CHUNK", 64)
+    got = svm.fit_svm(rows_of(spark, x, t), 4, 5, 1e-3, 200, phi, phi.dim)
+    assert max(written) <= 4
+    want = newton.fit_linear(rows_of(spark, phi(x), t), 40, "hinge", folds=5, tol=1e-3)
+    for a, b in zip((*got.folds, got.final), want, strict=True):
+        assert a.residual <= 1e-3 and a.objective == pytest.approx(b.objective) and np.allclose(a.weights, b.weights, rtol=1e-6, atol=1e-8)
+        assert a.intercept == pytest.approx(b.intercept, abs=1e-6)
+
+
 def test_a_fit_that_ends_at_its_limit_fails(spark, noisy):
     for loss in ("logistic", "hinge"):
         with pytest.raises(newton.NotConverged, match=loss):
