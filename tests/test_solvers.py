@@ -275,6 +275,25 @@ def test_forest_does_not_depend_on_the_layout(spark, monkeypatch):
     assert np.allclose(tree_scores(spark, fit_one(4, 60), x), first)
 
 
+def test_large_nodes_are_cut_in_buckets(spark, monkeypatch):
+    """The trees of single tasks, from buckets of values that travel once for all trees; common values are summed first, and no row a tree and value is written."""
+    rng = np.random.default_rng(12)
+    x = np.column_stack([rng.normal(size=(900, 2)), rng.integers(0, 4, 900), np.where(rng.random(900) < 0.5, 0.0, rng.normal(size=900)), np.ones(900)])
+    t = (x[:, 0] + x[:, 3] + rng.normal(size=900) > 0).astype(float)
+    for trees, subset, resample in ((5, 2, True), (1, None, False)):
+        whole = exact_trees.fit_trees(tree_rows(spark, x, t, 3), 5, trees, subset, resample)
+        monkeypatch.setattr(exact_trees, "BUCKET_ROWS", 90)
+        monkeypatch.setattr(exact_trees, "HEAVY", 20)
+        written, write = [], exact_trees.materialize
+        monkeypatch.setattr(exact_trees, "materialize", lambda df, name="table": written.append(name) or write(df, name))
+        for entries in (1 << 18, 1):  # all open nodes in a pass, or one
+            monkeypatch.setattr(exact_trees, "ENTRIES", entries)
+            apart = exact_trees.fit_trees(tree_rows(spark, x, t, 3), 5, trees, subset, resample, local_rows=300)
+            assert (tree_scores(spark, apart, x) == tree_scores(spark, whole, x)).all() and all(len(top.feature) > 1 for top in apart.tops)
+        assert set(written) == {"subtrees"}
+        monkeypatch.undo()
+
+
 def test_nodes_of_a_level_are_cut_together(monkeypatch):
     """A level of a tree is a few NumPy passes, however many nodes it has."""
     rng = np.random.default_rng(9)
