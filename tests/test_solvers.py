@@ -341,6 +341,21 @@ def test_deviance_falls_and_leaves_are_newton_steps(spark, noisy, monkeypatch):
     assert a.deviance[-1] == pytest.approx(2 * (np.logaddexp(0, z) - t * z).mean())
 
 
+def test_a_tree_compares_a_column_a_cut(monkeypatch):
+    """The same leaves as by following every row; a row is not followed where the cuts are few, and counts need no column of ones."""
+    rng = np.random.default_rng(13)
+    bins = rng.integers(0, 30, size=(500, 4)).astype(np.int32)
+    full = boosted_trees.Tree(np.append(rng.integers(0, 4, 7), np.full(8, -1)), rng.integers(5, 25, 15), np.zeros(15))
+    short = boosted_trees.Tree(np.where(np.isin(np.arange(15), [0, 2, 5]), full.feature, -1), full.cut, full.value)
+    bare = boosted_trees.Tree(np.full(15, -1), full.cut, full.value)
+    quick = [tree.leaf(bins) for tree in (full, short, bare)]
+    followed = []
+    monkeypatch.setattr(boosted_trees.np, "maximum", lambda *a, f=np.maximum: followed.append(1) or f(*a))
+    assert all((tree.leaf(bins) == leaf).all() for tree, leaf in zip((full, short, bare), quick, strict=True)) and not followed
+    monkeypatch.setattr(boosted_trees, "FEW", -1)
+    assert all((tree.leaf(bins) == leaf).all() for tree, leaf in zip((full, short, bare), quick, strict=True)) and followed
+
+
 def test_boosting_of_one_class_is_the_share(spark):
     x = np.zeros((5, 2))
     assert boosted_trees.fit_boosted_trees(rows_of(spark, x, np.ones(5)), 2, rounds=3).trees == []
